@@ -3,17 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import pieces
+from . import mixing, pieces, simhash
 from .tables import read
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(read(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read(spark, sf_dir, "documents"), pieces.model_bytes(pieces.default_model()))
 
 
 QUERIES = {
+    "op6_simhash": op6_simhash,
+    "op8_mixing": op8_mixing,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_mixing": mixing.SQL,
+}
