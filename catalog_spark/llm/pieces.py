@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 CACHED_CHARS = 48
-CACHE_ENTRIES = 1_000_000
-PAIR_ENTRIES = 1_000_000
+CACHE_ENTRIES = 500_000
+PAIR_ENTRIES = 400_000
 
 
 class MergeCoder:
@@ -200,7 +200,8 @@ def model_bytes(path: str) -> bytes:
 
 
 def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, ids): ``ids`` holds each whole text's ids with begin and end, packed as little-endian uint32.
+    """(id, ids, decoded) for each row: ``ids`` holds the whole text's ids with begin and end, packed as
+    little-endian uint32, and ``decoded`` what they decode to.
 
     A null text counts as empty (ids: begin, end). Repeated rows and repeated or null ids give a row each; an empty
     table gives no rows; other columns are dropped. No shuffle; each task holds one Arrow batch and a bounded cache.
@@ -209,11 +210,11 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     def run(batches):
         c = coder(model)
         for b in batches:
-            ids = pa.array([c.framed(t) for t in b.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ids], ["id", "text", "ids"])
+            ids = [c.framed(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())], ["id", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, text string, ids binary")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids binary, decoded string")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -231,7 +232,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
 
 def digest(docs: DataFrame, model: bytes) -> DataFrame:
     """n_tokens and digests of ids and of the decoded text for each document."""
-    done = decode(encode(docs, model), model)
+    done = encode(docs, model)
     return done.select(
         F.col("id").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
