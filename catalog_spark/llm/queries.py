@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, simhash
+from . import mixing, pieces, pii, secrets, simhash, urls
 from .tables import read
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read(spark, sf_dir, "documents"))
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.digest(read(spark, sf_dir, "pages"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(read(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read(spark, sf_dir, "documents"))
 
@@ -23,11 +35,15 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_url_filters": op2_url_filters,
+    "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
     "op8_mixing": op8_mixing,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_filters": urls.SQL,
     "op8_mixing": mixing.SQL,
 }
