@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, pii, secrets, simhash, urls
+from . import langid, mixing, neighbours, pieces, pii, secrets, simhash, urls
 from .tables import read
 
 
@@ -17,6 +17,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.digest(read(spark, sf_dir, "pages"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(read(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read(spark, sf_dir, "documents"))
 
@@ -30,6 +34,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read(spark, sf_dir, "documents"), pieces.model_bytes(pieces.default_model()))
 
@@ -37,9 +45,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_url_filters": op2_url_filters,
+    "op4_language_id": op4_language_id,
     "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
     "op8_mixing": op8_mixing,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
