@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neighbours, pieces, pii, secrets, simhash, urls
+from . import langid, mixing, neighbours, pieces, pii, secrets, simhash, urls, weighted
 from .tables import read
 
 
@@ -17,6 +17,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.digest(read(spark, sf_dir, "pages"))
 
 
+def op3_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted.digest(read(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(read(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_url_filters": op2_url_filters,
+    "op3_weighted_fingerprints": op3_weighted_fingerprints,
     "op4_language_id": op4_language_id,
     "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
