@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neighbours, pieces, pii, secrets, simhash, urls, weighted
+from . import langid, mixing, neighbours, pieces, pii, repeats, secrets, simhash, urls, weighted
 from .tables import read
 
 
@@ -33,6 +33,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(read(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -53,6 +57,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
+    "op7_repeats": op7_repeats,
     "op8_mixing": op8_mixing,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
