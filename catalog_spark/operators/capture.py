@@ -37,7 +37,7 @@ def find_payloads(queries: DataFrame, page: str = "url", course_id: str = "cours
     """(page, course_id, one column for each kind): the first cached query of each kind. The id must end where the
     needle ends, so that 12 does not match 123."""
     key = F.col("query_key")
-    matches = {k: key.rlike(F.concat(*[F.lit(p) if p != "{id}" else F.col(course_id).cast("string") for p in _parts(n)], F.lit(r"(\D|$)"))) for k, n in NEEDLES.items()}
+    matches = {k: F.rlike(key, F.concat(*[F.lit(p) if p != "{id}" else F.col(course_id).cast("string") for p in _parts(n)], F.lit(r"(\D|$)"))) for k, n in NEEDLES.items()}
     return first_match(queries, [page, course_id], "payload_json", "pos", matches)
 
 
