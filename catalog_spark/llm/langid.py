@@ -24,7 +24,7 @@ DIMS = 12
 EPOCHS = 6
 RATE = 2.0
 BATCH = 16
-TARGET_ERROR = 0.01
+TARGET_ERROR = 0.05
 FLOOR = 0.4
 BLOCK = 1 << 20
 
