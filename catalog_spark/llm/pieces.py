@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 CACHED_CHARS = 48
-CACHE_ENTRIES = 500_000
-PAIR_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
+PAIR_ENTRIES = 200_000
+ROWS_AT_ONCE = 256
 
 
 class MergeCoder:
@@ -210,8 +211,10 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     def run(batches):
         c = coder(model)
         for b in batches:
-            ids = [c.framed(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())], ["id", "ids", "decoded"])
+            for k in range(0, b.num_rows, ROWS_AT_ONCE):
+                part = b.slice(k, ROWS_AT_ONCE)
+                ids = [c.framed(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())], ["id", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids binary, decoded string")
