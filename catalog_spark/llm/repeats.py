@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import materialise
+from .tables import forget, materialise
 
 WIDTH = 400
 GRAM = 64
@@ -131,18 +131,17 @@ def shared_starts(parts: np.ndarray, first: np.ndarray, last: np.ndarray, group:
     n, need = len(parts), WIDTH // BLOCK
     found = np.zeros((n, REACH - WIDTH + 1), bool)
     top = np.unique(group, return_inverse=True)[1].astype(np.uint64) << np.uint64(44)
-    rounds = {shift: (REACH - shift) // BLOCK for shift in range(BLOCK)}
     folder = tempfile.mkdtemp()
+    column, output = os.path.join(folder, "symbols"), os.path.join(folder, "transform")
     try:
-        with open(os.path.join(folder, "symbols"), "wb") as out:  # column after column, in the order of the rounds
-            for shift, count in rounds.items():
-                for t in reversed(range(count)):
-                    out.write(parts[:, shift + BLOCK * t : shift + BLOCK * (t + 1)].tobytes())
-        with open(os.path.join(folder, "symbols"), "rb") as symbols, open(os.path.join(folder, "transform"), "wb") as transform:
-            for shift, count in rounds.items():
+        for shift in range(BLOCK):
+            rounds = [shift + BLOCK * t for t in reversed(range((REACH - shift) // BLOCK))]
+            with open(column, "wb") as out:  # symbol columns in the order of the rounds
+                for at in rounds:
+                    out.write(parts[:, at : at + BLOCK].tobytes())
+            with open(column, "rb") as symbols, open(output, "wb") as transform:
                 order, common = np.argsort(top, kind="stable"), np.zeros(n + 1, np.int16)
-                for t in reversed(range(count)):
-                    at = shift + BLOCK * t
+                for at in rounds:
                     words = np.frombuffer(symbols.read(n * BLOCK), "<u8").reshape(n, 2)
                     there = (first <= at) & (at + BLOCK <= last)
                     mixed = (words[:, 0] ^ (words[:, 1] * np.uint64(BASE))) * np.uint64(0xD6E8FEB86659FD93)
@@ -165,8 +164,9 @@ def shared_starts(parts: np.ndarray, first: np.ndarray, last: np.ndarray, group:
                         found[then[full], at] = found[then[full - 1], at] = True
                     order, common = then, prefix
     finally:
-        for name in os.listdir(folder):
-            os.remove(os.path.join(folder, name))
+        for name in (column, output):
+            if os.path.exists(name):
+                os.remove(name)
         os.rmdir(folder)
     return found
 
@@ -200,18 +200,20 @@ def repeated_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(key, spans): for each different text with repeats, [start, end) byte spans that together cover them."""
     texts = docs.select(F.col(text_col).alias("text"))
     every = materialise(find_anchors(texts))
-    status = every.groupBy("anchor").agg(F.count("*").alias("n"), F.min("f1").alias("low"), F.max("f1").alias("high")).filter("n > 1")
-    met = materialise(every.join(status.select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "anchor"))
+    often = every.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    met = materialise(every.join(often, "anchor"))
+    forget(every)
     ids = ["anchor", "f1", "f2"]
-    kinds = met.groupBy(*ids).agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("at"), F.first("mixed").alias("mixed"), *[F.first(f"c{i}").alias(f"c{i}") for i in range(CORES)])
+    kinds = met.groupBy(*ids).agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("at"), *[F.first(f"c{i}").alias(f"c{i}") for i in range(CORES)])
     kinds = materialise(kinds)
-    cores = kinds.filter("mixed").select(*ids, F.posexplode(F.array(*[f"c{i}" for i in range(CORES)])).alias("i", "core")).filter("core <> 0")
+    cores = kinds.select(*ids, F.posexplode(F.array(*[f"c{i}" for i in range(CORES)])).alias("i", "core")).filter("core <> 0")
     common = cores.groupBy("anchor", "i", "core").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "i", "core")
     hopeful = cores.join(common, ["anchor", "i", "core"], "left_semi").select(*ids).distinct()
     wanted = materialise(kinds.join(hopeful, ids, "left_semi").select(*ids, "at.key", "at.place"))
     pieces = max(1, -(-wanted.count() // COLLECTION))
     by_text = wanted.groupBy("key").agg(F.collect_list(F.struct(*ids, "place")).alias("wanted"))  # at most a text's anchors
-    unique = texts.select(F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"), "text").join(by_text, "key")
+    # Copies of a text are put together before the shuffle.
+    unique = texts.select(F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
 
     def cut(batches):
         for b in batches:
@@ -221,14 +223,16 @@ def repeated_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 columns = [pa.array([r[c] for r in rows], pa.int64()) for c in ids]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(left, pa.int64()), pa.array(part, pa.binary())], [*ids, "left", "part"])
 
-    parts = unique.select("text", "wanted").mapInArrow(cut, "anchor long, f1 long, f2 long, left long, part binary").dropDuplicates(ids)
+    parts = unique.join(by_text, "key").select("text", "wanted").mapInArrow(cut, "anchor long, f1 long, f2 long, left long, part binary")
     collection = F.pmod(F.xxhash64("anchor"), F.lit(pieces)).alias("collection")
     shared = materialise(parts.withColumn("collection", collection).groupBy("collection").applyInArrow(compare, "anchor long, f1 long, f2 long, from long, to long"))
-    twice = kinds.filter("n > 1").select(*ids)
-    places = met.select("key", "place", *ids).dropDuplicates(["key", "place"])
-    whole = places.join(twice, ids, "left_semi").select("key", F.greatest(F.col("place") - SLACK, F.lit(0)).alias("start"), (F.col("place") + WIDTH).alias("end"))
-    some = places.join(shared, ids).select("key", (F.col("place") + F.col("from")).alias("start"), (F.col("place") + F.col("to")).alias("end"))
-    return materialise(whole.union(some).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    told = kinds.filter("n > 1").select(*ids, F.lit(-SLACK).cast("long").alias("from"), F.lit(WIDTH).cast("long").alias("to")).union(shared)
+    covered = met.select("key", "place", *ids).join(told, ids)
+    span = F.struct(F.greatest(F.col("place") + F.col("from"), F.lit(0)).alias("start"), (F.col("place") + F.col("to")).alias("end"))
+    out = materialise(covered.groupBy("key").agg(F.collect_set(span).alias("spans")))
+    for table in (met, kinds, wanted, shared):
+        forget(table)
+    return out
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
