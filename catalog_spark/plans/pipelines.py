@@ -68,7 +68,6 @@ def collect_urls(texts: DataFrame, pages: DataFrame, queries: DataFrame, api: Da
 
 def translate_display(dim: DataFrame, units: DataFrame, course_done: DataFrame, unit_done: DataFrame, targets: list[str], fn, model: str = "model", batch: int = 12, most: int = 80):
     """(course rows, unit rows, failures): courses of all targets first, then units; only successes use the quota."""
-    none = F.col("course_id").isNull()
     courses, lessons = None, None
     for place, target in enumerate(targets):
         a = backlog.translation_backlog(dim, course_done, target, batch).withColumns({"target": F.lit(target), "_place": F.lit(place)})
@@ -82,7 +81,7 @@ def translate_display(dim: DataFrame, units: DataFrame, course_done: DataFrame,
     unit_rows, failed_units = translate.unit_translations(asked, model)
     order = Window.orderBy(F.array_position(F.array(*map(F.lit, targets)), F.col("target_language")), F.desc("course_id"), "section_id", "unit_id")
     unit_rows = unit_rows.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= left).drop("_at")
-    return course_rows, unit_rows, failed.select("course_id", "target_language").unionByName(failed_units.select("course_id", "target_language")).filter(~none)
+    return course_rows, unit_rows, failed.select("course_id", "target_language").unionByName(failed_units.select("course_id", "target_language"))
 
 
 def drain_outbox_job(spark, box: DataFrame, writers: dict, schemas: dict, limit: int = 50):
