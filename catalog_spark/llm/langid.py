@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import map_batches
+
 SAMPLE_DOCS = 4000
 SAMPLE_CHARS = 1500
 BUCKETS = 1 << 16
@@ -163,7 +165,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             got = [m.predict(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_())], ["row", "lang_pred", "score", "rejected"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
+    return map_batches(rows, run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import map_batches
+
 MARK = "▁"
 CACHED_CHARS = 48
 CACHE_ENTRIES = 250_000
@@ -217,7 +219,7 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())], ["id", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids binary, decoded string")
+    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, ids binary, decoded string")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -230,7 +232,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), text], ["id", "ids", "decoded"])
 
     kind = encoded.schema["id"].dataType.simpleString()
-    return encoded.select("id", "ids").mapInArrow(run, f"id {kind}, ids binary, decoded string")
+    return map_batches(encoded.select("id", "ids"), run, f"id {kind}, ids binary, decoded string")
 
 
 def digest(docs: DataFrame, model: bytes) -> DataFrame:

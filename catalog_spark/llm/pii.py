@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spans as S
-from .tables import materialise
+from .tables import map_batches, materialise
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 6
@@ -132,7 +132,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_pydict({"id": b.column(0), "key": pa.array(keys, pa.string()), "spans": pa.array(rows, ARROW_SPANS)})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, {FOUND}")
+    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, {FOUND}")
 
 
 ARROW_TERM = pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -212,7 +212,7 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["row", "text"])
 
     shape = rows.schema["row"].dataType.simpleString()
-    clean = rows.select("row", "text", "added").mapInArrow(run, f"row {shape}, text string")
+    clean = map_batches(rows.select("row", "text", "added"), run, f"row {shape}, text string")
     return clean.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import forget, materialise
+from .tables import forget, map_batches, materialise
 
 WIDTH = 400
 GRAM = 64
@@ -122,7 +122,7 @@ def find_anchors(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "place", "anchor", "f1", "f2", *(f"c{i}" for i in range(CORES))])
 
     cores = ", ".join(f"c{i} int" for i in range(CORES))
-    return texts.mapInArrow(run, f"key binary, place long, anchor long, f1 long, f2 long, {cores}")
+    return map_batches(texts, run, f"key binary, place long, anchor long, f1 long, f2 long, {cores}")
 
 
 def shared_starts(parts: np.ndarray, first: np.ndarray, last: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -223,7 +223,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 columns = [pa.array([r[c] for r in rows], pa.int64()) for c in ids]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(left, pa.int64()), pa.array(part, pa.binary())], [*ids, "left", "part"])
 
-    parts = unique.join(by_text, "key").select("text", "wanted").mapInArrow(cut, "anchor long, f1 long, f2 long, left long, part binary")
+    parts = map_batches(unique.join(by_text, "key").select("text", "wanted"), cut, "anchor long, f1 long, f2 long, left long, part binary")
     collection = F.pmod(F.xxhash64("anchor"), F.lit(pieces)).alias("collection")
     shared = materialise(parts.withColumn("collection", collection).groupBy("collection").applyInArrow(compare, "anchor long, f1 long, f2 long, from long, to long"))
     told = kinds.filter("n > 1").select(*ids, F.lit(-SLACK).cast("long").alias("from"), F.lit(WIDTH).cast("long").alias("to")).union(shared)
@@ -265,7 +265,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(removed, arrow), pa.array(kept, pa.binary())], ["id", "n_bytes", "removed", "kept"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n_bytes long, removed {shape}, kept binary")
+    return map_batches(rows, run, f"id {kind}, n_bytes long, removed {shape}, kept binary")
 
 
 def digest(docs: DataFrame) -> DataFrame:

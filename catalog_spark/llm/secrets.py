@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import spans as S
-from .tables import materialise
+from .tables import map_batches, materialise
 
 KINDS = ("assign", "access", "hex")
 SCOPE = 200
@@ -80,7 +80,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     kind = docs.schema[id_col].dataType.simpleString()
     shape = f"id {kind}, key string, base array<{S.SPAN}>, weak array<{S.SPAN}>"
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, shape)
+    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, shape)
 
 
 def confirmed(found: DataFrame, scope: int = SCOPE) -> DataFrame:

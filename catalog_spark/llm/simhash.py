@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import materialise
+from .tables import map_batches, materialise
 
 RADIUS = 3
 SHINGLE = 3
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, fp long")
 
 
 def forest(base: np.ndarray, near: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+DEFAULTS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "10000", "spark.sql.execution.arrow.maxBytesPerBatch": "67108864b"}
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -15,6 +17,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` with small batches: documents are large, and so few of them are held at a time. Batch sizes that
+    the session has set itself stay."""
+    for key, value in BATCHES.items():
+        if df.sparkSession.conf.get(key) in (DEFAULTS[key], None):
+            df.sparkSession.conf.set(key, value)
+    return df.mapInArrow(run, schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
