@@ -6,14 +6,14 @@ anchors at equal places. An anchor's fragment is all that such strings can reach
 twice are repeats as they are. Other fragments of one anchor can share a string only if they agree on one of a few
 cores; those that do are compared column by column:
 
-the fragments of one anchor, cut into ``BLOCK``-byte symbols for each of ``BLOCK`` shifts, form a collection of
-documents aligned at the anchor. Each round inserts one symbol in front of every document's suffix, from the last
-column to the first: the order of all suffixes (the collection's Burrows-Wheeler order of that column) follows from
-the last round's order by a stable sort on the new symbols, and their common prefixes from range minima of the last
-round's. Symbol columns are written to a file once and read in sequence, the transform's columns and prefixes are
-appended to another, and a round holds only its own column. Neighbours with ``WIDTH / BLOCK`` common symbols share a
-string. Cutting at aligned symbols instead of at bytes keeps the rounds few; no string is missed, since each start
-belongs to one shift.
+the fragments of one anchor, cut into ``BLOCK``-byte symbols, form a collection of documents aligned at the anchor.
+Each round inserts one symbol in front of every document's suffix, from the last column to the first: the order of all
+suffixes (the collection's Burrows-Wheeler order of that column) follows from the last round's order by a stable sort
+on the new symbols, and their common prefixes from range minima of the last round's. Symbol columns are written to a
+file once and read in sequence, the transform's columns and prefixes are appended to another, and a round holds only
+its own column. Symbols instead of bytes keep the rounds few, and no string is missed: neighbours with one symbol more
+than ``WIDTH`` share all strings that start in their first one, and a string that starts inside a symbol agrees on all
+but 16 of its bytes with the prefixes of the next column, so classes of these are compared on the 16 bytes.
 """
 
 from __future__ import annotations
@@ -125,44 +125,84 @@ def find_anchors(texts: DataFrame) -> DataFrame:
     return map_batches(texts, run, f"key binary, place long, anchor long, f1 long, f2 long, {cores}")
 
 
+def together(key: np.ndarray, *exact: np.ndarray) -> np.ndarray:
+    """Which rows equal another one: sorted by ``key``, neighbours compared on all of ``exact``."""
+    order = np.argsort(key)
+    same = np.ones(max(len(key) - 1, 0), bool)
+    for x in exact:
+        y = x[order]
+        same &= y[1:] == y[:-1]
+    out = np.zeros(len(key), bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
+
+
+def mix(words: np.ndarray) -> np.ndarray:
+    """A 44-bit hash of two 64-bit words each."""
+    h = (words[:, 0] ^ (words[:, 1] * np.uint64(BASE))) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h * np.uint64(0x2545F4914F6CDD1D) >> np.uint64(20)
+
+
+def edges(found: np.ndarray, at: int, order: np.ndarray, common: np.ndarray, dense: np.ndarray, parts: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+    """Mark strings that start in the block before column ``at``: they agree on WIDTH - BLOCK bytes from ``at`` on, so
+    only rows in one class of such prefixes are looked at, and 16 bytes around these decide. ``dense`` rows have all
+    these starts marked already; classes of none but them are skipped."""
+    inner = WIDTH // BLOCK - 1
+    label = np.cumsum(common[:-1] < inner)
+    size, wanting = np.bincount(label), np.bincount(label, weights=~dense[order])
+    use = (size[label] > 1) & (wanting[label] > 0)
+    rows, label = order[use], label[use].astype(np.uint64)
+    if not len(rows):
+        return
+    around = np.concatenate([parts[rows, max(at - BLOCK + 1, 0) : at], parts[rows, at + WIDTH - BLOCK : at + WIDTH]], axis=1)
+    for back in range(min(BLOCK, at + 1)):
+        start = at - back
+        words = np.ascontiguousarray(around[:, around.shape[1] - BLOCK - back : around.shape[1] - back]).view("<u8")
+        whole = (first[rows] <= start) & (start + WIDTH <= last[rows])
+        hit = together((label << np.uint64(44)) | mix(words), label, words[:, 0], words[:, 1], whole) & whole
+        found[rows[hit], start] = True
+
+
 def shared_starts(parts: np.ndarray, first: np.ndarray, last: np.ndarray, group: np.ndarray) -> np.ndarray:
     """For rows of ``parts`` (fragments laid out so that anchors stand in one column; valid from ``first`` to
     ``last``) whether the string that starts at each column also stands there in another row of the same ``group``."""
-    n, need = len(parts), WIDTH // BLOCK
+    n, most = len(parts), WIDTH // BLOCK + 1
     found = np.zeros((n, REACH - WIDTH + 1), bool)
     top = np.unique(group, return_inverse=True)[1].astype(np.uint64) << np.uint64(44)
     folder = tempfile.mkdtemp()
     column, output = os.path.join(folder, "symbols"), os.path.join(folder, "transform")
+    rounds = [BLOCK * t for t in reversed(range(REACH // BLOCK))]
     try:
-        for shift in range(BLOCK):
-            rounds = [shift + BLOCK * t for t in reversed(range((REACH - shift) // BLOCK))]
-            with open(column, "wb") as out:  # symbol columns in the order of the rounds
-                for at in rounds:
-                    out.write(parts[:, at : at + BLOCK].tobytes())
-            with open(column, "rb") as symbols, open(output, "wb") as transform:
-                order, common = np.argsort(top, kind="stable"), np.zeros(n + 1, np.int16)
-                for at in rounds:
-                    words = np.frombuffer(symbols.read(n * BLOCK), "<u8").reshape(n, 2)
-                    there = (first <= at) & (at + BLOCK <= last)
-                    mixed = (words[:, 0] ^ (words[:, 1] * np.uint64(BASE))) * np.uint64(0xD6E8FEB86659FD93)
-                    mixed ^= mixed >> np.uint64(32)
-                    key = top | (mixed * np.uint64(0x2545F4914F6CDD1D) >> np.uint64(20))
-                    new = np.argsort(key[order], kind="stable")  # places in the last order
-                    then, a, b = order[new], new[:-1], new[1:]
-                    u, v = then[:-1], then[1:]
-                    same = (a < b) & (words[u] == words[v]).all(axis=1) & there[u] & there[v] & (group[u] == group[v])
-                    prefix = np.zeros(n + 1, np.int16)
-                    k = np.flatnonzero(same)
-                    if len(k):
-                        by = k[np.argsort(a[k], kind="stable")]
-                        spans = np.empty(2 * len(by), np.int64)
-                        spans[::2], spans[1::2] = a[by] + 1, b[by] + 1
-                        prefix[by + 1] = np.minimum(1 + np.minimum.reduceat(common, spans)[::2], need)
-                    transform.write(then.astype("<u4").tobytes() + prefix.tobytes())
-                    full = np.flatnonzero(prefix == need)
-                    if len(full) and at <= REACH - WIDTH:
-                        found[then[full], at] = found[then[full - 1], at] = True
-                    order, common = then, prefix
+        with open(column, "wb") as out:  # symbol columns in the order of the rounds
+            for at in rounds:
+                out.write(parts[:, at : at + BLOCK].tobytes())
+        with open(column, "rb") as symbols, open(output, "wb") as transform:
+            order, common = np.argsort(top, kind="stable"), np.zeros(n + 1, np.int16)
+            for at in rounds:
+                words = np.frombuffer(symbols.read(n * BLOCK), "<u8").reshape(n, 2)
+                there = (first <= at) & (at + BLOCK <= last)
+                new = np.argsort((top | mix(words))[order], kind="stable")  # places in the last order
+                then, a, b = order[new], new[:-1], new[1:]
+                u, v = then[:-1], then[1:]
+                same = (a < b) & (words[u] == words[v]).all(axis=1) & there[u] & there[v] & (group[u] == group[v])
+                prefix = np.zeros(n + 1, np.int16)
+                k = np.flatnonzero(same)
+                if len(k):
+                    by = k[np.argsort(a[k], kind="stable")]
+                    spans = np.empty(2 * len(by), np.int64)
+                    spans[::2], spans[1::2] = a[by] + 1, b[by] + 1
+                    prefix[by + 1] = np.minimum(1 + np.minimum.reduceat(common, spans)[::2], most)
+                transform.write(then.astype("<u4").tobytes() + prefix.tobytes())
+                full = np.flatnonzero(prefix == most)
+                dense = np.zeros(n, bool)
+                dense[then[full]] = dense[then[full - 1]] = True
+                if at <= REACH - WIDTH:
+                    found[dense, at : at + BLOCK + 1] = True
+                if at + BLOCK <= REACH - WIDTH:
+                    edges(found, at + BLOCK, order, common, dense, parts, first, last)
+                order, common = then, prefix
+            edges(found, 0, order, common, np.zeros(n, bool), parts, first, last)
     finally:
         for name in (column, output):
             if os.path.exists(name):
