@@ -400,7 +400,7 @@ def q_dedupe_first(spark, sf):
 WITH s AS (SELECT page_id, page_id // 50 AS i, page_id % 50 AS j FROM pages WHERE (page_id // 50, page_id % 50) >= (1, 10) ORDER BY i, j LIMIT 100),
 m AS (SELECT *, (page_id NOT IN (SELECT doc_id FROM labels))::INT AS fresh FROM s),
 c AS (SELECT * FROM (SELECT *, coalesce(sum(fresh) OVER (ORDER BY i, j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM m) WHERE before < 30)
-SELECT 'picked' AS kind, i, j FROM c WHERE fresh = 1 UNION ALL SELECT 'checkpoint', p.i, p.j + 1 FROM (SELECT max({'i': i, 'j': j}) AS p FROM c)""")
+SELECT 'picked' AS kind, i, j FROM c WHERE fresh = 1 UNION ALL SELECT 'checkpoint', coalesce(p.i, 1), coalesce(p.j + 1, 10) FROM (SELECT max({'i': i, 'j': j}) AS p FROM c)""")
 def q_scan_slice(spark, sf):
     rows = _t(spark, sf, "pages").select("page_id", F.floor(F.col("page_id") / 50).cast("long").alias("i"), (F.col("page_id") % 50).alias("j"))
     known = _t(spark, sf, "labels").select(F.col("doc_id").alias("page_id"))

@@ -1,6 +1,7 @@
 """Every catalogue query against its SQL in an independent engine."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from catalog_spark import queries
@@ -10,7 +11,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 def _plain(x):
-    return "<null>" if x is None or x != x else repr(round(float(x), 9)) if isinstance(x, float) else str(x)
+    return "<null>" if pd.isna(x) else repr(round(float(x), 9)) if isinstance(x, float) else str(x)
 
 
 def rows(pdf):
