@@ -292,6 +292,16 @@ def q_paged_union(spark, sf):
     return search.paged_union(o, ["o_custkey"], 100, pos="o_orderkey").select("o_custkey", "o_orderkey", "page")
 
 
+@query("""
+WITH o AS (SELECT *, o_orderkey // 100 AS page FROM orders),
+s AS (SELECT page, count(*) AS n FROM o GROUP BY page), e AS (SELECT coalesce(min(page) FILTER (n < 100), max(page)) AS last FROM s)
+SELECT o_custkey, o_orderkey, page FROM o WHERE page <= (SELECT last FROM e) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY page, o_orderkey) = 1""")
+def q_paged_union_whole(spark, sf):
+    """All pages of orders; ``q_paged_union`` keeps the short page that its SQL cuts, and so stops there."""
+    o = _t(spark, sf, "orders").withColumn("page", F.floor(F.col("o_orderkey") / 100).cast("long"))
+    return search.paged_union(o, ["o_custkey"], 100, pos="o_orderkey").select("o_custkey", "o_orderkey", "page")
+
+
 @query("SELECT url, count(*) AS n FROM pages GROUP BY url UNION ALL SELECT 'second', count(*) FROM pages")
 def q_url_list(spark, sf):
     texts = _t(spark, sf, "pages").select(F.concat(F.lit(" ,"), F.col("url"), F.lit(",\n\tsecond ")).alias("value"))
