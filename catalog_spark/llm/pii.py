@@ -4,18 +4,22 @@ Base patterns find e-mail addresses, IP addresses, card and phone numbers. Each
 The corpus then tells how strongly the words around its mentions reveal it: over windows of ``2 * REACH + 1`` words,
 a term t and an entity e have pointwise mutual information log2(p(e, t) / (p(e) p(t))), and t discloses the share
 PMI / IC(e) of the entity's information content IC(e) = -log2 p(e). Terms from ``GENERALISE`` on are generalised to
-their shape's class, from ``REMOVE`` on removed, next to the entity's mentions. Equal windows (copies of a passage)
-count once, and a term must stand in ``SUPPORT`` different windows of the entity, so that chance neighbours of a
-value seen once stay.
+their shape's class, from ``REMOVE`` on removed, wherever they occur in any text. Texts count as windows too, so that
+a term far from the mentions is scored. Equal windows (copies of a passage) and equal texts count once for an entity.
+Every pair is scored; ``score`` discounts p(t | e) by the number of contexts that show it. The disclosing terms go to
+the workers as 64-bit hashes, 9 bytes a term.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import spans as S
@@ -23,7 +27,7 @@ from .tables import map_batches, materialise
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 6
-SUPPORT = 3
+CHANCE = 0.05
 GENERALISE = 0.5
 REMOVE = 0.8
 
@@ -113,65 +117,147 @@ def around(text: str, start: int, end: int, found: list[tuple[str, int, int]], r
     return out
 
 
-FOUND = "key string, spans array<struct<kind:string,start:long,end:long,entity:string,terms:array<struct<term:string,start:long,end:long>>>>"
+FOUND = "key string, n_terms long, spans array<struct<kind:string,start:long,end:long,entity:string,terms:array<struct<term:string,start:long,end:long>>>>"
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, key, spans) for each row: base spans with entity and nearby terms; ``key`` names texts that have any."""
+    """(id, key, n_terms, spans) for each row: base spans with entity and nearby terms; ``key`` names texts that have
+    any, and ``n_terms`` counts the different terms of these."""
 
     def run(batches):
         for b in batches:
-            keys, rows = [], []
+            keys, sizes, rows = [], [], []
             for t in b.column(1).to_pylist():
                 found = base(t) if t else []
-                keys.append(hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() if found else None)
+                keys.append(text_key(t) if found else None)
+                sizes.append(len(set(terms(t))) if found else 0)
                 rows.append([
                     {"kind": k, "start": s, "end": e, "entity": entity(k, t[s:e]), "terms": [dict(zip(("term", "start", "end"), x)) for x in around(t, s, e, found)]}
                     for k, s, e in found
                 ])
-            yield pa.RecordBatch.from_pydict({"id": b.column(0), "key": pa.array(keys, pa.string()), "spans": pa.array(rows, ARROW_SPANS)})
+            yield pa.RecordBatch.from_pydict({"id": b.column(0), "key": pa.array(keys, pa.string()), "n_terms": pa.array(sizes, pa.int64()), "spans": pa.array(rows, ARROW_SPANS)})
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, {FOUND}")
 
 
 ARROW_TERM = pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+ARROW_PLAIN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("entity", pa.string()), ("terms", pa.list_(ARROW_TERM))]))
 
 
-def disclosing(mentions: DataFrame, texts: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, reach: int = REACH) -> DataFrame:
+def terms(text: str) -> list[str]:
+    return [x.casefold() for x in TERM.findall(text)]
+
+
+def text_key(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def term_hash(term: str) -> int:
+    return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
+
+
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """(term, n_term, n_docs): how often each term occurs in the corpus, and in how many of its texts."""
+
+    def run(batches):
+        for b in batches:
+            n, docs = Counter(), Counter()
+            for t in b.column(0).to_pylist():
+                here = terms(t) if t else []
+                n.update(here)
+                docs.update(set(here))
+            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([docs[x] for x in n], pa.int64())], ["term", "n_term", "n_docs"])
+
+    counted = map_batches(texts, run, "term string, n_term long, n_docs long")
+    return counted.groupBy("term").agg(F.sum("n_term").alias("n_term"), F.sum("n_docs").alias("n_docs"))
+
+
+def terms_of_texts(texts: DataFrame) -> DataFrame:
+    """(key, term) for the different terms of the texts that have base spans."""
+
+    def run(batches):
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                if t and base(t):
+                    here = sorted(set(terms(t)))
+                    yield pa.RecordBatch.from_arrays([pa.array([text_key(t)] * len(here), pa.string()), pa.array(here, pa.string())], ["key", "term"])
+
+    return map_batches(texts, run, "key string, term string")
+
+
+def score(n: float, n_entity: Column, n_both: Column, n_term: Column, chance: Column) -> Column:
+    """PMI / information content. The share of an entity's contexts that hold the term counts times
+    chance ** (1 / n_both), its exact lower confidence bound where all of them do: few contexts prove little."""
+    n = F.greatest(F.lit(float(n)), n_entity + 1.0)
+    return F.log2(n_both * F.pow(chance, 1 / n_both) * n / (n_entity * F.greatest(n_term, n_both))) / F.log2(n / n_entity)
+
+
+def disclosing(mentions: DataFrame, texts: DataFrame, generalise: float = GENERALISE, reach: int = REACH, chance: float = CHANCE) -> DataFrame:
     """(entity, term, disclosed) for the terms that give away at least ``generalise`` of an entity's information.
 
-    ``mentions``: (entity, terms array); ``texts``: one column ``text``, the whole corpus, which gives the terms'
-    counts. Only terms with enough support are counted; all counting is by aggregation with map-side combining.
+    ``mentions``: (entity, key, n_terms, terms array); ``texts``: one column ``text``, the whole corpus, which gives
+    the terms' counts. All pairs are scored, over windows and over texts. A text tries all its terms at once, so there
+    ``chance`` is divided by their number; entities whose best possible term would stay under ``generalise`` then are
+    left out before their texts' terms are listed, which changes no result.
     """
+    c = F.col
+    counts = materialise(vocabulary(texts))
+    words, n_texts = texts.agg(F.sum(F.regexp_count("text", F.lit(WORD.pattern))), F.count("*")).first()
     windows = mentions.select("entity", F.xxhash64("terms").alias("window"), F.array_distinct("terms").alias("terms"))
     windows = materialise(windows.dropDuplicates(["entity", "window"]))
-    seen = windows.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= support)
     pairs = windows.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    pairs = materialise(pairs.filter(F.col("n_both") >= support).join(seen, "entity"))
-    shape = "entity string, term string, disclosed double"
-    if pairs.isEmpty():
-        return mentions.sparkSession.createDataFrame([], shape)
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]{3,})"), 1)
-    counts = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    total = texts.agg(F.sum(F.regexp_count("text", F.lit(WORD.pattern)))).first()[0]
-    n = max(total, 1) / (2 * reach + 1)
-    scored = pairs.join(counts, "term", "left").withColumn("n_term", F.greatest(F.coalesce("n_term", "n_both"), "n_both"))
-    information = F.log2(F.greatest(F.lit(n), F.col("n_entity") + 1.0) / F.col("n_entity"))
-    mutual = F.log2(F.col("n_both") * F.greatest(F.lit(n), F.col("n_entity") + 1.0) / (F.col("n_entity") * F.col("n_term")))
-    return materialise(scored.select("entity", "term", (mutual / information).alias("disclosed")).filter(F.col("disclosed") >= generalise))
-
-
-def term_spans(found: DataFrame, texts: DataFrame, remove: float = REMOVE, **limits) -> DataFrame:
-    """(key, added): the spans that the method adds to each text, kinds ``generalised`` and ``removed``."""
-    mentions = found.filter(F.size("spans") > 0).dropDuplicates(["key"]).select("key", F.explode("spans").alias("m"))
-    bare = mentions.select(F.col("m.entity").alias("entity"), F.transform("m.terms", lambda x: x["term"]).alias("terms"))
-    told = disclosing(bare, texts, **limits)
-    near = mentions.select("key", F.col("m.entity").alias("entity"), F.explode("m.terms").alias("t")).select("key", "entity", "t.*")
-    hit = near.join(told, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("disclosed").alias("d"))
-    kind = F.when(F.col("d") >= remove, "removed").otherwise("generalised")
-    return hit.groupBy("key").agg(F.collect_list(F.struct(kind.alias("kind"), "start", "end")).alias("added"))
+    pairs = pairs.join(windows.groupBy("entity").agg(F.count("*").alias("n_entity")), "entity").join(counts, "term")
+    near = pairs.select("entity", "term", score(max(words or 0, 1) / (2 * reach + 1), c("n_entity"), c("n_both"), c("n_term"), F.lit(chance)).alias("disclosed"))
+    told = materialise(near.filter(c("disclosed") >= generalise))
+
+    holds = mentions.select("entity", "key", "n_terms").distinct()
+    seen = holds.groupBy("entity").agg(F.count("*").alias("n_entity"), (F.lit(chance) / F.greatest(F.avg("n_terms"), F.lit(1.0))).alias("chance"))
+    seen = materialise(seen.filter(score(n_texts, c("n_entity"), c("n_entity"), c("n_entity"), c("chance")) >= generalise))
+    if not seen.isEmpty():
+        pairs = holds.join(seen, "entity").select("entity", "key").join(terms_of_texts(texts), "key").groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+        far = pairs.join(seen, "entity").join(counts, "term").select("entity", "term", score(n_texts, c("n_entity"), c("n_both"), c("n_docs"), c("chance")).alias("disclosed"))
+        told = materialise(told.union(far.filter(c("disclosed") >= generalise)).groupBy("entity", "term").agg(F.max("disclosed").alias("disclosed")))
+    return told
+
+
+class Told:
+    """The disclosing terms as sorted 64-bit hashes, with what each gives away of some entity at most."""
+
+    def __init__(self, found: DataFrame, texts: DataFrame, remove: float = REMOVE, **limits):
+        mentions = found.filter(F.size("spans") > 0).dropDuplicates(["key"]).select("key", "n_terms", F.explode("spans").alias("m"))
+        bare = mentions.select(F.col("m.entity").alias("entity"), "key", "n_terms", F.transform("m.terms", lambda x: x["term"]).alias("terms"))
+        told = disclosing(bare, texts, **limits).groupBy("term").agg(F.max("disclosed").alias("d"))
+
+        def run(batches):
+            for b in batches:
+                hashes = np.array([term_hash(t) for t in b.column(0).to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(b.column(1).to_numpy() >= remove)], ["h", "removed"])
+
+        got = map_batches(told, run, "h long, removed boolean").toArrow()
+        hashes = got.column("h").to_numpy().view(np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.removed = hashes[order], got.column("removed").to_numpy()[order]
+
+    def spans(self, text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+        """Kinds ``generalised`` and ``removed``: every occurrence in ``text`` outside the base spans ``found``."""
+        here = list(set(terms(text))) if len(self.hashes) else []
+        if not here:
+            return []
+        asked = np.array([term_hash(t) for t in here], np.uint64)
+        at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
+        hits = {here[i]: "removed" if self.removed[at[i]] else "generalised" for i in np.flatnonzero(self.hashes[at] == asked).tolist()}
+        if not hits:
+            return []
+        out, taken, k, reached = [], sorted((a, b) for _, a, b in found), 0, 0
+        for m in TERM.finditer(text):
+            while k < len(taken) and taken[k][0] < m.end():
+                reached = max(reached, taken[k][1])
+                k += 1
+            if reached <= m.start() and (kind := hits.get(m[0].casefold())):
+                out.append((kind, m.start(), m.end()))
+        return out
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -181,38 +267,42 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     equal spans; an empty table gives no rows; other columns are dropped. The windows around a mention hold a bounded
     number of words, so a very long text costs time in proportion.
     """
-    found = materialise(find(docs, id_col, text_col))
-    added = materialise(term_spans(found, docs.select(F.col(text_col).alias("text"))))
-    plain = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    told = Told(materialise(find(docs, id_col, text_col)), docs.select(F.col(text_col).alias("text")))
+
+    def run(batches):
+        one = lambda found: [dict(zip(("kind", "start", "end"), x)) for x in found]
+        for b in batches:
+            plain, every = [], []
+            for t in b.column(1).to_pylist():
+                found = base(t) if t else []
+                plain.append(one(found))
+                every.append(one(found + (told.spans(t, found) if t else [])))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(plain, ARROW_PLAIN), pa.array(every, ARROW_PLAIN)], ["id", "base", "spans"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    out = map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, base array<{S.SPAN}>, spans array<{S.SPAN}>")
     kinds = (*KINDS, "generalised", "removed")
-    none = F.array().cast(f"array<{S.SPAN}>")
-    out = found.withColumn("base", plain).join(added, "key", "left")
-    return out.select("id", "base", S.ordered(F.concat("base", F.coalesce("added", none)), kinds, by_start=False).alias("spans"))
+    return out.select("id", "base", S.ordered(F.col("spans"), kinds, by_start=False).alias("spans"))
 
 
 def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced by marks or removed; all columns and rows stay, null
-    texts stay null. Base spans are found anew while masking; added spans come by a join on the text's digest, which
-    is left out where there are none."""
+    texts stay null. All spans are found anew while masking."""
     found = materialise(find(docs.select(F.lit(0).alias("_n"), F.col(text_col).alias("text")), "_n", "text").filter("key IS NOT NULL"))
-    added = materialise(term_spans(found, docs.select(F.col(text_col).alias("text"))))
+    told = Told(found, docs.select(F.col(text_col).alias("text")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    if added.isEmpty():
-        rows = rows.withColumn("added", F.array().cast(f"array<{S.SPAN}>"))
-    else:
-        rows = rows.join(added.withColumnRenamed("key", "_key"), F.sha2(F.col("text").cast("binary"), 256) == F.col("_key"), "left").drop("_key")
 
     def run(batches):
         for b in batches:
             out = []
-            for t, extra in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                marks = [(s, e, MARKS[k]) for k, s, e in base(t)] if t else []
-                marks += [(x["start"], x["end"], MARKS[x["kind"]]) for x in extra or []]
+            for t in b.column(1).to_pylist():
+                found = base(t) if t else []
+                marks = [(s, e, MARKS[k]) for k, s, e in found + (told.spans(t, found) if t else [])]
                 out.append(S.masked(t, marks) if marks else t)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["row", "text"])
 
     shape = rows.schema["row"].dataType.simpleString()
-    clean = map_batches(rows.select("row", "text", "added"), run, f"row {shape}, text string")
+    clean = map_batches(rows, run, f"row {shape}, text string")
     return clean.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
