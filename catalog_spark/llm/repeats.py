@@ -38,6 +38,7 @@ CORES = 4
 SLACK = WIDTH - GRAM
 REACH = SLACK + WIDTH
 COLLECTION = 4000
+HOT = 4 * COLLECTION
 CHUNK = 1 << 17
 BASE = 0x9E3779B97F4A7C15
 
@@ -125,14 +126,20 @@ def find_anchors(texts: DataFrame) -> DataFrame:
     return map_batches(texts, run, f"key binary, place long, anchor long, f1 long, f2 long, {cores}")
 
 
-def together(key: np.ndarray, *exact: np.ndarray) -> np.ndarray:
-    """Which rows equal another one: sorted by ``key``, neighbours compared on all of ``exact``."""
-    order = np.argsort(key)
-    same = np.ones(max(len(key) - 1, 0), bool)
+def arranged(label: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A stable order by label and words; a label and a hash are one key while 20 bits hold all labels."""
+    if not len(label) or int(label.max()) < 1 << 20:
+        return np.argsort((label << np.uint64(44)) | mix(words), kind="stable")
+    return np.lexsort((words[:, 1], words[:, 0], label))
+
+
+def together(order: np.ndarray, *exact: np.ndarray) -> np.ndarray:
+    """Which rows equal another one: neighbours in ``order`` compared on all of ``exact``."""
+    same = np.ones(max(len(order) - 1, 0), bool)
     for x in exact:
         y = x[order]
         same &= y[1:] == y[:-1]
-    out = np.zeros(len(key), bool)
+    out = np.zeros(len(order), bool)
     out[order[1:][same]] = out[order[:-1][same]] = True
     return out
 
@@ -160,7 +167,7 @@ def edges(found: np.ndarray, at: int, order: np.ndarray, common: np.ndarray, den
         start = at - back
         words = np.ascontiguousarray(around[:, around.shape[1] - BLOCK - back : around.shape[1] - back]).view("<u8")
         whole = (first[rows] <= start) & (start + WIDTH <= last[rows])
-        hit = together((label << np.uint64(44)) | mix(words), label, words[:, 0], words[:, 1], whole) & whole
+        hit = together(arranged(label, words), label, words[:, 0], words[:, 1], whole) & whole
         found[rows[hit], start] = True
 
 
@@ -169,7 +176,7 @@ def shared_starts(parts: np.ndarray, first: np.ndarray, last: np.ndarray, group:
     ``last``) whether the string that starts at each column also stands there in another row of the same ``group``."""
     n, most = len(parts), WIDTH // BLOCK + 1
     found = np.zeros((n, REACH - WIDTH + 1), bool)
-    top = np.unique(group, return_inverse=True)[1].astype(np.uint64) << np.uint64(44)
+    top = np.unique(group, return_inverse=True)[1].astype(np.uint64)
     folder = tempfile.mkdtemp()
     column, output = os.path.join(folder, "symbols"), os.path.join(folder, "transform")
     rounds = [BLOCK * t for t in reversed(range(REACH // BLOCK))]
@@ -182,7 +189,7 @@ def shared_starts(parts: np.ndarray, first: np.ndarray, last: np.ndarray, group:
             for at in rounds:
                 words = np.frombuffer(symbols.read(n * BLOCK), "<u8").reshape(n, 2)
                 there = (first <= at) & (at + BLOCK <= last)
-                new = np.argsort((top | mix(words))[order], kind="stable")  # places in the last order
+                new = arranged(top[order], words[order])  # places in the last order
                 then, a, b = order[new], new[:-1], new[1:]
                 u, v = then[:-1], then[1:]
                 same = (a < b) & (words[u] == words[v]).all(axis=1) & there[u] & there[v] & (group[u] == group[v])
@@ -236,6 +243,39 @@ def compare(table: pa.Table) -> pa.Table:
     return pa.table({c: table.column(c).take(rows) for c in ("anchor", "f1", "f2")} | {"from": pa.array(start, pa.int64()), "to": pa.array(end, pa.int64())})
 
 
+def strings(parts: DataFrame) -> DataFrame:
+    """(anchor, f1, f2, at, h1, h2): the 128-bit hash of each string of ``WIDTH`` bytes in each fragment."""
+
+    def run(batches):
+        for b in batches:
+            for first in range(0, b.num_rows, 64):
+                few = b.slice(first, 64)
+                rows, at, found = [], [], []
+                for i, (left, part) in enumerate(zip(few.column("left").to_pylist(), few.column("part").to_pylist())):
+                    for s in range(len(part) - WIDTH + 1):
+                        rows.append(i)
+                        at.append(s - left)
+                        found.append(xxhash.xxh3_128_digest(part[s : s + WIDTH]))
+                h = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
+                ids = [few.column(c).take(pa.array(rows, pa.int64())) for c in ("anchor", "f1", "f2")]
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(at, pa.int64()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], ["anchor", "f1", "f2", "at", "h1", "h2"])
+
+    return map_batches(parts, run, "anchor long, f1 long, f2 long, at long, h1 long, h2 long")
+
+
+def shared_hot(parts: DataFrame) -> DataFrame:
+    """What ``compare`` finds, for anchors with too many different fragments for one task: all their strings are
+    counted by hash, so that no task holds an anchor's fragments."""
+    ids = ["anchor", "f1", "f2"]
+    what = ["anchor", "at", "h1", "h2"]
+    often = materialise(strings(parts).groupBy(*what).agg(F.count("*").alias("n")).filter("n > 1").select(*what))
+    hits = strings(parts).join(often, what, "left_semi").groupBy(*ids).agg(F.array_sort(F.collect_list("at")).alias("at"))  # at most SLACK + 1
+    begins = F.filter("at", lambda x: ~F.array_contains("at", x - 1))
+    ends = F.filter("at", lambda x: ~F.array_contains("at", x + 1))
+    runs_ = F.explode(F.arrays_zip("a", "b")).alias("r")
+    return hits.select(*ids, begins.alias("a"), ends.alias("b")).select(*ids, runs_).select(*ids, F.col("r.a").alias("from"), (F.col("r.b") + WIDTH).alias("to"))
+
+
 def repeated_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(key, spans): for each different text with repeats, [start, end) byte spans that together cover them."""
     texts = docs.select(F.col(text_col).alias("text"))
@@ -265,8 +305,16 @@ def repeated_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     parts = map_batches(unique.join(by_text, "key").select("text", "wanted"), cut, "anchor long, f1 long, f2 long, left long, part binary")
     collection = F.pmod(F.xxhash64("anchor"), F.lit(pieces)).alias("collection")
+    hot = materialise(wanted.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("anchor"))
+    every, some = parts, not hot.isEmpty()
+    if some:
+        every = materialise(parts)
+        parts = every.join(hot, "anchor", "left_anti")
     shared = materialise(parts.withColumn("collection", collection).groupBy("collection").applyInArrow(compare, "anchor long, f1 long, f2 long, from long, to long"))
     told = kinds.filter("n > 1").select(*ids, F.lit(-SLACK).cast("long").alias("from"), F.lit(WIDTH).cast("long").alias("to")).union(shared)
+    if some:
+        told = told.union(materialise(shared_hot(every.join(hot, "anchor", "left_semi"))))
+        forget(every)
     covered = met.select("key", "place", *ids).join(told, ids)
     span = F.struct(F.greatest(F.col("place") + F.col("from"), F.lit(0)).alias("start"), (F.col("place") + F.col("to")).alias("end"))
     out = materialise(covered.groupBy("key").agg(F.collect_set(span).alias("spans")))

@@ -191,6 +191,27 @@ def test_repeats_against_brute_force(spark):
         assert row.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_repeats_of_hot_anchors(spark, monkeypatch):
+    """The same spans whether an anchor's fragments meet in one task or their strings are counted."""
+    r = random.Random(6)
+    word = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
+    passage, tails = word(420), [word(60) for _ in range(3)]
+    docs = spark.createDataFrame([(i, word(300 + i) + passage[i % 3 :] + r.choice(tails) + word(350)) for i in range(30)], "doc_id long, text string")
+    one = repeats.digest(docs).orderBy("doc_id").collect()
+    tasks = []
+    monkeypatch.setattr(repeats, "HOT", 4)
+    monkeypatch.setattr(repeats, "shared_hot", lambda parts, f=repeats.shared_hot: tasks.append(parts.count()) or f(parts))
+    assert repeats.digest(docs).orderBy("doc_id").collect() == one and sum(row.n_removed > 400 for row in one) == 30
+    assert tasks and tasks[0] > 4
+
+
+def test_labels_beyond_twenty_bits():
+    label = np.array([5, 5 + (1 << 20), 5, 5 + (1 << 20)] + [1 << 21] * 2, np.uint64)
+    words = np.array([[7, 7], [7, 7], [7, 7], [7, 7], [1, 2], [1, 2]], np.uint64)
+    assert label[repeats.arranged(label, words)].tolist() == sorted(label.tolist())
+    assert repeats.together(repeats.arranged(label, words), label, words[:, 0]).all()
+
+
 def test_weighted_fingerprints(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = weighted.digest(docs).toPandas().set_index("doc_id")
