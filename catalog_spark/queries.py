@@ -69,14 +69,14 @@ SELECT doc_id // 2 AS course_id, CASE lang WHEN 'en' THEN 'en' WHEN 'de' THEN 'k
        CASE WHEN doc_id % 10 = 0 THEN 'DRAFT' ELSE 'PUBLISH' END AS status, substr(text, 1, 60) AS title, substr(text, 61, 100) AS description, source AS keywords FROM documents"""
 
 
-def _dim(spark, sf) -> DataFrame:
+def _dim(spark, sf, rest: int = 100) -> DataFrame:
     day = lambda n: F.timestamp_seconds(F.lit(1_600_000_000) + n * 86_400)
     d = _t(spark, sf, "documents")
     c = F.col
     locale = F.when(c("lang") == "de", "ko").otherwise(c("lang"))
     return d.select(
         F.floor(c("doc_id") / 2).cast("long").alias("course_id"), locale.alias("locale"), day(c("doc_id") % 5).alias("fetched_at"),
-        F.when(c("doc_id") % 10 == 0, "DRAFT").otherwise("PUBLISH").alias("status"), F.substring("text", 1, 60).alias("title"), F.substring("text", 61, 100).alias("description"),
+        F.when(c("doc_id") % 10 == 0, "DRAFT").otherwise("PUBLISH").alias("status"), F.substring("text", 1, 60).alias("title"), F.substring("text", 61, rest).alias("description"),
         F.lit("main").alias("category_main_title"), F.lit("sub").alias("category_sub_title"), F.lit("beginner").alias("level_code"), c("source").alias("keywords"),
         times.epoch().alias("published_at"), day(c("doc_id") % 7).alias("last_updated_at"), "doc_id",
     )
@@ -514,3 +514,49 @@ def q_translate(spark, sf):
 
     asked = translate.apply_translator(translate.requests(rows, F.lit("fr"), list(backlog.COURSE_TEXTS), "m"), speak)
     return translate.course_translations(asked, "m")[0].select("course_id", "title", "level_code")
+
+
+# The same over whole tables: the queries above keep the cuts that their SQL has
+
+WHOLE = (1 << 31) - 1
+
+
+@query(SQL["q_backlog"].replace("substr(text, 61, 100)", "substr(text, 61)"))
+def q_backlog_whole(spark, sf):
+    return backlog.translation_backlog(_dim(spark, sf, WHOLE), _done(spark, sf), "ru", 100)
+
+
+@query(SQL["q_new_courses"].replace("substr(text, 61, 100)", "substr(text, 61)").replace("l.locale <> 'ko'", f"(l.locale <> 'ko' OR regexp_matches(l.title || l.description, '[{text.SCRIPTS['hangul']}]'))"))
+def q_new_courses_whole(spark, sf):
+    dim = _dim(spark, sf, WHOLE)
+    asked = dim.select("doc_id", (F.col("course_id") + 1).alias("course_id"), "locale")
+    return discovery.new_rows(asked, discovery.known_courses(dim), ["course_id", "locale"]).select("doc_id")
+
+
+@query(SQL["q_state_upsert"].replace(" WHERE c_custkey % 3 = 0", ""))
+def q_state_upsert_whole(spark, sf):
+    seen = _t(spark, sf, "events").select(F.col("user_id").alias("course_id"), F.lit(" EN").alias("locale"), F.when(F.col("event_type") == "view", " ").otherwise(F.col("event_type")).alias("source_url"), F.col("ts").cast("timestamp").alias("fetched_at"), F.col("event_id").alias("seq"))
+    old = F.timestamp_seconds(F.lit(0))
+    prior = _t(spark, sf, "customer").select(F.col("c_custkey").alias("course_id"), F.lit("en").alias("locale"), F.lit("old").alias("source_url"), old.alias("first_seen_at"), old.alias("last_fetched_at"))
+    return state.upsert(prior, seen).select("course_id", "locale", "source_url", F.unix_millis("first_seen_at").alias("first_ms"), F.unix_millis("last_fetched_at").alias("last_ms"))
+
+
+def _compact_sql(x: str, n: int) -> str:
+    return f"substr(replace(replace(trim(regexp_replace({x}, '[\\s]+', ' ', 'g')), 'http://', ''), 'https://', ''), 1, {n})"
+
+
+@query(f"SELECT doc_id AS course_id, {_compact_sql("'T ' || coalesce(substr(text, 1, 40), '')", 180)} AS title, {_compact_sql("coalesce(text, '')", 500)} AS description, 'beginner' AS level_code FROM documents")
+def q_translate_whole(spark, sf):
+    said = F.coalesce("text", F.lit(""))
+    rows = _t(spark, sf, "documents").select(
+        F.col("doc_id").alias("course_id"), F.lit("ko").alias("locale"), F.substring(said, 1, 40).alias("title"), said.alias("description"), F.lit("").alias("category_main_title"), F.lit("").alias("category_sub_title"), F.lit("beginner").alias("level_code"), F.lit("").alias("keywords")
+    )
+
+    def speak(asked):
+        import json
+
+        given = [json.loads(json.loads(r)["messages"][1]["content"]) for r in asked]
+        return [json.dumps({"choices": [{"message": {"content": "Sure: " + json.dumps({"title": "T " + g["title"], "description": g["description"]})}}]}) for g in given]
+
+    asked = translate.apply_translator(translate.requests(rows, F.lit("fr"), list(backlog.COURSE_TEXTS), "m"), speak)
+    return translate.course_translations(asked, "m")[0].select("course_id", "title", "description", "level_code")

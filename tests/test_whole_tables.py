@@ -17,3 +17,21 @@ def test_paged_union_stops_after_a_short_page(spark):
     hits = spark.createDataFrame(rows, "pos long, page long")
     got = search.paged_union(hits, ["pos"], 10)
     assert sorted(r["pos"] for r in got.collect()) == [i for i in range(20) if i != 15]
+
+
+def test_translation_takes_all_documents_with_their_texts(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    got = queries.QUERIES["q_translate_whole"](spark, SF)
+    assert got.count() == documents.count()
+    assert got.filter("length(description) > 400").count() >= documents.filter("length(trim(text)) > 1000").count() > 0
+
+
+def test_prior_state_holds_all_customers(spark):
+    keys = spark.read.parquet(f"{SF}/customer.parquet").select("c_custkey")
+    got = queries.QUERIES["q_state_upsert_whole"](spark, SF).select("course_id")
+    assert keys.subtract(got).filter("c_custkey > 0").isEmpty()
+
+
+def test_descriptions_hold_the_rest_of_the_texts(spark):
+    longest = queries._dim(spark, SF, queries.WHOLE).selectExpr("max(length(title) + length(description))").first()[0]
+    assert longest == spark.read.parquet(f"{SF}/documents.parquet").selectExpr("max(length(text))").first()[0]
