@@ -60,6 +60,19 @@ def head_first(head: DataFrame, scan: DataFrame) -> DataFrame:
     return head.withColumn("seq", F.lit(0)).unionByName(scan.withColumn("seq", F.lit(1)), allowMissingColumns=True)
 
 
-def flush_batches(rows: DataFrame, order: list[str], size: int) -> DataFrame:
-    """The number of the flush that each scanned row falls in (for slices that scan_slice has bounded)."""
-    return rows.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size).cast("long"))
+def flush_batches(rows: DataFrame, order: list[str], size: int, ranges: int = 64) -> DataFrame:
+    """The number of the flush that each scanned row falls in.
+
+    Rows are numbered in ranges of the order and ranges are put one after the other by a prefix sum of their sizes, so
+    no task takes all rows. The cuts between ranges are drawn by hash and change no result.
+    """
+    at = F.struct(*order)
+    drawn = rows.select(at.alias("at")).orderBy(F.xxhash64("at"), "at").limit(ranges - 1)
+    cuts = drawn.agg(F.array_sort(F.collect_list("at")).alias("_cuts"))
+    dealt = rows.crossJoin(cuts).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < at))).drop("_cuts")
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    first = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    numbered = dealt.withColumn("_k", F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1).join(first, "_range")
+    return numbered.withColumn("batch", F.floor((F.col("_first") + F.col("_k")) / size).cast("long")).drop("_range", "_k", "_first")
+

@@ -77,10 +77,13 @@ def enqueue(chunks: DataFrame, outbox: DataFrame, database: str, table: str, col
     )
 
 
-def pending(outbox: DataFrame, limit: int = 50) -> DataFrame:
-    """Well-formed pending chunks, oldest first; malformed ones (a blank field) stay pending."""
+def pending(outbox: DataFrame, limit: int | None = 50) -> DataFrame:
+    """Well-formed pending chunks among the ``limit`` oldest, or all of them in no order without a limit; malformed
+    ones (a blank field) stay pending."""
     whole = C.any_of([F.trim(F.coalesce(c, F.lit(""))) == "" for c in ("outbox_uuid", "target_database", "target_table", "rows_json")])
-    first = outbox.filter(F.col("replayed_at").isNull()).orderBy("created_at", "outbox_uuid").limit(limit)
+    first = outbox.filter(F.col("replayed_at").isNull())
+    if limit is not None:
+        first = first.orderBy("created_at", "outbox_uuid").limit(limit)
     return first.filter(~whole & (F.size("target_columns") > 0))
 
 

@@ -468,14 +468,14 @@ def _box(spark, sf) -> DataFrame:
 
 @query("SELECT 'orders' AS target_table, count(*) AS n_rows, 0 AS attempts, 'connection refused' AS source_error FROM orders")
 def q_outbox_pending(spark, sf):
-    waiting = outbox.pending(_box(spark, sf), 1_000_000)
+    waiting = outbox.pending(_box(spark, sf), None)
     return waiting.groupBy("target_table", "source_error").agg(F.sum("row_count").alias("n_rows"), F.max("replay_attempt").alias("attempts"))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def q_outbox_replay(spark, sf):
     rows = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    return outbox.replay_rows(outbox.pending(_box(spark, sf), 1_000_000), "orders", rows.schema)
+    return outbox.replay_rows(outbox.pending(_box(spark, sf), None), "orders", rows.schema)
 
 
 @query("SELECT event_type = 'view' AS bad, count(*) AS n, 1 AS attempts FROM events GROUP BY 1")

@@ -1,6 +1,7 @@
 """Queries over whole tables: nothing of the input is left out."""
 
 from catalog_spark import queries
+from catalog_spark.operators import discovery
 from catalog_spark.sources import search
 
 SF = "/root/testdata/sf0.01"
@@ -35,3 +36,19 @@ def test_prior_state_holds_all_customers(spark):
 def test_descriptions_hold_the_rest_of_the_texts(spark):
     longest = queries._dim(spark, SF, queries.WHOLE).selectExpr("max(length(title) + length(description))").first()[0]
     assert longest == spark.read.parquet(f"{SF}/documents.parquet").selectExpr("max(length(text))").first()[0]
+
+
+def test_outbox_queries_have_no_row_cap(spark):
+    for name in ("q_outbox_pending", "q_outbox_replay"):
+        plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Limit" not in plan and "Sort [created_at" not in plan
+
+
+def test_flush_batches_in_ranges(spark):
+    rows = spark.createDataFrame([(i * 7919 % 1009 if i % 50 else None, i) for i in range(1009)], "k long, i long")
+    flushed = discovery.flush_batches(rows, ["k", "i"], 20, 8)
+    got = sorted((r["k"] is not None, r["k"] or 0, r["i"], r["batch"]) for r in flushed.collect())
+    assert [r[3] for r in got] == [n // 20 for n in range(1009)]
+    assert discovery.flush_batches(rows.limit(0), ["k"], 20).count() == 0
+    plan = discovery.flush_batches(rows, ["k", "i"], 20)._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number() windowspecdefinition(k" not in plan  # no window over all rows
