@@ -2,9 +2,10 @@
 
 A credential has parts: an access identifier, a secret and an endpoint. Base spans are strong parts. Weak candidates
 (short access identifiers, user or client names, mixed tokens, short hexadecimal runs, service addresses) are
-everywhere in clean texts, so they are reported only where complementary parts stand in their scope: starts within
-``SCOPE`` code points in one text. The interval join is a range window over the candidates' starts: candidates are
-few code points long, so a scope holds a bounded number of them, and no pairs are made.
+everywhere in clean texts, so they are reported only where complementary parts stand in their scope: at most ``SCOPE``
+code points between the end of one and the start of the other. The interval join is a running maximum of ends, for
+each role, over the starts and scopes' ends of a text in order: a part is in scope if any that starts before the
+scope's end ends after the scope's start. No pairs are made.
 """
 
 from __future__ import annotations
@@ -89,9 +90,12 @@ def confirmed(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     parts = found.filter("key IS NOT NULL").dropDuplicates(["key"])
     parts = parts.select("key", F.explode(F.concat("base", "weak")).alias("s")).select("key", "s.*")
     role = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])[F.col("kind")]
-    near = Window.partitionBy("key").orderBy("start").rangeBetween(-scope, scope)
-    has = {r: F.max((F.col("role") == r).cast("int")).over(near) == 1 for r in ("id", "secret", "endpoint")}
-    told = parts.withColumn("role", role).withColumns({f"has_{r}": c for r, c in has.items()})
+    places = F.array(F.struct(F.col("start").alias("at"), F.lit(False).alias("asks")), F.struct((F.col("end") + scope).alias("at"), F.lit(True).alias("asks")))
+    events = parts.withColumn("role", role).select("*", F.explode(places).alias("p")).select("key", "kind", "start", "end", "role", "p.*")
+    before = Window.partitionBy("key").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # of one place, starts come first
+    reach = {r: F.max(F.when((F.col("role") == r) & ~F.col("asks"), F.col("end"))).over(before) for r in ("id", "secret", "endpoint")}
+    has = {f"has_{r}": F.coalesce(c >= F.col("start") - scope, F.lit(False)) for r, c in reach.items()}
+    told = events.withColumns(has).filter("asks")
     met = (
         F.when(F.col("kind") == "weak_id", F.col("has_secret"))
         .when(F.col("kind") == "weak_secret", F.col("has_id") | F.col("has_endpoint"))

@@ -115,6 +115,24 @@ def test_linked_credentials(spark):
     assert got[3]["spans"].startswith("assign:") and "," not in got[3]["spans"]
 
 
+def test_scope_is_the_gap_between_parts(spark):
+    secret, name = "secret=" + "Ab1" * 100, "client_id = alpha9"
+    r = random.Random(8)
+    texts = [f"{secret} {name}", f"{name} {'x ' * 85}{secret}", f"{secret}{' x' * 99} {name}", f"{secret}{' x' * 101} {name}"]
+    texts += [" ".join(r.choice([secret, name, "https://a.example/" + "p" * 250, "word " * r.randint(1, 50), "token: abcdef"]) for _ in range(12)) for _ in range(60)]
+    got = {row["id"]: {tuple(x) for x in row["spans"]} for row in secrets.detect(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, t in enumerate(texts):
+        strong = secrets.base(t)
+        parts = strong + secrets.weak(t, strong)
+        want = set(strong)
+        for kind, a, b in parts:
+            roles = {secrets.ROLES[x] for x, c, d in parts if max(c - b, a - d) <= secrets.SCOPE}
+            if kind == "weak_id" and "secret" in roles or kind == "weak_secret" and roles & {"id", "endpoint"} or kind == "endpoint" and {"id", "secret"} <= roles:
+                want.add((kind, a, b))
+        assert got[k] == want, t
+    assert len(got[0]) == 2 and len(got[2]) == 2 and len(got[3]) == 1
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.digest(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
