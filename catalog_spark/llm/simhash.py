@@ -121,7 +121,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, parts: int = PARTS) -> Data
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(id, fp, component) for each row; ``component`` is the least id linked to it, itself included.
+    """(id, fp, component, root) for each row; ``component`` is the least id linked to it, itself included, and ``root``
+    tells components apart where ids are repeated or null.
 
     A null or wordless text has fingerprint 0 and links like any other. Repeated rows give a row each and fall in
     one component; a null id is never a component's id unless all its ids are null; an empty table gives no rows.
@@ -131,8 +132,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = connected_components(links(classes.select("fp"), radius), "a", "b")
     rooted = materialise(classes.join(rooted, classes.fp == rooted.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.join(ids, "root").select("fp", "component")
-    return marked.join(named, "fp").select("id", "fp", "component")
+    named = rooted.join(ids, "root").select("fp", "component", "root")
+    return marked.join(named, "fp").select("id", "fp", "component", "root")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -21,17 +21,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the least doc_id stays (of repeated ids one row of the least fingerprint)."""
+    """Of each group the document with the least doc_id stays (of repeated ids one row of the group's least fingerprint)."""
     found = materialise(simhash.near_duplicates(docs))
-    kept = found.filter(F.col("id").eqNullSafe(F.col("component"))).groupBy("component").agg(F.count("*").alias("n"), F.min("fp").alias("fp"))
+    kept = found.filter(F.col("id").eqNullSafe(F.col("component"))).groupBy("root").agg(F.count("*").alias("n"), F.first("component").alias("component"), F.min("fp").alias("fp"))
     kept = materialise(kept.withColumnRenamed("component", "_kept"))
     out = docs.join(kept.select("_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
     if kept.filter("n > 1").isEmpty() and found.groupBy("id").count().filter("count > 1").isEmpty():
         return out
-    # Repeated ids: tell their rows apart by fingerprint, and leave one of each.
+    # Repeated ids: tell their rows apart by fingerprint, and leave one of each group.
     prints = simhash.fingerprints(docs.select(F.struct("*").alias("row"), "text"), "row", "text")
-    rows = prints.join(kept, F.col("id.doc_id").eqNullSafe(F.col("_kept")) & (prints.fp == kept.fp)).select(F.col("id").alias("row"), "_kept")
-    return rows.groupBy("_kept").agg(F.first("row").alias("row")).select("row.*")
+    rows = prints.join(kept, F.col("id.doc_id").eqNullSafe(F.col("_kept")) & (prints.fp == kept.fp)).select(F.col("id").alias("row"), F.col("root").alias("_root"))
+    return rows.groupBy("_root").agg(F.first("row").alias("row")).select("row.*")
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

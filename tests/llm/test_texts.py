@@ -189,6 +189,18 @@ def test_simhash_forest_keeps_connectivity(spark, monkeypatch):
     assert got.node.is_unique and got.root.nunique() == 6 and len(got) == len(prints)
 
 
+def test_groups_that_share_an_id_each_keep_one(spark):
+    import corpus_pipeline
+
+    r = random.Random(9)
+    one, two = (" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(80)) for _ in range(2))
+    for least in (1, None):
+        ids = [least, least, 5, 6] if least else [None] * 4
+        rows = list(zip(ids, [one, two, one, two]))
+        kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+        assert sorted((x["doc_id"], x["text"]) for x in kept) == sorted([(least, one), (least, two)])
+
+
 def test_repeats_against_brute_force(spark):
     r = random.Random(5)
     word = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
