@@ -5,7 +5,7 @@ character; runs without a letter do not count. Each is hashed to a bucket with a
 linear layer and softmax. A temperature fitted on labelled rows that training did not see calibrates the
 probabilities, and the rejection threshold is the lowest one at which the accepted among those rows err no more often
 than ``TARGET_ERROR``, ``FLOOR`` at least. Training takes a bounded sample (``SAMPLE_DOCS`` rows, as many of each
-language, at most ``SAMPLE_CHARS`` characters of each); prediction takes every whole text.
+language, and no more than have ``SAMPLE_CHARS`` characters in all) of whole texts; prediction takes every whole text.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import map_batches
 
 SAMPLE_DOCS = 4000
-SAMPLE_CHARS = 1500
+SAMPLE_CHARS = 32_000_000
 BUCKETS = 1 << 16
 DIMS = 12
 EPOCHS = 6
@@ -137,7 +137,8 @@ def fold(id_: Column) -> Column:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Model:
-    """Train on a sample of rows with a language: as many of each as ``docs`` allows, chosen and ordered by hash."""
+    """Train on the whole texts of a sample of rows with a language: as many of each as ``docs`` allows, chosen and
+    ordered by hash, up to the row that brings them to ``chars`` characters."""
     rows = labelled.filter(F.col(lang_col).isNotNull())
     per = {r[0]: r[1] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(docs).collect()}
     if not per:
@@ -146,7 +147,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     turn = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("sample"))
     share = F.create_map(*[x for k, n in per.items() for x in (F.lit(k), F.lit(min(1.0, 1.1 * quota / n)))])[F.col(lang_col)]
     chosen = rows.filter(F.pmod(turn, F.lit(1_000_003)) < share * 1_000_003)
-    got = chosen.select(turn.alias("turn"), F.substring(text_col, 1, chars).alias("text"), F.col(lang_col).alias("lang")).orderBy("turn", "lang", "text").limit(docs).collect()
+    few = chosen.select(turn.alias("turn"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).orderBy("turn", "lang", "text").limit(docs)
+    before = Window.orderBy("turn", "lang", "text").rowsBetween(Window.unboundedPreceding, -1)  # at most ``docs`` rows
+    few = few.withColumn("before", F.coalesce(F.sum(F.length("text")).over(before), F.lit(0))).filter(F.col("before") < chars)
+    got = few.orderBy("turn", "lang", "text").select("text", "lang").collect()
     return train([r["text"] or "" for r in got], [r["lang"] for r in got])
 
 

@@ -140,6 +140,17 @@ def test_language_held_out(spark):
     assert got.score.between(0, 1).all()
 
 
+def test_language_training_takes_whole_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda texts, labels: seen.append(texts))
+    header = "dies ist ein langer Kopf in einer anderen Sprache " * 40
+    docs = spark.createDataFrame([(i, header + f"the text itself {i} " * 200, "en") for i in range(6)], "doc_id long, text string, lang string")
+    langid.fit(docs)
+    assert sorted(seen[0]) == sorted(r["text"] for r in docs.collect())
+    langid.fit(docs, chars=6000)
+    assert 0 < len(seen[1]) < 6 and set(seen[1]) < set(seen[0])
+
+
 def test_language_rejection(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.fit(docs)
