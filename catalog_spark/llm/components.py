@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Rows with a null end and loops link nothing and give no node (callers keep lone nodes by a left join); repeated
     edges count once; an empty table gives no rows. The number of rounds is logarithmic; each round is written to
-    the shared folder, so no lineage builds up.
+    the shared folder, so no lineage builds up, and so is the result.
     """
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
     now = materialise(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -37,7 +37,9 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while True:
         state = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
         if state == seen or state[0] == 0:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v"), F.col("v")).distinct())
+            out = materialise(now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v"), F.col("v")).distinct()))
+            forget(now)
+            return out
         seen = state
         then = materialise(_star(_star(now, True), False))
         forget(now)

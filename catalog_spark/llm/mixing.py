@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import materialise
+from .tables import forget, materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -76,6 +76,7 @@ def mix(rows: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
     counts = narrow.join(s, same).groupBy("source", bucket.alias("bucket")).agg(F.count("*").alias("rows"))
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = materialise(counts.select(F.col("source").alias("_bs"), F.col("bucket").alias("_bb"), F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("ahead")))
+    forget(narrow)
     within = Window.partitionBy("source", "bucket").orderBy(F.col("size"), F.col("id").asc_nulls_first())
     out = rows.join(s, same).drop("_s").withColumn("bucket", bucket).withColumn("at", F.row_number().over(within) - 1)
     out = out.join(counts, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("bucket") == F.col("_bb")))
@@ -93,6 +94,27 @@ def emit(mixed: DataFrame) -> DataFrame:
     return mixed.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
+def resample(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **settings) -> DataFrame:
+    """What ``emit`` gives for whole documents, sized by their words: all columns, each row as often as the mix takes it.
+
+    Only ids, sources and sizes are ranked. Their copies meet the documents by 128 bits of hashes of id, source and
+    text, in a hash join, so that whole texts are shuffled once and never sorted. Equal rows share their copies.
+    """
+    parts = [F.col(f"`{c}`") for c in (id_col, source_col, text_col)]
+    key = [F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit(1), *parts).alias("k2")]
+    narrow = materialise(docs.select(*key, parts[0].alias("id"), parts[1].alias("source"), word_count(parts[2]).alias("size")))
+    taken = mix(narrow, "id", "source", **settings).groupBy("row.k1", "row.k2").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+    taken = materialise(taken.filter("copies > 0"))
+    forget(narrow)
+    rows = docs.select(*key, F.struct("*").alias("row"))
+    met = rows.join(taken.filter("n = 1").drop("n").hint("shuffle_hash"), ["k1", "k2"]).select("row", "copies")
+    equal = taken.filter("n > 1").drop("n")
+    if not equal.isEmpty():
+        one = rows.join(equal, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("row").alias("row"))
+        met = met.union(one.join(equal, ["k1", "k2"]).select("row", "copies"))
+    return emit(met)
+
+
 SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size FROM documents

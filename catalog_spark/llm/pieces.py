@@ -7,6 +7,9 @@ ones, and steps back where none fits; a bitfield marks positions from which no c
 
 Texts are cut where no piece of the vocabulary holds the two characters at the cut side by side; no merge can cross
 such a place. For usual models these are the places before a space mark that follows another character.
+
+Each worker remembers words' ids and pairs' checks in two caches of ``CACHE_BYTES`` and ``PAIR_ENTRIES`` at most, also
+within one text, and empties them at the end of each task.
 """
 
 from __future__ import annotations
@@ -20,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import map_batches
+from .tables import map_arrow, slices
 
 MARK = "▁"
 CACHED_CHARS = 48
-CACHE_ENTRIES = 250_000
-PAIR_ENTRIES = 200_000
-ROWS_AT_ONCE = 256
+CACHE_BYTES = 30_000_000
+ENTRY_BYTES = 240  # an entry's objects and its place in the table; its characters and ids come on top
+PAIR_ENTRIES = 150_000
+KEYS_AT_ONCE = 4096
 
 
 class MergeCoder:
@@ -70,8 +74,13 @@ class MergeCoder:
         self.search.make_automaton()
         self.packed = {p: np.array([i], "<u4").tobytes() for p, i in self.id.items()}
         self.plain = not any(b[1] == MARK and b[0] != MARK for b in self.joined) and not any("\n" in p for p in self.score)
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the caches."""
         self.fits: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
+        self.size = 0
 
     def remerge(self, text: str) -> list[str]:
         """Merge the characters of a short text: best score first, leftmost of equals."""
@@ -137,10 +146,18 @@ class MergeCoder:
         if got is None and len(key) > 1 and marked[-2:] not in self.joined:
             stem = self.known.get(key[:-1])  # "word," is "word" and ","
             if stem is None:
-                stem = self.known[key[:-1]] = self.word_ids(key[:-1])
+                stem = self.word_ids(key[:-1])
+                self.remember(key[:-1], stem)
             return stem + self.marked_ids(key[-1])
         return self.marked_ids(marked) if got is None else got
 
+    def remember(self, key: str, ids: bytes) -> None:
+        if self.size > CACHE_BYTES:
+            self.known.clear()
+            self.size = 0
+        self.known[key] = ids
+        self.size += ENTRY_BYTES + len(key) + len(ids)
+
     def encode(self, text: str) -> bytes:
         """Ids without begin and end, packed as little-endian unsigned 32-bit integers."""
         if not text:
@@ -156,20 +173,22 @@ class MergeCoder:
         return self._looked_up(keys)
 
     def _looked_up(self, keys: list[str]) -> bytes:
+        if len(keys) > KEYS_AT_ONCE:
+            return b"".join([self._looked_up(keys[k : k + KEYS_AT_ONCE]) for k in range(0, len(keys), KEYS_AT_ONCE)])
         known = self.known
         try:
             return b"".join([known[k] for k in keys])
         except KeyError:
             pass
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
         out = []
         for k in keys:
             got = known.get(k)
             if got is None:
-                got = self.word_ids(k) if len(k) <= CACHED_CHARS else self.marked_ids(k if k[:1] == "\n" else MARK + k)
                 if len(k) <= CACHED_CHARS:
-                    known[k] = got
+                    got = self.word_ids(k)
+                    self.remember(k, got)
+                else:
+                    got = self.marked_ids(k if k[:1] == "\n" else MARK + k)
             out.append(got)
         return b"".join(out)
 
@@ -212,14 +231,16 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         c = coder(model)
-        for b in batches:
-            for k in range(0, b.num_rows, ROWS_AT_ONCE):
-                part = b.slice(k, ROWS_AT_ONCE)
-                ids = [c.framed(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())], ["id", "ids", "decoded"])
+        try:
+            for b in batches:
+                for part, texts in slices(b, b.column(1)):
+                    ids = [c.framed(t) for t in texts]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())], ["id", "ids", "decoded"])
+        finally:
+            c.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, ids binary, decoded string")
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, ids binary, decoded string")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -228,11 +249,12 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     def run(batches):
         c = coder(model)
         for b in batches:
-            text = pa.array([None if x is None else c.decode(x) for x in b.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), text], ["id", "ids", "decoded"])
+            for part, ids in slices(b, b.column(1)):
+                text = pa.array([None if x is None else c.decode(x) for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), text], ["id", "ids", "decoded"])
 
     kind = encoded.schema["id"].dataType.simpleString()
-    return map_batches(encoded.select("id", "ids"), run, f"id {kind}, ids binary, decoded string")
+    return map_arrow(encoded.select("id", "ids"), run, f"id {kind}, ids binary, decoded string")
 
 
 def digest(docs: DataFrame, model: bytes) -> DataFrame:

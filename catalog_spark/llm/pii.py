@@ -6,8 +6,11 @@ a term t and an entity e have pointwise mutual information log2(p(e, t) / (p(e)
 PMI / IC(e) of the entity's information content IC(e) = -log2 p(e). Terms from ``GENERALISE`` on are generalised to
 their shape's class, from ``REMOVE`` on removed, wherever they occur in any text. Texts count as windows too, so that
 a term far from the mentions is scored. Equal windows (copies of a passage) and equal texts count once for an entity.
-Every pair is scored; ``score`` discounts p(t | e) by the number of contexts that show it. The disclosing terms go to
-the workers as 64-bit hashes, 9 bytes a term.
+Every pair is scored; ``score`` discounts p(t | e) by the number of contexts that show it.
+
+Two passes over the texts: ``scan`` lists mentions and counts terms, and a second one marks spans. Up to ``MOST_TOLD``
+disclosing terms go to the workers as 64-bit hashes, 9 bytes a term; if there are more, each text's terms are joined
+with them instead, after a Bloom filter of ``FILTER_BITS`` bits has left out most that do not disclose.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +27,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import spans as S
-from .tables import map_batches, materialise
+from .tables import forget, map_arrow, materialise, slices
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 6
 CHANCE = 0.05
 GENERALISE = 0.5
 REMOVE = 0.8
+MOST_TOLD = 2_000_000
+FILTER_BITS = 1 << 25
+COUNTED = 100_000  # different terms that a task counts before it hands them on
+REMEMBERED = 100_000  # terms whose verdict a task remembers
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -117,33 +125,13 @@ def around(text: str, start: int, end: int, found: list[tuple[str, int, int]], r
     return out
 
 
-FOUND = "key string, n_terms long, spans array<struct<kind:string,start:long,end:long,entity:string,terms:array<struct<term:string,start:long,end:long>>>>"
-
-
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, key, n_terms, spans) for each row: base spans with entity and nearby terms; ``key`` names texts that have
-    any, and ``n_terms`` counts the different terms of these."""
-
-    def run(batches):
-        for b in batches:
-            keys, sizes, rows = [], [], []
-            for t in b.column(1).to_pylist():
-                found = base(t) if t else []
-                keys.append(text_key(t) if found else None)
-                sizes.append(len(set(terms(t))) if found else 0)
-                rows.append([
-                    {"kind": k, "start": s, "end": e, "entity": entity(k, t[s:e]), "terms": [dict(zip(("term", "start", "end"), x)) for x in around(t, s, e, found)]}
-                    for k, s, e in found
-                ])
-            yield pa.RecordBatch.from_pydict({"id": b.column(0), "key": pa.array(keys, pa.string()), "n_terms": pa.array(sizes, pa.int64()), "spans": pa.array(rows, ARROW_SPANS)})
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, {FOUND}")
-
-
-ARROW_TERM = pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+SCANNED = "key string, n_terms long, terms array<string>, mentions array<struct<entity:string,terms:array<string>>>, term string, n_term long, n_docs long, n_words long, n_texts long"
 ARROW_PLAIN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("entity", pa.string()), ("terms", pa.list_(ARROW_TERM))]))
+ARROW_SCANNED = pa.schema([
+    ("key", pa.string()), ("n_terms", pa.int64()), ("terms", pa.list_(pa.string())), ("mentions", pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.string()))]))),
+    ("term", pa.string()), ("n_term", pa.int64()), ("n_docs", pa.int64()), ("n_words", pa.int64()), ("n_texts", pa.int64()),
+])
+IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
 def terms(text: str) -> list[str]:
@@ -158,33 +146,58 @@ def term_hash(term: str) -> int:
     return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
 
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """(term, n_term, n_docs): how often each term occurs in the corpus, and in how many of its texts."""
+def n_words(text: str) -> int:
+    space = IS_SPACE[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)]
+    return int(np.count_nonzero(space[:-1] & ~space[1:]) + (not space[0])) if len(space) else 0
 
-    def run(batches):
-        for b in batches:
-            n, docs = Counter(), Counter()
-            for t in b.column(0).to_pylist():
-                here = terms(t) if t else []
-                n.update(here)
-                docs.update(set(here))
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([docs[x] for x in n], pa.int64())], ["term", "n_term", "n_docs"])
 
-    counted = map_batches(texts, run, "term string, n_term long, n_docs long")
-    return counted.groupBy("term").agg(F.sum("n_term").alias("n_term"), F.sum("n_docs").alias("n_docs"))
+def scan(texts: DataFrame) -> DataFrame:
+    """One pass over the column ``text``, three sorts of rows: (key, n_terms, terms, mentions) for each text with base
+    spans, its different terms and those near each mention; (term, n_term, n_docs) partial counts of the corpus' terms;
+    and (n_words, n_texts) partial totals. A null text is a text without words."""
 
-
-def terms_of_texts(texts: DataFrame) -> DataFrame:
-    """(key, term) for the different terms of the texts that have base spans."""
+    def counts(n: Counter, docs: Counter) -> Iterator[pa.RecordBatch]:
+        folded: Counter = Counter()
+        for x, k in n.items():
+            folded[x.casefold()] += k
+        listed = list(folded)
+        for k in range(0, len(listed), 10_000):
+            yield _rows(term=(some := listed[k : k + 10_000]), n_term=[folded[x] for x in some], n_docs=[docs[x] for x in some])
+        n.clear()
+        docs.clear()
 
     def run(batches):
+        n, docs, words, seen = Counter(), Counter(), 0, 0
         for b in batches:
-            for t in b.column(0).to_pylist():
-                if t and base(t):
-                    here = sorted(set(terms(t)))
-                    yield pa.RecordBatch.from_arrays([pa.array([text_key(t)] * len(here), pa.string()), pa.array(here, pa.string())], ["key", "term"])
-
-    return map_batches(texts, run, "key string, term string")
+            for _, some in slices(b, b.column(0)):
+                keys, here, mentions = [], [], []
+                for t in some:
+                    seen += 1
+                    if not t:
+                        continue
+                    words += n_words(t)
+                    found = TERM.findall(t)
+                    n.update(found)
+                    different = {x.casefold() for x in set(found)}
+                    docs.update(different)
+                    if spans := base(t):
+                        keys.append(text_key(t))
+                        here.append(sorted(different))
+                        mentions.append([{"entity": entity(k, t[a:e]), "terms": [x[0] for x in around(t, a, e, spans)]} for k, a, e in spans])
+                if keys:
+                    yield _rows(key=keys, n_terms=[len(x) for x in here], terms=here, mentions=mentions)
+                if len(n) > COUNTED:
+                    yield from counts(n, docs)
+        yield from counts(n, docs)
+        if seen:
+            yield _rows(n_words=[words], n_texts=[seen])
+
+    return map_arrow(texts, run, SCANNED)
+
+
+def _rows(**columns: list) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns.get(f.name, [None] * n), f.type) for f in ARROW_SCANNED], schema=ARROW_SCANNED)
 
 
 def score(n: float, n_entity: Column, n_both: Column, n_term: Column, chance: Column) -> Column:
@@ -194,70 +207,160 @@ def score(n: float, n_entity: Column, n_both: Column, n_term: Column, chance: Co
     return F.log2(n_both * F.pow(chance, 1 / n_both) * n / (n_entity * F.greatest(n_term, n_both))) / F.log2(n / n_entity)
 
 
-def disclosing(mentions: DataFrame, texts: DataFrame, generalise: float = GENERALISE, reach: int = REACH, chance: float = CHANCE) -> DataFrame:
+def disclosing(scanned: DataFrame, generalise: float = GENERALISE, reach: int = REACH, chance: float = CHANCE) -> DataFrame:
     """(entity, term, disclosed) for the terms that give away at least ``generalise`` of an entity's information.
 
-    ``mentions``: (entity, key, n_terms, terms array); ``texts``: one column ``text``, the whole corpus, which gives
-    the terms' counts. All pairs are scored, over windows and over texts. A text tries all its terms at once, so there
-    ``chance`` is divided by their number; entities whose best possible term would stay under ``generalise`` then are
-    left out before their texts' terms are listed, which changes no result.
+    ``scanned`` is the output of ``scan`` over the whole corpus. All pairs are scored, over windows and over texts. A
+    text tries all its terms at once, so there ``chance`` is divided by their number; entities whose best possible
+    term would stay under ``generalise`` then are left out before their texts' terms are listed, which changes no result.
     """
     c = F.col
-    counts = materialise(vocabulary(texts))
-    words, n_texts = texts.agg(F.sum(F.regexp_count("text", F.lit(WORD.pattern))), F.count("*")).first()
+    counted = scanned.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n_term").alias("n_term"), F.sum("n_docs").alias("n_docs"))
+    counts = materialise(counted)
+    words, n_texts = scanned.agg(F.sum("n_words"), F.sum("n_texts")).first()
+    texts = materialise(scanned.filter("key IS NOT NULL").select("key", "n_terms", "terms", "mentions").dropDuplicates(["key"]))
+    mentions = texts.select("key", "n_terms", F.explode("mentions").alias("m")).select("key", "n_terms", "m.*")
     windows = mentions.select("entity", F.xxhash64("terms").alias("window"), F.array_distinct("terms").alias("terms"))
     windows = materialise(windows.dropDuplicates(["entity", "window"]))
     pairs = windows.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
     pairs = pairs.join(windows.groupBy("entity").agg(F.count("*").alias("n_entity")), "entity").join(counts, "term")
     near = pairs.select("entity", "term", score(max(words or 0, 1) / (2 * reach + 1), c("n_entity"), c("n_both"), c("n_term"), F.lit(chance)).alias("disclosed"))
-    told = materialise(near.filter(c("disclosed") >= generalise))
+    told = near.filter(c("disclosed") >= generalise)
 
     holds = mentions.select("entity", "key", "n_terms").distinct()
     seen = holds.groupBy("entity").agg(F.count("*").alias("n_entity"), (F.lit(chance) / F.greatest(F.avg("n_terms"), F.lit(1.0))).alias("chance"))
-    seen = materialise(seen.filter(score(n_texts, c("n_entity"), c("n_entity"), c("n_entity"), c("chance")) >= generalise))
+    seen = materialise(seen.filter(score(n_texts or 0, c("n_entity"), c("n_entity"), c("n_entity"), c("chance")) >= generalise))
     if not seen.isEmpty():
-        pairs = holds.join(seen, "entity").select("entity", "key").join(terms_of_texts(texts), "key").groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+        those = holds.join(seen, "entity").select("entity", "key")
+        pairs = those.join(texts.select("key", F.explode("terms").alias("term")), "key").groupBy("entity", "term").agg(F.count("*").alias("n_both"))
         far = pairs.join(seen, "entity").join(counts, "term").select("entity", "term", score(n_texts, c("n_entity"), c("n_both"), c("n_docs"), c("chance")).alias("disclosed"))
-        told = materialise(told.union(far.filter(c("disclosed") >= generalise)).groupBy("entity", "term").agg(F.max("disclosed").alias("disclosed")))
+        told = told.union(far.filter(c("disclosed") >= generalise)).groupBy("entity", "term").agg(F.max("disclosed").alias("disclosed"))
+    told = materialise(told)
+    forget(counts, texts, windows, seen)
     return told
 
 
-class Told:
-    """The disclosing terms as sorted 64-bit hashes, with what each gives away of some entity at most."""
+def told_terms(texts: DataFrame, remove: float = REMOVE, **limits) -> DataFrame:
+    """(h, removed): the disclosing terms as 64-bit hashes, and whether they are removed or generalised."""
+    scanned = materialise(scan(texts))
+    found = disclosing(scanned, **limits)
 
-    def __init__(self, found: DataFrame, texts: DataFrame, remove: float = REMOVE, **limits):
-        mentions = found.filter(F.size("spans") > 0).dropDuplicates(["key"]).select("key", "n_terms", F.explode("spans").alias("m"))
-        bare = mentions.select(F.col("m.entity").alias("entity"), "key", "n_terms", F.transform("m.terms", lambda x: x["term"]).alias("terms"))
-        told = disclosing(bare, texts, **limits).groupBy("term").agg(F.max("disclosed").alias("d"))
+    def run(batches):
+        for b in batches:
+            hashes = np.array([term_hash(t) for t in b.column(0).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), b.column(1)], ["h", "removed"])
 
-        def run(batches):
-            for b in batches:
-                hashes = np.array([term_hash(t) for t in b.column(0).to_pylist()], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(b.column(1).to_numpy() >= remove)], ["h", "removed"])
+    told = materialise(found.groupBy("term").agg((F.max("disclosed") >= remove).alias("removed")).mapInArrow(run, "h long, removed boolean"))
+    forget(scanned, found)
+    return told
 
-        got = map_batches(told, run, "h long, removed boolean").toArrow()
-        hashes = got.column("h").to_numpy().view(np.uint64)
+
+class Told:
+    """Verdicts on terms: 2 to remove, 1 to generalise, 0 neither. ``rows``: (h, removed) of disclosing terms."""
+
+    def __init__(self, rows: pa.Table):
+        hashes = rows.column("h").to_numpy().view(np.uint64)
         order = np.argsort(hashes)
-        self.hashes, self.removed = hashes[order], got.column("removed").to_numpy()[order]
-
-    def spans(self, text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        """Kinds ``generalised`` and ``removed``: every occurrence in ``text`` outside the base spans ``found``."""
-        here = list(set(terms(text))) if len(self.hashes) else []
-        if not here:
-            return []
-        asked = np.array([term_hash(t) for t in here], np.uint64)
-        at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
-        hits = {here[i]: "removed" if self.removed[at[i]] else "generalised" for i in np.flatnonzero(self.hashes[at] == asked).tolist()}
-        if not hits:
-            return []
-        out, taken, k, reached = [], sorted((a, b) for _, a, b in found), 0, 0
-        for m in TERM.finditer(text):
-            while k < len(taken) and taken[k][0] < m.end():
-                reached = max(reached, taken[k][1])
-                k += 1
-            if reached <= m.start() and (kind := hits.get(m[0].casefold())):
-                out.append((kind, m.start(), m.end()))
-        return out
+        self.hashes, self.verdict = hashes[order], 1 + rows.column("removed").to_numpy()[order].astype(np.int8)
+        self.known: dict[str, int] = {}
+
+    def verdicts(self, spelled: set[str]) -> dict[str, int]:
+        """Spellings in a text that disclose, with their verdict."""
+        if not len(self.hashes):
+            return {}
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        if new := [x for x in spelled if x not in self.known]:
+            asked = np.array([term_hash(x.casefold()) for x in new], np.uint64)
+            at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
+            self.known.update(zip(new, np.where(self.hashes[at] == asked, self.verdict[at], 0).tolist()))
+        return {x: v for x in spelled if (v := self.known[x])}
+
+
+def added(text: str, found: list[tuple[str, int, int]], verdicts: dict[str, int]) -> list[tuple[str, int, int]]:
+    """Kinds ``generalised`` and ``removed``: every occurrence of the terms outside the base spans ``found``."""
+    if not verdicts:
+        return []
+    out, taken, k, reached = [], sorted((a, b) for _, a, b in found), 0, 0
+    for m in TERM.finditer(text):
+        while k < len(taken) and taken[k][0] < m.end():
+            reached = max(reached, taken[k][1])
+            k += 1
+        if reached <= m.start() and (v := verdicts.get(m[0])):
+            out.append(("removed" if v == 2 else "generalised", m.start(), m.end()))
+    return out
+
+
+def bloom(hashes: np.ndarray, bits: np.ndarray | None = None) -> np.ndarray:
+    """Four places of each hash, as an array; with ``bits`` given, whether all four are set."""
+    unused = np.uint64(65 - FILTER_BITS.bit_length())
+    places = np.stack([(hashes >> np.uint64(s)) * np.uint64(0x9E3779B97F4A7C15) >> unused for s in (0, 7, 17, 29)])
+    return places if bits is None else (bits[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8) & 1).all(axis=0)
+
+
+def bloom_filter(told: DataFrame) -> np.ndarray:
+    """``FILTER_BITS`` bits with the places of all hashes set; each task hands on the bytes that it has set."""
+
+    def run(batches):
+        bits = np.zeros(FILTER_BITS // 8, np.uint8)
+        for b in batches:
+            places = bloom(b.column(0).to_numpy().view(np.uint64)).ravel()
+            np.bitwise_or.at(bits, places >> np.uint64(3), np.uint8(1) << (places & np.uint64(7)).astype(np.uint8))
+        at = np.flatnonzero(bits)
+        for k in range(0, len(at), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[k : k + 100_000]), pa.array(bits[at[k : k + 100_000]].astype(np.int16))], ["at", "byte"])
+
+    got = told.select("h").mapInArrow(run, "at long, byte short").groupBy("at").agg(F.bit_or("byte").alias("byte")).toArrow()  # FILTER_BITS / 8 rows at most
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    bits[got.column("at").to_numpy()] = got.column("byte").to_numpy().astype(np.uint8)
+    return bits
+
+
+def with_told(docs: DataFrame, text_col: str, told: DataFrame) -> DataFrame:
+    """``docs`` with the disclosing terms (h, removed) of each text as ``_told``, by a join on terms; no task or driver
+    holds all disclosing terms."""
+    sent = docs.sparkSession.sparkContext.broadcast(bloom_filter(told))
+
+    def run(batches):
+        for b in batches:
+            for _, some in slices(b, b.column(0)):
+                keys, hashes = [], [np.zeros(0, np.uint64)]
+                for t in some:
+                    here = np.array([term_hash(x) for x in set(terms(t))] if t else [], np.uint64)
+                    here = here[bloom(here, sent.value)]
+                    hashes.append(here)
+                    keys += [text_key(t)] * len(here) if len(here) else []
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(np.concatenate(hashes).view(np.int64))], ["key", "h"])
+
+    asked = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "key string, h long").distinct()
+    hits = materialise(asked.join(told, "h").groupBy("key").agg(F.collect_list(F.struct("h", "removed")).alias("_told")))  # at most a text's terms
+    key = F.sha2(F.col(f"`{text_col}`").cast("binary"), 256)
+    hits = hits.withColumnRenamed("key", "_key")
+    return docs.join(hits, key == F.col("_key"), "left").drop("_key")
+
+
+def marked(docs: DataFrame, text_col: str, out: Callable, schema) -> DataFrame:
+    """``out(batch, texts, base spans, added spans)`` over all rows of ``docs``; ``schema`` describes what it returns."""
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"))
+    told = told_terms(texts)
+    at, few = docs.columns.index(text_col), told.count() <= MOST_TOLD
+    if few:
+        sent = docs.sparkSession.sparkContext.broadcast(told.toArrow())
+        forget(told)
+    rows = docs if few else with_told(docs, text_col, told)
+    shape = pa.schema([("h", pa.int64()), ("removed", pa.bool_())])
+
+    def run(batches):
+        every = Told(sent.value) if few else None
+        for b in batches:
+            for part, some in slices(b, b.column(at)):
+                mine = [every] * len(some) if few else [Told(pa.Table.from_pylist(x or [], shape)) for x in part.column(part.num_columns - 1).to_pylist()]
+                part = part if few else part.select(range(part.num_columns - 1))
+                found = [base(t) if t else [] for t in some]
+                more = [added(t, f, m.verdicts(set(TERM.findall(t)))) if t else [] for t, f, m in zip(some, found, mine)]
+                yield out(part, some, found, more)
+
+    return map_arrow(rows, run, schema)
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,43 +370,29 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     equal spans; an empty table gives no rows; other columns are dropped. The windows around a mention hold a bounded
     number of words, so a very long text costs time in proportion.
     """
-    told = Told(materialise(find(docs, id_col, text_col)), docs.select(F.col(text_col).alias("text")))
+    one = lambda found: [dict(zip(("kind", "start", "end"), x)) for x in found]
 
-    def run(batches):
-        one = lambda found: [dict(zip(("kind", "start", "end"), x)) for x in found]
-        for b in batches:
-            plain, every = [], []
-            for t in b.column(1).to_pylist():
-                found = base(t) if t else []
-                plain.append(one(found))
-                every.append(one(found + (told.spans(t, found) if t else [])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(plain, ARROW_PLAIN), pa.array(every, ARROW_PLAIN)], ["id", "base", "spans"])
+    def out(part, texts, found, more):
+        plain, every = [one(f) for f in found], [one(f + m) for f, m in zip(found, more)]
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(plain, ARROW_PLAIN), pa.array(every, ARROW_PLAIN)], ["id", "base", "spans"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, base array<{S.SPAN}>, spans array<{S.SPAN}>")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    done = marked(rows, "text", out, f"id {kind}, base array<{S.SPAN}>, spans array<{S.SPAN}>")
     kinds = (*KINDS, "generalised", "removed")
-    return out.select("id", "base", S.ordered(F.col("spans"), kinds, by_start=False).alias("spans"))
+    return done.select("id", "base", S.ordered(F.col("spans"), kinds, by_start=False).alias("spans"))
 
 
 def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced by marks or removed; all columns and rows stay, null
-    texts stay null. All spans are found anew while masking."""
-    found = materialise(find(docs.select(F.lit(0).alias("_n"), F.col(text_col).alias("text")), "_n", "text").filter("key IS NOT NULL"))
-    told = Told(found, docs.select(F.col(text_col).alias("text")))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    texts stay null. Each row passes through Python once."""
+    at = docs.columns.index(text_col)
 
-    def run(batches):
-        for b in batches:
-            out = []
-            for t in b.column(1).to_pylist():
-                found = base(t) if t else []
-                marks = [(s, e, MARKS[k]) for k, s, e in found + (told.spans(t, found) if t else [])]
-                out.append(S.masked(t, marks) if marks else t)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["row", "text"])
-
-    shape = rows.schema["row"].dataType.simpleString()
-    clean = map_batches(rows, run, f"row {shape}, text string")
-    return clean.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    def out(part, texts, found, more):
+        clean = [S.masked(t, [(s, e, MARKS[k]) for k, s, e in f + m]) if f or m else t for t, f, m in zip(texts, found, more)]
+        return part.set_column(at, part.schema.field(at), pa.array(clean, part.schema.field(at).type))
+
+    return marked(docs, text_col, out, docs.schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -6,47 +6,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, mixing, neighbours, pieces, pii, repeats, secrets, simhash, urls, weighted
-from .tables import read
+from .tables import materialise, read, small_batches
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pii.digest(read(spark, sf_dir, "documents"))
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return urls.digest(read(spark, sf_dir, "pages"))
 
 
 def op3_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return weighted.digest(read(spark, sf_dir, "documents"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return langid.digest(read(spark, sf_dir, "documents"))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secrets.digest(read(spark, sf_dir, "documents"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return simhash.digest(read(spark, sf_dir, "documents"))
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return repeats.digest(read(spark, sf_dir, "documents"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    small_batches(spark)
+    docs = materialise(read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")))  # words are counted once
     return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pieces.digest(read(spark, sf_dir, "documents"), pieces.model_bytes(pieces.default_model()))
 
 

@@ -1,19 +1,26 @@
 """Removal of long repeats, by column-wise construction over collections of fragments.
 
-A byte goes if a ``WIDTH``-byte string that covers it also starts anywhere else. Minimisers find where to look: in
-each ``WIDTH``-byte string the least hash of its ``GRAM``-byte substrings is an anchor, so equal strings have equal
-anchors at equal places. An anchor's fragment is all that such strings can reach around it. Fragments that occur
-twice are repeats as they are. Other fragments of one anchor can share a string only if they agree on one of a few
-cores; those that do are compared column by column:
+A byte goes if a ``WIDTH``-byte string that covers it also starts anywhere else. Copies of a text are settled as they
+are, and from then on each different text counts once. Minimisers find where to look: in each ``WIDTH``-byte string
+the least hash of its ``GRAM``-byte substrings is an anchor, so equal strings have equal anchors at equal places. An
+anchor's fragment is all that such strings can reach around it. Fragments that occur twice are repeats as they are.
+Other fragments of one anchor can share a string only if they agree on one of a few cores; those that do are compared
+column by column:
 
 the fragments of one anchor, cut into ``BLOCK``-byte symbols, form a collection of documents aligned at the anchor.
 Each round inserts one symbol in front of every document's suffix, from the last column to the first: the order of all
 suffixes (the collection's Burrows-Wheeler order of that column) follows from the last round's order by a stable sort
 on the new symbols, and their common prefixes from range minima of the last round's. Symbol columns are written to a
-file once and read in sequence, the transform's columns and prefixes are appended to another, and a round holds only
-its own column. Symbols instead of bytes keep the rounds few, and no string is missed: neighbours with one symbol more
-than ``WIDTH`` share all strings that start in their first one, and a string that starts inside a symbol agrees on all
-but 16 of its bytes with the prefixes of the next column, so classes of these are compared on the 16 bytes.
+file once and read in sequence; the order and prefixes of a column are written to a second file, from which the next
+round reads them, so that a round holds two columns. The fragments themselves (736 bytes each, ``COLLECTION`` of them
+or one anchor's, ``HOT`` at most) stay in memory, too. Symbols instead of bytes keep the rounds few, and no string is
+missed: neighbours with one symbol more than ``WIDTH`` share all strings that start in their first one, and a string
+that starts inside a symbol agrees on all but 16 of its bytes with the prefixes of the next column, so classes of
+these are compared on the 16 bytes.
+
+An anchor with more fragments than ``HOT`` (a passage that very many different texts share) is not one task's work:
+its strings are counted by hash, level by level. Fragments that agree with no other one on what ``STEP`` neighbouring
+strings have in common hold none of these; only the others' strings are counted one by one.
 """
 
 from __future__ import annotations
@@ -26,10 +33,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import forget, map_batches, materialise
+from .tables import bucketed, forget, map_arrow, materialise, slices
 
 WIDTH = 400
 GRAM = 64
@@ -39,6 +46,7 @@ SLACK = WIDTH - GRAM
 REACH = SLACK + WIDTH
 COLLECTION = 4000
 HOT = 4 * COLLECTION
+STEP = 21
 CHUNK = 1 << 17
 BASE = 0x9E3779B97F4A7C15
 
@@ -101,29 +109,26 @@ def fragment(data: bytes, place: int) -> tuple[int, bytes]:
     return left, data[place - left : place + WIDTH]
 
 
-def text_key(data: bytes) -> bytes:
-    return hashlib.md5(data).digest()
-
-
 def find_anchors(texts: DataFrame) -> DataFrame:
-    """One row for each anchor of each text: key of the text, place, anchor, 128-bit hash of the fragment, cores."""
+    """One row for each anchor of each text (key, text): its key, place, anchor, 128-bit hash of the fragment, cores."""
 
     def run(batches):
         for b in batches:
-            for t in b.column(0).to_pylist():
-                data = (t or "").encode("utf-8", "surrogatepass")
-                p, h, c = anchors(data)
-                if not len(p):
-                    continue
-                f = np.empty((len(p), 2), "<i8")
-                for i, at in enumerate(p.tolist()):
-                    left, part = fragment(data, at)
-                    f[i] = np.frombuffer(xxhash.xxh3_128_digest(part, left), "<i8")
-                columns = [pa.array([text_key(data)] * len(p), pa.binary()), p, h, f[:, 0], f[:, 1], *(c[:, i] for i in range(CORES))]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "place", "anchor", "f1", "f2", *(f"c{i}" for i in range(CORES))])
+            for part, some in slices(b, b.column(1)):
+                for key, text in zip(part.column(0).to_pylist(), some):
+                    data = text.encode("utf-8", "surrogatepass")
+                    p, h, c = anchors(data)
+                    if not len(p):
+                        continue
+                    f = np.empty((len(p), 2), "<i8")
+                    for i, at in enumerate(p.tolist()):
+                        left, piece = fragment(data, at)
+                        f[i] = np.frombuffer(xxhash.xxh3_128_digest(piece, left), "<i8")
+                    columns = [pa.array([key] * len(p), pa.binary()), p, h, f[:, 0], f[:, 1], *(c[:, i] for i in range(CORES))]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "place", "anchor", "f1", "f2", *(f"c{i}" for i in range(CORES))])
 
     cores = ", ".join(f"c{i} int" for i in range(CORES))
-    return map_batches(texts, run, f"key binary, place long, anchor long, f1 long, f2 long, {cores}")
+    return map_arrow(texts.select("key", "text"), run, f"key binary, place long, anchor long, f1 long, f2 long, {cores}")
 
 
 def arranged(label: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -171,23 +176,35 @@ def edges(found: np.ndarray, at: int, order: np.ndarray, common: np.ndarray, den
         found[rows[hit], start] = True
 
 
+def put_column(path: str, order: np.ndarray, common: np.ndarray) -> None:
+    """A column of the transform: its suffixes in order, as rows, and the symbols that neighbours have in common."""
+    with open(path, "wb") as f:
+        f.write(order.astype("<u4").tobytes())
+        f.write(common.astype("<i2").tobytes())
+
+
+def take_column(path: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+    with open(path, "rb") as f:
+        return np.fromfile(f, "<u4", n).astype(np.int64), np.fromfile(f, "<i2", n + 1)
+
+
 def shared_starts(parts: np.ndarray, first: np.ndarray, last: np.ndarray, group: np.ndarray) -> np.ndarray:
     """For rows of ``parts`` (fragments laid out so that anchors stand in one column; valid from ``first`` to
     ``last``) whether the string that starts at each column also stands there in another row of the same ``group``."""
     n, most = len(parts), WIDTH // BLOCK + 1
     found = np.zeros((n, REACH - WIDTH + 1), bool)
     top = np.unique(group, return_inverse=True)[1].astype(np.uint64)
-    folder = tempfile.mkdtemp()
-    column, output = os.path.join(folder, "symbols"), os.path.join(folder, "transform")
     rounds = [BLOCK * t for t in reversed(range(REACH // BLOCK))]
-    try:
+    with tempfile.TemporaryDirectory() as folder:  # a task's own scratch files
+        column, transform = os.path.join(folder, "symbols"), os.path.join(folder, "transform")
         with open(column, "wb") as out:  # symbol columns in the order of the rounds
             for at in rounds:
                 out.write(parts[:, at : at + BLOCK].tobytes())
-        with open(column, "rb") as symbols, open(output, "wb") as transform:
-            order, common = np.argsort(top, kind="stable"), np.zeros(n + 1, np.int16)
+        put_column(transform, np.argsort(top, kind="stable"), np.zeros(n + 1, np.int16))
+        with open(column, "rb") as symbols:
             for at in rounds:
                 words = np.frombuffer(symbols.read(n * BLOCK), "<u8").reshape(n, 2)
+                order, common = take_column(transform, n)
                 there = (first <= at) & (at + BLOCK <= last)
                 new = arranged(top[order], words[order])  # places in the last order
                 then, a, b = order[new], new[:-1], new[1:]
@@ -200,7 +217,7 @@ def shared_starts(parts: np.ndarray, first: np.ndarray, last: np.ndarray, group:
                     spans = np.empty(2 * len(by), np.int64)
                     spans[::2], spans[1::2] = a[by] + 1, b[by] + 1
                     prefix[by + 1] = np.minimum(1 + np.minimum.reduceat(common, spans)[::2], most)
-                transform.write(then.astype("<u4").tobytes() + prefix.tobytes())
+                put_column(transform, then, prefix)
                 full = np.flatnonzero(prefix == most)
                 dense = np.zeros(n, bool)
                 dense[then[full]] = dense[then[full - 1]] = True
@@ -208,13 +225,7 @@ def shared_starts(parts: np.ndarray, first: np.ndarray, last: np.ndarray, group:
                     found[dense, at : at + BLOCK + 1] = True
                 if at + BLOCK <= REACH - WIDTH:
                     edges(found, at + BLOCK, order, common, dense, parts, first, last)
-                order, common = then, prefix
-            edges(found, 0, order, common, np.zeros(n, bool), parts, first, last)
-    finally:
-        for name in (column, output):
-            if os.path.exists(name):
-                os.remove(name)
-        os.rmdir(folder)
+        edges(found, 0, *take_column(transform, n), np.zeros(n, bool), parts, first, last)
     return found
 
 
@@ -243,86 +254,155 @@ def compare(table: pa.Table) -> pa.Table:
     return pa.table({c: table.column(c).take(rows) for c in ("anchor", "f1", "f2")} | {"from": pa.array(start, pa.int64()), "to": pa.array(end, pa.int64())})
 
 
-def strings(parts: DataFrame) -> DataFrame:
-    """(anchor, f1, f2, at, h1, h2): the 128-bit hash of each string of ``WIDTH`` bytes in each fragment."""
+def strings(parts: DataFrame, step: int) -> DataFrame:
+    """(anchor, f1, f2, back, h1, h2): for each run of ``step`` strings in each fragment, those that start ``back`` to
+    ``back + step - 1`` bytes before the anchor, the 128-bit hash of the bytes that they have in common. ``parts`` may
+    have ``backs``: then only the strings of these runs of ``STEP`` are taken."""
 
     def run(batches):
         for b in batches:
             for first in range(0, b.num_rows, 64):
                 few = b.slice(first, 64)
-                rows, at, found = [], [], []
-                for i, (left, part) in enumerate(zip(few.column("left").to_pylist(), few.column("part").to_pylist())):
-                    for s in range(len(part) - WIDTH + 1):
-                        rows.append(i)
-                        at.append(s - left)
-                        found.append(xxhash.xxh3_128_digest(part[s : s + WIDTH]))
+                rows, back, found = [], [], []
+                wanted = few.column("backs").to_pylist() if "backs" in few.schema.names else [None] * few.num_rows
+                for i, (left, part, runs_) in enumerate(zip(few.column("left").to_pylist(), few.column("part").to_pylist(), wanted)):
+                    starts = range(0, left + 1, step) if runs_ is None else [x for k in runs_ for x in range(k, min(k + STEP, left + 1), step)]
+                    for k in starts:
+                        end = left - k - step + 1 + WIDTH
+                        if end <= len(part):
+                            rows.append(i)
+                            back.append(k)
+                            found.append(xxhash.xxh3_128_digest(part[left - k : end]))
                 h = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
-                ids = [few.column(c).take(pa.array(rows, pa.int64())) for c in ("anchor", "f1", "f2")]
-                yield pa.RecordBatch.from_arrays([*ids, pa.array(at, pa.int64()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], ["anchor", "f1", "f2", "at", "h1", "h2"])
+                ids = [few.column(c).take(pa.array(rows, pa.int64())) for c in IDS]
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(back, pa.int64()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], [*IDS, "back", "h1", "h2"])
 
-    return map_batches(parts, run, "anchor long, f1 long, f2 long, at long, h1 long, h2 long")
+    return map_arrow(parts, run, "anchor long, f1 long, f2 long, back long, h1 long, h2 long")
+
+
+def met_twice(parts: DataFrame, step: int) -> DataFrame:
+    """(anchor, f1, f2, backs): the runs of each fragment whose hash another fragment of its anchor has, too. Counts are
+    combined before the shuffle, and the join's large side is dealt out by Spark where one hash is in very many rows."""
+    what = ["anchor", "back", "h1", "h2"]
+    every = materialise(strings(parts, step))
+    often = materialise(every.groupBy(*what).agg(F.count("*").alias("n")).filter("n > 1").select(*what))
+    out = materialise(every.join(often, what, "left_semi").groupBy(*IDS).agg(F.array_sort(F.collect_list("back")).alias("backs")))  # at most SLACK + 1
+    forget(every, often)
+    return out
 
 
 def shared_hot(parts: DataFrame) -> DataFrame:
-    """What ``compare`` finds, for anchors with too many different fragments for one task: all their strings are
-    counted by hash, so that no task holds an anchor's fragments."""
-    ids = ["anchor", "f1", "f2"]
-    what = ["anchor", "at", "h1", "h2"]
-    often = materialise(strings(parts).groupBy(*what).agg(F.count("*").alias("n")).filter("n > 1").select(*what))
-    hits = strings(parts).join(often, what, "left_semi").groupBy(*ids).agg(F.array_sort(F.collect_list("at")).alias("at"))  # at most SLACK + 1
-    begins = F.filter("at", lambda x: ~F.array_contains("at", x - 1))
-    ends = F.filter("at", lambda x: ~F.array_contains("at", x + 1))
-    runs_ = F.explode(F.arrays_zip("a", "b")).alias("r")
-    return hits.select(*ids, begins.alias("a"), ends.alias("b")).select(*ids, runs_).select(*ids, F.col("r.a").alias("from"), (F.col("r.b") + WIDTH).alias("to"))
-
-
-def repeated_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(key, spans): for each different text with repeats, [start, end) byte spans that together cover them."""
-    texts = docs.select(F.col(text_col).alias("text"))
-    every = materialise(find_anchors(texts))
-    often = every.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    """What ``compare`` finds, for anchors with too many different fragments for one task."""
+    runs_ = met_twice(parts, STEP)
+    hits = met_twice(parts.join(runs_, IDS), 1)
+    begins = F.filter("backs", lambda x: ~F.array_contains("backs", x + 1))  # the farthest from the anchor of each run
+    ends = F.filter("backs", lambda x: ~F.array_contains("backs", x - 1))
+    pair = F.explode(F.arrays_zip("a", "b")).alias("r")
+    spans = hits.select(*IDS, begins.alias("a"), ends.alias("b")).select(*IDS, pair)
+    out = materialise(spans.select(*IDS, (-F.col("r.a")).alias("from"), (F.lit(WIDTH) - F.col("r.b")).cast("long").alias("to")))
+    forget(runs_, hits)
+    return out
+
+
+IDS = ["anchor", "f1", "f2"]
+
+
+def repeated_spans(unique: DataFrame) -> DataFrame:
+    """(key, spans): for each text of ``unique`` (key, text) with repeats in other places, [start, end) byte spans that
+    together cover them. Each key has one text."""
+    every = materialise(find_anchors(unique))
+    often = materialise(every.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
     met = materialise(every.join(often, "anchor"))
-    forget(every)
-    ids = ["anchor", "f1", "f2"]
-    kinds = met.groupBy(*ids).agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("at"), *[F.first(f"c{i}").alias(f"c{i}") for i in range(CORES)])
+    forget(every, often)
+    kinds = met.groupBy(*IDS).agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("at"), *[F.first(f"c{i}").alias(f"c{i}") for i in range(CORES)])
     kinds = materialise(kinds)
-    cores = kinds.select(*ids, F.posexplode(F.array(*[f"c{i}" for i in range(CORES)])).alias("i", "core")).filter("core <> 0")
-    common = cores.groupBy("anchor", "i", "core").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "i", "core")
-    hopeful = cores.join(common, ["anchor", "i", "core"], "left_semi").select(*ids).distinct()
-    wanted = materialise(kinds.join(hopeful, ids, "left_semi").select(*ids, "at.key", "at.place"))
-    pieces = max(1, -(-wanted.count() // COLLECTION))
-    by_text = wanted.groupBy("key").agg(F.collect_list(F.struct(*ids, "place")).alias("wanted"))  # at most a text's anchors
-    # Copies of a text are put together before the shuffle.
-    unique = texts.select(F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
+    cores = kinds.select(*IDS, F.posexplode(F.array(*[f"c{i}" for i in range(CORES)])).alias("i", "core")).filter("core <> 0")
+    common = materialise(cores.groupBy("anchor", "i", "core").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "i", "core"))
+    hopeful = cores.join(common, ["anchor", "i", "core"], "left_semi").select(*IDS).distinct()
+    wanted = materialise(kinds.join(hopeful, IDS, "left_semi").select(*IDS, "at.key", "at.place"))
+    by_text = wanted.groupBy("key").agg(F.collect_list(F.struct(*IDS, "place")).alias("wanted"))  # at most a text's anchors
 
     def cut(batches):
         for b in batches:
-            for t, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                data = t.encode("utf-8", "surrogatepass")
-                left, part = zip(*(fragment(data, r["place"]) for r in rows))
-                columns = [pa.array([r[c] for r in rows], pa.int64()) for c in ids]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(left, pa.int64()), pa.array(part, pa.binary())], [*ids, "left", "part"])
-
-    parts = map_batches(unique.join(by_text, "key").select("text", "wanted"), cut, "anchor long, f1 long, f2 long, left long, part binary")
-    collection = F.pmod(F.xxhash64("anchor"), F.lit(pieces)).alias("collection")
+            for part, some in slices(b, b.column(0)):
+                for text, rows in zip(some, part.column(1).to_pylist()):
+                    data = text.encode("utf-8", "surrogatepass")
+                    left, piece = zip(*(fragment(data, r["place"]) for r in rows))
+                    columns = [pa.array([r[c] for r in rows], pa.int64()) for c in IDS]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(left, pa.int64()), pa.array(piece, pa.binary())], [*IDS, "left", "part"])
+
+    parts = map_arrow(unique.join(by_text, "key").select("text", "wanted"), cut, "anchor long, f1 long, f2 long, left long, part binary")
     hot = materialise(wanted.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("anchor"))
-    every, some = parts, not hot.isEmpty()
-    if some:
-        every = materialise(parts)
-        parts = every.join(hot, "anchor", "left_anti")
+    told = kinds.filter("n > 1").select(*IDS, F.lit(-SLACK).cast("long").alias("from"), F.lit(WIDTH).cast("long").alias("to"))
+    whole = None
+    if not hot.isEmpty():
+        whole = materialise(parts)
+        parts = whole.join(hot, "anchor", "left_anti")
+    collections = max(1, -(-wanted.count() // COLLECTION))
+    collection = F.pmod(F.xxhash64("anchor"), F.lit(collections)).alias("collection")
     shared = materialise(parts.withColumn("collection", collection).groupBy("collection").applyInArrow(compare, "anchor long, f1 long, f2 long, from long, to long"))
-    told = kinds.filter("n > 1").select(*ids, F.lit(-SLACK).cast("long").alias("from"), F.lit(WIDTH).cast("long").alias("to")).union(shared)
-    if some:
-        told = told.union(materialise(shared_hot(every.join(hot, "anchor", "left_semi"))))
-        forget(every)
-    covered = met.select("key", "place", *ids).join(told, ids)
+    told = told.union(shared)
+    counted = None
+    if whole is not None:
+        few = materialise(whole.join(hot, "anchor", "left_semi"))
+        counted = shared_hot(few)
+        told = told.union(counted)
+        forget(few)
+    told = materialise(told)
+    covered = met.select("key", "place", *IDS).join(told, IDS)
     span = F.struct(F.greatest(F.col("place") + F.col("from"), F.lit(0)).alias("start"), (F.col("place") + F.col("to")).alias("end"))
     out = materialise(covered.groupBy("key").agg(F.collect_set(span).alias("spans")))
-    for table in (met, kinds, wanted, shared):
-        forget(table)
+    forget(met, kinds, common, wanted, hot, shared, told, *(t for t in (whole, counted) if t is not None))
     return out
 
 
+SHAPE = "array<struct<start:long,end:long>>"
+ARROW_SHAPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def cleaned(docs: DataFrame, *columns: Column | str, text_col: str = "text") -> DataFrame:
+    """``columns`` of (key, n_bytes, removed, kept) for each different text, as a table in the shared folder; the key
+    is the MD5 of the text's bytes."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    # Copies are put together before the shuffle; whole texts are shuffled this once.
+    unique = docs.select(text_key(text).alias("key"), text.alias("text")).groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    unique = bucketed(unique, "key")
+    spans = repeated_spans(unique)
+    rows = unique.join(spans, "key", "left").select("key", "text", "n", "spans")
+
+    def run(batches):
+        for b in batches:
+            for part, some in slices(b, b.column(1)):
+                sizes, removed, kept = [], [], []
+                for text, n, found in zip(some, part.column(2).to_pylist(), part.column(3).to_pylist()):
+                    data = text.encode("utf-8", "surrogatepass")
+                    found = [{"start": 0, "end": len(data)}] if n > 1 and len(data) >= WIDTH else found
+                    merged: list[list[int]] = []
+                    for s in sorted((x["start"], min(x["end"], len(data))) for x in found or []):
+                        if merged and s[0] <= merged[-1][1]:
+                            merged[-1][1] = max(merged[-1][1], s[1])
+                        else:
+                            merged.append(list(s))
+                    cuts = [0, *(x for s in merged for x in s), len(data)]
+                    sizes.append(len(data))
+                    removed.append([{"start": s, "end": e} for s, e in merged])
+                    kept.append(b"".join(data[x:y] for x, y in zip(cuts[::2], cuts[1::2])))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(removed, ARROW_SHAPE), pa.array(kept, pa.binary())], ["key", "n_bytes", "removed", "kept"])
+
+    out = materialise(map_arrow(rows, run, f"key binary, n_bytes long, removed {SHAPE}, kept binary").select(*columns))
+    forget(unique, spans)
+    return out
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def _for_rows(docs: DataFrame, done: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    return docs.select(F.col(f"`{id_col}`").alias("id"), text_key(text).alias("key")).join(done, "key").drop("key")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, removed, kept) for each row: maximal removed spans and the remaining bytes.
 
@@ -330,33 +410,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     give a row each. Matches never cross rows. Null or repeated ids stay; other columns are dropped; an empty table
     gives no rows.
     """
-    spans = repeated_spans(docs, text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).cast("binary").alias("data"))
-    rows = rows.withColumn("key", F.unhex(F.md5("data"))).join(spans, "key", "left").select("id", "data", "spans")
-    shape = "array<struct<start:long,end:long>>"
-    arrow = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-
-    def run(batches):
-        for b in batches:
-            sizes, removed, kept = [], [], []
-            for data, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                merged: list[list[int]] = []
-                for s in sorted((x["start"], min(x["end"], len(data))) for x in found or []):
-                    if merged and s[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], s[1])
-                    else:
-                        merged.append(list(s))
-                cuts = [0, *(x for s in merged for x in s), len(data)]
-                sizes.append(len(data))
-                removed.append([{"start": s, "end": e} for s, e in merged])
-                kept.append(b"".join(data[x:y] for x, y in zip(cuts[::2], cuts[1::2])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(removed, arrow), pa.array(kept, pa.binary())], ["id", "n_bytes", "removed", "kept"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(rows, run, f"id {kind}, n_bytes long, removed {shape}, kept binary")
+    return _for_rows(docs, cleaned(docs, "*", text_col=text_col), id_col, text_col)
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    done = remove_repeats(docs)
+    """The removed spans' sums and the kept bytes' digest for each document."""
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return done.select(F.col("id").alias("doc_id"), "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    done = cleaned(docs, "key", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return _for_rows(docs, done, "doc_id", "text").withColumnRenamed("id", "doc_id")

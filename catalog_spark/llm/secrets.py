@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import spans as S
-from .tables import map_batches, materialise
+from .tables import forget, map_arrow, materialise, slices
 
 KINDS = ("assign", "access", "hex")
 SCOPE = 200
@@ -70,18 +70,19 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def run(batches):
         for b in batches:
-            keys, strong, faint = [], [], []
-            for t in b.column(1).to_pylist():
-                s = base(t) if t else []
-                w = weak(t, s) if t else []
-                keys.append(hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() if w else None)
-                strong.append([dict(zip(("kind", "start", "end"), x)) for x in s])
-                faint.append([dict(zip(("kind", "start", "end"), x)) for x in w])
-            yield pa.RecordBatch.from_pydict({"id": b.column(0), "key": pa.array(keys, pa.string()), "base": pa.array(strong, ARROW_SPANS), "weak": pa.array(faint, ARROW_SPANS)})
+            for part, texts in slices(b, b.column(1)):
+                keys, strong, faint = [], [], []
+                for t in texts:
+                    s = base(t) if t else []
+                    w = weak(t, s) if t else []
+                    keys.append(hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() if w else None)
+                    strong.append([dict(zip(("kind", "start", "end"), x)) for x in s])
+                    faint.append([dict(zip(("kind", "start", "end"), x)) for x in w])
+                yield pa.RecordBatch.from_pydict({"id": part.column(0), "key": pa.array(keys, pa.string()), "base": pa.array(strong, ARROW_SPANS), "weak": pa.array(faint, ARROW_SPANS)})
 
     kind = docs.schema[id_col].dataType.simpleString()
     shape = f"id {kind}, key string, base array<{S.SPAN}>, weak array<{S.SPAN}>"
-    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, shape)
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, shape)
 
 
 def confirmed(found: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -110,13 +111,17 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scop
 
     A null text counts as empty and has no spans; repeated rows and repeated or null ids give a row each, equal texts
     equal spans; spans that start together stand by kind; an empty table gives no rows; other columns are dropped.
+    Rows without weak candidates, mostly all, take no part in the join. The result is a table in the shared folder.
     """
     found = materialise(find(docs, id_col, text_col))
     added = materialise(confirmed(found, scope))
     none = F.array().cast(f"array<{S.SPAN}>")
     kinds = (*KINDS, "weak_id", "weak_secret", "endpoint")
-    out = found.join(added, "key", "left")
-    return out.select("id", "base", S.ordered(F.concat("base", F.coalesce("added", none)), kinds, by_start=True).alias("spans"))
+    every = found.filter("key IS NOT NULL").join(added, "key", "left").select("id", "base", "added")
+    every = every.union(found.filter("key IS NULL").select("id", "base", none.alias("added")))
+    out = materialise(every.select("id", "base", S.ordered(F.concat("base", F.coalesce("added", none)), kinds, by_start=True).alias("spans")))
+    forget(found, added)
+    return out
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import map_batches, materialise
+from .tables import forget, map_arrow, materialise, slices
 
 RADIUS = 3
 SHINGLE = 3
@@ -57,11 +57,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t, size) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["id", "fp"])
+            for part, texts in slices(b, b.column(1)):
+                fps = np.array([fingerprint(t, size) for t in texts], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, fp long")
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, fp long")
 
 
 def forest(base: np.ndarray, near: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +118,9 @@ def links(distinct: DataFrame, radius: int = RADIUS, parts: int = PARTS) -> Data
         a, b = forest(fps[own], fps[~own], radius)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return keyed.groupBy("base", "block", "slice").applyInArrow(compare, "a long, b long")
+    out = materialise(keyed.groupBy("base", "block", "slice").applyInArrow(compare, "a long, b long"))
+    forget(cells, loads, sized)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -125,15 +128,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tells components apart where ids are repeated or null.
 
     A null or wordless text has fingerprint 0 and links like any other. Repeated rows give a row each and fall in
-    one component; a null id is never a component's id unless all its ids are null; an empty table gives no rows.
+    one component; a null id is never a component's id unless all its ids are null; an empty table gives no rows. The
+    result is a table in the shared folder.
     """
     marked = materialise(fingerprints(docs, id_col, text_col, size))
     classes = materialise(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    rooted = connected_components(links(classes.select("fp"), radius), "a", "b")
-    rooted = materialise(classes.join(rooted, classes.fp == rooted.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    forest_ = links(classes.select("fp"), radius)
+    linked = connected_components(forest_, "a", "b")
+    rooted = materialise(classes.join(linked, classes.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component"))
     named = rooted.join(ids, "root").select("fp", "component", "root")
-    return marked.join(named, "fp").select("id", "fp", "component", "root")
+    out = materialise(marked.join(named, "fp").select("id", "fp", "component", "root"))
+    forget(marked, classes, forest_, linked, rooted)
+    return out
 
 
 def digest(docs: DataFrame) -> DataFrame:

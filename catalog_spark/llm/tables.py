@@ -1,35 +1,77 @@
-"""Reading input tables and cutting lineage with tables in the cluster's shared folder."""
+"""Reading input tables, Arrow batches, and cutting lineage with tables in the cluster's shared folder."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
-DEFAULTS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "10000", "spark.sql.execution.arrow.maxBytesPerBatch": "67108864b"}
+#: Documents are large, so few are held at a time. Only settings that still have Spark's default are changed.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "1m")}
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ROW_GROUP = 16 << 20
+AT_ONCE = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
-    """``mapInArrow`` with small batches: documents are large, and so few of them are held at a time. Batch sizes that
-    the session has set itself stay."""
-    for key, value in BATCHES.items():
-        if df.sparkSession.conf.get(key) in (DEFAULTS[key], None):
-            df.sparkSession.conf.set(key, value)
-    return df.mapInArrow(run, schema)
+def small_batches(spark: SparkSession) -> None:
+    """For applications (the registered queries and the pipeline): Arrow batches that suit documents, in their own
+    session, unless it has set others. Operators never call this."""
+    for key, (default, value) in BATCHES.items():
+        if spark.conf.get(key, None) in (default, None):
+            spark.conf.set(key, value)
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings for the length of a block; afterwards those from before."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def slices(batch: pa.RecordBatch, column: pa.Array, at_once: int = AT_ONCE) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """The batch in slices of about ``at_once`` bytes of ``column`` (texts or bytes), each with the column's values, so
+    that few of them are Python objects at a time, whatever the session's batch size. A longer value stands alone."""
+    size = column.nbytes // max(1, len(column)) + 1
+    step = max(1, at_once // size)
+    for k in range(0, batch.num_rows, step):
+        yield batch.slice(k, step), column.slice(k, step).to_pylist()
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow``; at the end of each partition the worker, which lives on, gives its free memory back."""
+
+    def tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+            trim(0)
+
+    return df.mapInArrow(tidy, schema)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
+    """The folder named by spark.checkpoint.dir; where that is unset, a temporary one in local mode only, as executors
+    on other machines would not see each other's files there."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -40,21 +82,43 @@ def materialise(df: DataFrame) -> DataFrame:
     and a lost executor costs only the tasks that were running."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")  # the written table takes the place of the shuffles behind it
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
+    with session_settings(spark, {CLEANUP: "true"}):  # the written table takes the place of the shuffles behind it
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out
 
 
-def forget(df: DataFrame) -> None:
-    """Delete the files behind a table from ``materialise`` that nothing reads any more."""
-    path = getattr(df, "_written_path", None)
-    if path:
-        spark = df.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+    """``materialise``, in buckets of ``key`` (as many as the session has shuffle partitions): what needs the rows of a
+    key together does not shuffle the table again."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    with session_settings(spark, {CLEANUP: "true"}):
+        writer = df.write.bucketBy(buckets or shuffle_partitions(spark), key)
+        writer.option("path", path).option("parquet.block.size", ROW_GROUP).saveAsTable(name)
+    out = spark.table(name)
+    out._written_path, out._table = path, name
+    return out
+
+
+def bucket_labels(spark: SparkSession, buckets: int) -> list[int]:
+    """For each bucket a whole number that falls in it, so that rows labelled with these get a bucket each."""
+    label = spark.range(64 * buckets).select("id", F.pmod(F.hash("id"), F.lit(buckets)).alias("bucket"))
+    return [r["label"] for r in label.groupBy("bucket").agg(F.min("id").alias("label")).orderBy("bucket").collect()]
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the files behind tables from ``materialise`` or ``bucketed`` that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_written_path", None):
+            spark = df.sparkSession
+            if name := getattr(df, "_table", None):
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
