@@ -20,7 +20,8 @@ these are compared on the 16 bytes.
 
 An anchor with more fragments than ``HOT`` (a passage that very many different texts share) is not one task's work:
 its strings are counted by hash, level by level. Fragments that agree with no other one on what ``STEP`` neighbouring
-strings have in common hold none of these; only the others' strings are counted one by one.
+strings have in common hold none of these; those that agree on all that these strings cover hold all of them; only for
+the others, at the edges of what is shared, strings are counted one by one.
 """
 
 from __future__ import annotations
@@ -254,10 +255,10 @@ def compare(table: pa.Table) -> pa.Table:
     return pa.table({c: table.column(c).take(rows) for c in ("anchor", "f1", "f2")} | {"from": pa.array(start, pa.int64()), "to": pa.array(end, pa.int64())})
 
 
-def strings(parts: DataFrame, step: int) -> DataFrame:
+def strings(parts: DataFrame, step: int, whole: bool = False) -> DataFrame:
     """(anchor, f1, f2, back, h1, h2): for each run of ``step`` strings in each fragment, those that start ``back`` to
-    ``back + step - 1`` bytes before the anchor, the 128-bit hash of the bytes that they have in common. ``parts`` may
-    have ``backs``: then only the strings of these runs of ``STEP`` are taken."""
+    ``back + step - 1`` bytes before the anchor, the 128-bit hash of the bytes that they have in common, or (``whole``)
+    of all that they cover. ``parts`` may have ``backs``: then only the strings of these runs of ``STEP`` are taken."""
 
     def run(batches):
         for b in batches:
@@ -268,11 +269,12 @@ def strings(parts: DataFrame, step: int) -> DataFrame:
                 for i, (left, part, runs_) in enumerate(zip(few.column("left").to_pylist(), few.column("part").to_pylist(), wanted)):
                     starts = range(0, left + 1, step) if runs_ is None else [x for k in runs_ for x in range(k, min(k + STEP, left + 1), step)]
                     for k in starts:
-                        end = left - k - step + 1 + WIDTH
+                        far = min(k + step - 1, left)
+                        start, end = (left - far, left - k + WIDTH) if whole else (left - k, left - far + WIDTH)
                         if end <= len(part):
                             rows.append(i)
                             back.append(k)
-                            found.append(xxhash.xxh3_128_digest(part[left - k : end]))
+                            found.append(xxhash.xxh3_128_digest(part[start:end], far - k))
                 h = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
                 ids = [few.column(c).take(pa.array(rows, pa.int64())) for c in IDS]
                 yield pa.RecordBatch.from_arrays([*ids, pa.array(back, pa.int64()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], [*IDS, "back", "h1", "h2"])
@@ -280,11 +282,11 @@ def strings(parts: DataFrame, step: int) -> DataFrame:
     return map_arrow(parts, run, "anchor long, f1 long, f2 long, back long, h1 long, h2 long")
 
 
-def met_twice(parts: DataFrame, step: int) -> DataFrame:
+def met_twice(parts: DataFrame, step: int, whole: bool = False) -> DataFrame:
     """(anchor, f1, f2, backs): the runs of each fragment whose hash another fragment of its anchor has, too. Counts are
     combined before the shuffle, and the join's large side is dealt out by Spark where one hash is in very many rows."""
     what = ["anchor", "back", "h1", "h2"]
-    every = materialise(strings(parts, step))
+    every = materialise(strings(parts, step, whole))
     often = materialise(every.groupBy(*what).agg(F.count("*").alias("n")).filter("n > 1").select(*what))
     out = materialise(every.join(often, what, "left_semi").groupBy(*IDS).agg(F.array_sort(F.collect_list("back")).alias("backs")))  # at most SLACK + 1
     forget(every, often)
@@ -293,14 +295,17 @@ def met_twice(parts: DataFrame, step: int) -> DataFrame:
 
 def shared_hot(parts: DataFrame) -> DataFrame:
     """What ``compare`` finds, for anchors with too many different fragments for one task."""
-    runs_ = met_twice(parts, STEP)
-    hits = met_twice(parts.join(runs_, IDS), 1)
+    near = met_twice(parts, STEP)
+    sure = met_twice(parts.join(near, IDS), STEP, whole=True)
+    open_ = near.join(sure.withColumnRenamed("backs", "sure"), IDS, "left").select(*IDS, F.array_except("backs", F.coalesce("sure", F.array().cast("array<long>"))).alias("backs"))
+    hits = met_twice(parts.join(open_.filter(F.size("backs") > 0), IDS), 1)
     begins = F.filter("backs", lambda x: ~F.array_contains("backs", x + 1))  # the farthest from the anchor of each run
     ends = F.filter("backs", lambda x: ~F.array_contains("backs", x - 1))
     pair = F.explode(F.arrays_zip("a", "b")).alias("r")
-    spans = hits.select(*IDS, begins.alias("a"), ends.alias("b")).select(*IDS, pair)
-    out = materialise(spans.select(*IDS, (-F.col("r.a")).alias("from"), (F.lit(WIDTH) - F.col("r.b")).cast("long").alias("to")))
-    forget(runs_, hits)
+    ones = hits.select(*IDS, begins.alias("a"), ends.alias("b")).select(*IDS, pair).select(*IDS, F.col("r.a").alias("a"), F.col("r.b").alias("b"))
+    runs_ = sure.select(*IDS, F.explode("backs").alias("b")).select(*IDS, F.least(F.col("b") + STEP - 1, F.lit(SLACK)).alias("a"), "b")  # a text's start cuts the rest
+    out = materialise(ones.union(runs_).select(*IDS, (-F.col("a")).cast("long").alias("from"), (F.lit(WIDTH) - F.col("b")).cast("long").alias("to")))
+    forget(near, sure, hits)
     return out
 
 
