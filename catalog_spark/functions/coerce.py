@@ -1,10 +1,15 @@
-"""Permissive coercion of VARIANT paths: wrong or missing kinds give defaults, never errors."""
+"""Permissive coercion of VARIANT paths: wrong or missing kinds give defaults, never errors.
+
+``extracted`` walks each path once and hands on the small value found there; the coercions then look at that value.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRUE_WORDS = ("1", "true", "yes", "y", "on")
@@ -33,16 +38,19 @@ def int_of(text: Column) -> Column:
     return F.coalesce(x.try_cast("bigint"), x.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def _is_true(v: Column, path: str) -> Column:
+    """JSON's true. Its kind is looked up only where the text says so, which is rare."""
+    return (text_at(v, path) == "true") & (_kind(v, path) == "BOOLEAN")
+
+
 def as_int(v: Column, path: str = "$") -> Column:
     """Numbers and numeric strings truncate, booleans are 0 or 1, all else is 0."""
-    flag = F.try_variant_get(v, path, "boolean")
-    return F.when(_kind(v, path) == "BOOLEAN", flag.cast("int").cast("bigint")).otherwise(int_of(text_at(v, path)))
+    return F.when(_is_true(v, path), F.lit(1).cast("bigint")).otherwise(int_of(text_at(v, path)))
 
 
 def as_float(v: Column, path: str = "$") -> Column:
-    flag = F.try_variant_get(v, path, "boolean")
     number = F.coalesce(F.trim(text_at(v, path)).try_cast("double"), F.lit(0.0))
-    return F.when(_kind(v, path) == "BOOLEAN", flag.cast("int").cast("double")).otherwise(number)
+    return F.when(_is_true(v, path), F.lit(1.0)).otherwise(number)
 
 
 def flag_of(text: Column) -> Column:
@@ -51,9 +59,8 @@ def flag_of(text: Column) -> Column:
 
 def to_u8(v: Column, path: str = "$") -> Column:
     """1 for true and for strings that say so, else 0; a JSON number is no flag and gives 0."""
-    kind = _kind(v, path)
-    yes = F.when(kind == "BOOLEAN", F.try_variant_get(v, path, "boolean")).when(kind == "STRING", flag_of(text_at(v, path)))
-    return F.coalesce(yes, F.lit(False)).cast("int")
+    said = flag_of(text_at(v, path))  # a number's text may say so, too
+    return (said & _kind(v, path).isin("BOOLEAN", "STRING")).cast("int")
 
 
 def clamp_percent(x: Column) -> Column:
@@ -89,5 +96,23 @@ def string_array(v: Column, path: str = "$") -> Column:
     return F.filter(F.coalesce(items, split, F.array().cast("array<string>")), lambda x: F.trim(x) != "")
 
 
+def _of_one(f: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda x: f(x)  # without optional parameters, which ``transform`` would fill
+
+
+def extracted(df: DataFrame, v: str, fields: dict[str, tuple[str, Callable[[Column], Column]]]) -> DataFrame:
+    """``df`` with a column for each name in ``fields``: its coercion of the VARIANT at its path in the column ``v``.
+
+    Fields of one coercion share its expression: it runs over an array of their values, so that the code that Spark
+    generates stays small enough for the JVM to compile.
+    """
+    groups: dict[Callable, list[str]] = {}
+    for name, (_, f) in fields.items():
+        groups.setdefault(f, []).append(name)
+    found = df.select("*", *[F.transform(F.array(*[at(F.col(v), fields[n][0]) for n in names]), _of_one(f)).alias(f"_group{k}") for k, (f, names) in enumerate(groups.items())])
+    typed = {n: F.col(f"_group{k}")[i] for k, names in enumerate(groups.values()) for i, n in enumerate(names)}
+    return found.withColumns(typed).drop(*[f"_group{k}" for k in range(len(groups))])
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)

@@ -32,10 +32,15 @@ def to_events(rows: DataFrame, table: str, namespace: str = "catalog", source: s
     made = hashing.uuid7(created)
     own = F.coalesce(F.when(F.trim("uuid") != "", F.col("uuid")), made) if table.endswith("course_snapshot_raw") and "uuid" in rows.columns else made
     url = F.coalesce("source_url", F.lit("")) if "source_url" in rows.columns else F.lit("")
+    payload = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    return enveloped(rows, own, url, f"{namespace}.{table}.v1", payload, times.format_ts(created), source, host, ip)
+
+
+def enveloped(rows: DataFrame, uuid: Column, url: Column, event_type: str, payload: Column, created: Column, source: str = "", host: str = "", ip: str = "") -> DataFrame:
+    """The columns of ENVELOPE."""
     return rows.select(
-        own.alias("event_uuid"), F.lit(source).alias("source"), F.lit(host).alias("host"), F.lit("").alias("uuid_user"), F.lit(ip).alias("ip"),
-        url.alias("url"), F.lit(f"{namespace}.{table}.v1").alias("event_type"),
-        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("payload"), times.format_ts(created).alias("created_at"),
+        uuid.alias("event_uuid"), F.lit(source).alias("source"), F.lit(host).alias("host"), F.lit("").alias("uuid_user"), F.lit(ip).alias("ip"),
+        url.alias("url"), F.lit(event_type).alias("event_type"), payload.alias("payload"), created.alias("created_at"),
     )
 
 

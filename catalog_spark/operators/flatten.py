@@ -13,8 +13,20 @@ from ..functions import times
 from .capture import KINDS
 
 
-def parsed(captured: DataFrame) -> DataFrame:
-    return captured.withColumns({k: F.try_parse_json(k) for k in KINDS})
+# The paths of the source documents' fields, below ``$.data``.
+DIM_TEXT = {
+    "slug": "slug", "en_slug": "enSlug", "status": "status", "title": "title", "description": "description", "thumbnail_url": "thumbnailUrl",
+    "category_main_title": "category.main.title", "category_main_slug": "category.main.slug", "category_sub_title": "category.sub.title", "category_sub_slug": "category.sub.slug",
+}
+DIM_WHOLE = {"student_count": "studentCount", "like_count": "likeCount", "review_count": "review.count", "lecture_unit_count": "unitSummary.lectureUnitCount", "preview_unit_count": "unitSummary.previewUnitCount", "runtime_sec": "unitSummary.runtime"}
+DIM_FLAG = {"is_new": "isNew", "is_best": "isBest", "provides_certificate": "providesCertificate", "provides_instructor_answer": "providesInstructorAnswer", "provides_inquiry": "providesInquiry"}
+DIM_TIME = {"published_at": "publishedAt", "last_updated_at": "lastUpdatedAt"}
+META_ARRAY = {"category_slugs": "categorySlugs", "skill_slugs": "skillSlugs", "common_tag_slugs": "commonTagsSlugs"}
+
+
+def parsed(captured: DataFrame, *kinds: str) -> DataFrame:
+    """The named documents as VARIANT; only these are parsed."""
+    return captured.withColumns({k: F.try_parse_json(k) for k in kinds})
 
 
 def active_level(v: Column, path: str = "$.data.levels") -> Column:
@@ -25,42 +37,51 @@ def active_level(v: Column, path: str = "$.data.levels") -> Column:
 
 
 def _complete(captured: DataFrame) -> DataFrame:
-    """Dimension and facts need both the online and the meta document, as objects."""
-    both = [F.schema_of_variant(k).startswith("OBJECT") for k in ("online", "meta")]
-    return captured.filter(both[0] & both[1])
+    """Dimension and facts need both the online and the meta document, as objects. Told by the first character, so that
+    a document that is none is not parsed for it; one that cannot be parsed is dropped by ``_whole``."""
+    return captured.filter(F.col("online").rlike(r"^\s*\{") & F.col("meta").rlike(r"^\s*\{"))
+
+
+def _whole(docs: DataFrame) -> DataFrame:
+    return docs.filter(F.col("online").isNotNull() & F.col("meta").isNotNull())
 
 
 def _fit(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.schema(table)])
 
 
+def _data(paths: dict[str, str], coercion) -> dict:
+    return {name: (f"$.data.{p}", coercion) for name, p in paths.items()}
+
+
+def _text(v: Column) -> Column:
+    return C.text_at(v, "$")
+
+
+def _when(v: Column) -> Column:
+    return times.parse_ts(C.as_string(v))
+
+
 def course_dim(captured: DataFrame) -> DataFrame:
-    d, m = F.col("online"), F.col("meta")
-    text = {"slug": "slug", "en_slug": "enSlug", "status": "status", "title": "title", "description": "description", "thumbnail_url": "thumbnailUrl",
-            "category_main_title": "category.main.title", "category_main_slug": "category.main.slug", "category_sub_title": "category.sub.title", "category_sub_slug": "category.sub.slug"}
-    whole = {"student_count": "studentCount", "like_count": "likeCount", "review_count": "review.count", "lecture_unit_count": "unitSummary.lectureUnitCount", "preview_unit_count": "unitSummary.previewUnitCount", "runtime_sec": "unitSummary.runtime"}
-    flag = {"is_new": "isNew", "is_best": "isBest", "provides_certificate": "providesCertificate", "provides_instructor_answer": "providesInstructorAnswer", "provides_inquiry": "providesInquiry"}
-    columns = {k: C.as_string(d, f"$.data.{p}") for k, p in text.items()}
-    columns |= {k: C.as_int(d, f"$.data.{p}") for k, p in whole.items()} | {k: C.to_u8(d, f"$.data.{p}") for k, p in flag.items()}
-    columns |= {k: F.coalesce(times.parse_ts(C.as_string(d, f"$.data.{p}")), times.epoch()) for k, p in (("published_at", "publishedAt"), ("last_updated_at", "lastUpdatedAt"))}
-    columns |= {"level_code": active_level(d), "average_star": C.as_float(d, "$.data.review.averageStar"), "keywords": C.as_string(m, "$.data.keywords")}
-    columns |= {k: C.string_array(m, f"$.data.{p}") for k, p in (("category_slugs", "categorySlugs"), ("skill_slugs", "skillSlugs"), ("common_tag_slugs", "commonTagsSlugs"))}
-    return _fit(_complete(parsed(captured)).withColumns(columns), "course_dim")
+    online = _data(DIM_TEXT, C.as_string) | _data(DIM_WHOLE, C.as_int) | _data(DIM_FLAG, C.to_u8)
+    online |= _data(DIM_TIME, lambda v: F.coalesce(_when(v), times.epoch()))
+    online |= _data({"average_star": "review.averageStar"}, C.as_float) | _data({"level_code": "levels"}, lambda v: active_level(v, "$"))
+    meta = _data({"keywords": "keywords"}, C.as_string) | _data(META_ARRAY, C.string_array)
+    docs = _whole(parsed(_complete(captured), "online", "meta"))
+    return _fit(C.extracted(C.extracted(docs, "online", online), "meta", meta), "course_dim")
 
 
 def _priced(captured: DataFrame) -> DataFrame:
-    d, disc = F.col("online"), F.col("discounts")
-    pay = "$.data.paymentInfo"
-    rate = C.int_of(F.coalesce(C.first_non_zero(C.text_at(d, f"{pay}.discountRate"), C.text_at(disc, "$.data.discountRate")), F.lit("0")))
-    return _complete(parsed(captured)).withColumns({
-        "student_count": C.as_int(d, "$.data.studentCount"), "like_count": C.as_int(d, "$.data.likeCount"),
-        "review_count": C.as_int(d, "$.data.review.count"), "average_star": C.as_float(d, "$.data.review.averageStar"),
-        "regular_price": C.as_float(d, f"{pay}.regularPrice"), "pay_price": C.as_float(d, f"{pay}.payPrice"),
-        "krw_regular_price": C.as_int(d, f"{pay}.krwRegularPrice"), "krw_pay_price": C.as_int(d, f"{pay}.krwPaymentPrice"),
-        "discount_rate": C.clamp_percent(rate),
-        "discount_title": C.first_non_empty(C.as_string(d, f"{pay}.discount.title"), C.as_string(disc, "$.data.discountTitle")),
-        "discount_ended_at": times.parse_ts(C.as_string(d, f"{pay}.discount.endedAt")),
-    })
+    pay = "paymentInfo"
+    online = _data({"student_count": "studentCount", "like_count": "likeCount", "review_count": "review.count", "krw_regular_price": f"{pay}.krwRegularPrice", "krw_pay_price": f"{pay}.krwPaymentPrice"}, C.as_int)
+    online |= _data({"average_star": "review.averageStar", "regular_price": f"{pay}.regularPrice", "pay_price": f"{pay}.payPrice"}, C.as_float)
+    online |= _data({"_rate": f"{pay}.discountRate", "_title": f"{pay}.discount.title"}, _text)
+    online |= _data({"discount_ended_at": f"{pay}.discount.endedAt"}, _when)
+    other = _data({"_other_rate": "discountRate", "_other_title": "discountTitle"}, _text)
+    docs = _whole(parsed(_complete(captured), "online", "meta", "discounts"))
+    docs = C.extracted(C.extracted(docs, "online", online), "discounts", other)
+    rate = C.int_of(F.coalesce(C.first_non_zero(F.col("_rate"), F.col("_other_rate")), F.lit("0")))
+    return docs.withColumns({"discount_rate": C.clamp_percent(rate), "discount_title": C.first_non_empty(F.col("_title"), F.col("_other_title"))})
 
 
 def _sig(*names: str) -> Column:
@@ -113,7 +134,15 @@ def course_instructors(captured: DataFrame) -> DataFrame:
     return _fit(_main_instructors(captured).withColumn("role", F.lit("main")), "course_instructor_map")
 
 
-def bundle(captured: DataFrame, snapshots: DataFrame) -> dict[str, DataFrame]:
+class Bundle(dict):
+    """Frames by table name, and the captured batch that they are made from."""
+
+    captured: DataFrame | None = None
+
+
+def bundle(captured: DataFrame, snapshots: DataFrame) -> Bundle:
     """All tables of one captured batch, in the order of schemas.BUNDLE."""
     made = (snapshots, course_dim(captured), course_metric(captured), course_price(captured), curriculum_units(captured), instructors(captured), course_instructors(captured))
-    return dict(zip(schemas.BUNDLE, made))
+    out = Bundle(zip(schemas.BUNDLE, made))
+    out.captured = captured
+    return out

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from ..functions import coerce as C
 from ..functions import hashing, text
 from ..sources.documents import ndjson_rows
-from .events import to_ndjson
 
 # Lower-case parts of messages of temporary write errors.
 TEMPORARY = (
@@ -58,14 +57,15 @@ def chunked(rows: DataFrame, columns: list[str], order: list[str], size: int = 1
 
     Rows fall into chunks by a hash of their line; ``order`` columns break no ties but fix the lines' order within.
     """
-    lines = to_ndjson(rows, columns).select("value", F.struct(*[F.get_json_object("value", f"$.{c}") for c in order]).alias("at"))
+    line = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
+    lines = rows.select(line.alias("value"), F.struct(*[F.col(c).cast("string") for c in order]).alias("at"))
     n = max(1, -(-rows.count() // size))
     made = lines.groupBy(F.pmod(F.xxhash64("value"), F.lit(n)).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("all"))
     made = made.select("chunk", F.array_join(F.transform("all", lambda x: x["value"]), "\n").alias("rows_json"), F.size("all").alias("row_count"))
     return made.withColumn("payload_hash", hashing.h64(F.col("rows_json")))
 
 
-def enqueue(chunks: DataFrame, outbox: DataFrame, database: str, table: str, columns: list[str], error: str) -> DataFrame:
+def enqueue(chunks: DataFrame, outbox: DataFrame, database: str, table: str, columns: list[str], error: str | Column) -> DataFrame:
     """New outbox rows for failed chunks, without those of which an equal one is pending (or comes twice)."""
     pending = outbox.filter(F.col("replayed_at").isNull() & (F.col("target_table") == table) & (F.col("target_database") == database)).select("payload_hash")
     fresh = chunks.dropDuplicates(["payload_hash"]).join(pending, "payload_hash", "left_anti")
@@ -73,7 +73,7 @@ def enqueue(chunks: DataFrame, outbox: DataFrame, database: str, table: str, col
     return fresh.select(
         hashing.uuid7(now).alias("outbox_uuid"), now.alias("created_at"), F.lit(database).alias("target_database"), F.lit(table).alias("target_table"),
         F.array(*map(F.lit, columns)).alias("target_columns"), "rows_json", F.col("row_count").cast("int").alias("row_count"), "payload_hash",
-        text.error_text(F.lit(error), 400).alias("source_error"), F.lit(0).alias("replay_attempt"), nothing.alias("last_replay_at"), nothing.alias("replayed_at"), F.lit("").alias("replay_error"),
+        text.error_text(error if isinstance(error, Column) else F.lit(error), 400).alias("source_error"), F.lit(0).alias("replay_attempt"), nothing.alias("last_replay_at"), nothing.alias("replayed_at"), F.lit("").alias("replay_error"),
     )
 
 

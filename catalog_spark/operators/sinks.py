@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from . import outbox as box
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share, below spark.checkpoint.dir; a local one only where that is unset and
+    Spark runs in one process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='spark-scratch-')}"
+    return f"{shared.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
 def fitted(rows: DataFrame, table: str) -> DataFrame:
     """The table's columns in order: missing ones null, others dropped."""
     return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.schema(table)])
@@ -18,15 +33,39 @@ def append_table(rows: DataFrame, root: str, table: str) -> None:
     fitted(rows, table).write.mode("append").parquet(f"{root}/{table}")
 
 
-def write_bundle(bundle: dict[str, DataFrame], root: str) -> None:
-    """All tables in their fixed order; the first error stops the rest."""
-    for table in schemas.BUNDLE:
-        if table in bundle:
-            append_table(bundle[table], root, table)
+def read_or_empty(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A target table; without rows if nothing was written yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    schema = schemas.schema(table)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/{table}")
+
+
+def write_bundle(bundle: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """All tables in their fixed order; the first error stops the rest. Returns the tables as written by this call.
+
+    The captured batch behind the tables (``flatten.Bundle``) is persisted while they are written, so that it is made
+    once, and so are the tables returned, so that identifiers drawn at random are the same in both.
+    """
+    captured = getattr(bundle, "captured", None)
+    if captured is not None:
+        captured.persist()
+    written = {}
+    try:
+        for table in schemas.BUNDLE:
+            if table in bundle:
+                written[table] = fitted(bundle[table], table).persist()
+                written[table].write.mode("append").parquet(f"{root}/{table}")
+    finally:
+        if captured is not None:
+            captured.unpersist()
+    return written
 
 
 def write_with_outbox(rows: DataFrame, table: str, writer, outbox: DataFrame, database: str = "", chunk: int = 100) -> DataFrame | None:
-    """Write; after a temporary error return the outbox rows that keep what failed, and raise any other error."""
+    """Write with a writer that writes all rows or none, as Spark's own do; after a temporary error return the outbox
+    rows that keep them, and raise any other error."""
     ready = fitted(rows, table)
     try:
         writer(ready)
@@ -36,3 +75,44 @@ def write_with_outbox(rows: DataFrame, table: str, writer, outbox: DataFrame, da
             raise
         columns = ready.columns
         return box.enqueue(box.chunked(ready, columns, columns[:1], chunk), outbox, database, table, columns, str(e))
+
+
+def send_with_outbox(rows: DataFrame, table: str, send: Callable[[str], None], root: str, database: str = "", chunk: int = 100) -> int:
+    """Send rows in NDJSON chunks, each on its own; chunks that fail by a temporary error go to the outbox table below
+    ``root``, unless an equal one is pending, and their number is returned. Any other error is raised afterwards.
+
+    ``send`` runs in the tasks, once for each chunk and once more only if a task is lost. What failed is written before
+    it is looked at, so that no action sends again.
+    """
+    spark = rows.sparkSession
+    ready = fitted(rows, table)
+    columns = ready.columns
+
+    def run(frames):
+        for pdf in frames:
+            errors = []
+            for lines in pdf["rows_json"]:
+                try:
+                    send(lines)
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001 - the error is data here: it is stored with the chunk
+                    errors.append(str(e) or type(e).__name__)
+            pdf["error"] = errors
+            yield pdf[pdf["error"].notna()]
+
+    chunks = box.chunked(ready, columns, columns[:1], chunk)
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema)
+    failed = chunks.mapInPandas(run, f"{shape}, error string").persist()
+    waiting = failed.filter(box.is_temporary(F.col("error")))
+    fresh = fitted(box.enqueue(waiting, read_or_empty(spark, root, "insert_outbox"), database, table, columns, F.col("error")), "insert_outbox").persist()
+    try:
+        n = fresh.count()
+        if n:
+            fresh.write.mode("append").parquet(f"{root}/insert_outbox")
+        other = failed.filter(~box.is_temporary(F.col("error"))).first()
+        if other:
+            raise RuntimeError(other["error"])
+        return n
+    finally:
+        fresh.unpersist()
+        failed.unpersist()

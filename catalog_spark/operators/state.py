@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import hashing, times
 from ..sources.documents import state_key
+from . import events, sinks
+from .latest import latest_by
 
 
 def seen_courses(snapshots: DataFrame, dims: DataFrame) -> DataFrame:
@@ -34,6 +37,40 @@ def upsert(state: DataFrame, seen: DataFrame) -> DataFrame:
     )
 
 
+STATE = ["source_url", "first_seen_at", "last_fetched_at"]
+
+
+def read_state_table(spark: SparkSession, root: str) -> DataFrame:
+    """The crawl state below ``root``: the latest version of each course."""
+    rows = sinks.read_or_empty(spark, root, "course_state")
+    return latest_by(rows, ["course_id", "locale"], "written_at", STATE).select("course_id", "locale", *STATE)
+
+
+def append_state(spark: SparkSession, root: str, seen: DataFrame) -> None:
+    """Append new versions of the courses seen to the crawl state below ``root``; other courses are not written again."""
+    keys = ["course_id", "locale"]
+    course_id, locale = state_key(F.col("course_id"), F.col("locale"))
+    mine = seen.select(course_id.alias("course_id"), locale.alias("locale")).distinct()
+    prior = read_state_table(spark, root).join(mine, keys, "left_semi")
+    sinks.append_table(upsert(prior, seen).withColumn("written_at", F.current_timestamp()), root, "course_state")
+
+
+def read_checkpoints(spark: SparkSession, root: str) -> DataFrame:
+    return sinks.read_or_empty(spark, root, "crawl_checkpoint")
+
+
+def append_checkpoint(spark: SparkSession, root: str, source: str, sitemap_index: int, url_index: int) -> None:
+    sinks.append_table(checkpoint_row(spark, source, sitemap_index, url_index), root, "crawl_checkpoint")
+
+
+def checkpoint_event(points: DataFrame, namespace: str = "catalog", **settings) -> DataFrame:
+    """Rows of crawl_checkpoint as events; each has an identifier of its own, in the payload, too."""
+    rows = points.withColumn("checkpoint_uuid", hashing.uuid7(F.col("updated_at"))).withColumn("updated_at", times.format_ts(F.col("updated_at")))
+    made = F.to_json(F.struct("checkpoint_uuid", "source", "updated_at", "sitemap_index", "url_index"))
+    out = rows.select(F.explode(F.array(F.struct("*", made.alias("payload")))).alias("r"))  # one draw for both places
+    return events.enveloped(out, F.col("r.checkpoint_uuid"), F.lit(""), f"{namespace}.crawl_checkpoint.v1", F.col("r.payload"), F.col("r.updated_at"), **settings)
+
+
 def checkpoint_row(spark, source: str, sitemap_index: int, url_index: int) -> DataFrame:
     row = spark.createDataFrame([(source, sitemap_index, url_index)], "source string, sitemap_index int, url_index int")
     return row.select("source", F.current_timestamp().alias("updated_at"), "sitemap_index", "url_index")

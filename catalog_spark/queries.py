@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from . import schemas
 from .functions import coerce, hashing, links, text, times
-from .operators import backlog, capture, discovery, events, flatten, latest, outbox, state, translate
+from .operators import backlog, capture, discovery, events, flatten, latest, outbox, sinks, state, translate
+from .plans import pipelines
 from .sources import documents, pages, search, sitemaps
 
 QUERIES: dict = {}
@@ -560,3 +561,187 @@ def q_translate_whole(spark, sf):
 
     asked = translate.apply_translator(translate.requests(rows, F.lit("fr"), list(backlog.COURSE_TEXTS), "m"), speak)
     return translate.course_translations(asked, "m")[0].select("course_id", "title", "description", "level_code")
+
+
+# Sinks and jobs: they write to a scratch folder, and what is read back is compared
+
+
+@query("SELECT o_orderkey AS course_id, o_custkey AS instructor_id, 'none' AS role, epoch_us(o_orderdate) // 1000 AS fetched_ms FROM orders")
+def q_append_table(spark, sf):
+    root = sinks.scratch(spark)
+    rows = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("course_id"), F.col("o_custkey").alias("instructor_id"), F.col("o_orderdate").cast("timestamp").alias("fetched_at"), F.lit("x").alias("extra"))
+    for odd in (0, 1):
+        sinks.append_table(rows.filter(F.pmod("course_id", F.lit(2)) == odd), root, "course_instructor_map")
+    table = documents.read_table(spark, f"{root}/course_instructor_map", ["course_id", "instructor_id", "role", "fetched_at"])
+    return table.select("course_id", "instructor_id", F.coalesce("role", F.lit("none")).alias("role"), _ms("fetched_at").alias("fetched_ms"))
+
+
+@query("""
+SELECT 'course_snapshot_raw' AS table_name, count(*) AS n FROM orders
+UNION ALL SELECT unnest(['course_dim', 'course_metric_fact', 'course_price_fact']), count(*) FROM orders WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT 'course_curriculum_unit', 0
+UNION ALL SELECT unnest(['instructor_dim', 'course_instructor_map']), count(*) FROM orders WHERE o_custkey > 0""")
+def q_write_bundle(spark, sf):
+    root = sinks.scratch(spark)
+    captured = _orders_as_captures(spark, sf)
+    shots = capture.snapshot_rows(captured.select("fetched_at", "course_id", "locale", F.lit("u").alias("source_url"), F.lit("k").alias("query_key"), F.col("online").alias("payload_json")))
+    for rows in sinks.write_bundle(flatten.bundle(captured, shots), root).values():
+        rows.unpersist()
+    return latest.counts({t: sinks.read_or_empty(spark, root, t) for t in schemas.BUNDLE})
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '{"t":"' || event_type || '","u":' || user_id || '}' ELSE '{}' END AS payload_json FROM events""")
+def q_payload_json(spark, sf):
+    made = F.when(F.col("event_id") % 2 == 0, F.struct(F.col("event_type").alias("t"), F.col("user_id").alias("u")))
+    return events.payload_to_json(_t(spark, sf, "events").select("event_id", made.alias("payload"))).select("event_id", "payload_json")
+
+
+@query("SELECT o_orderkey % 2 = 1 AS own, count(*) AS n, count(*) AS n_right, count(*) AS n_different FROM orders GROUP BY 1")
+def q_event_uuid(spark, sf):
+    """Snapshots keep their own identifier; others get one of version 7 that starts with the row's milliseconds."""
+    own = F.when(F.col("o_orderkey") % 2 == 1, F.concat(F.lit("own-"), F.col("o_orderkey").cast("string")))
+    rows = _t(spark, sf, "orders").select("o_orderkey", own.alias("uuid"), F.col("o_orderdate").cast("timestamp").alias("fetched_at"))
+    made = events.to_events(rows, "course_snapshot_raw").select("event_uuid", F.from_json("payload", "o_orderkey long, uuid string, fetched_at timestamp").alias("p"))
+    ms = F.conv(F.replace(F.left("event_uuid", F.lit(13)), F.lit("-")), 16, 10).cast("long")
+    fresh = F.col("event_uuid").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-7[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$") & (ms == F.unix_millis("p.fetched_at"))
+    right = F.when(F.col("p.uuid").isNull(), fresh).otherwise(F.col("event_uuid") == F.col("p.uuid"))
+    return made.groupBy((F.col("p.o_orderkey") % 2 == 1).alias("own")).agg(F.count("*").alias("n"), F.count_if(right).alias("n_right"), F.countDistinct("event_uuid").alias("n_different"))
+
+
+@query("SELECT o_orderstatus AS source, count(*) AS sitemap_index, max(o_orderkey) AS url_index FROM orders GROUP BY o_orderstatus")
+def q_checkpoints(spark, sf):
+    root = sinks.scratch(spark)
+    for source, n, last in _t(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count("*"), F.max("o_orderkey")).collect():  # a row for each status
+        state.append_checkpoint(spark, root, source, 0, 0)
+        state.append_checkpoint(spark, root, source, n, last)
+    points = latest.latest_by(state.read_checkpoints(spark, root), ["source"], "updated_at", ["sitemap_index", "url_index"])
+    return points.select("source", F.col("sitemap_index").cast("long").alias("sitemap_index"), F.col("url_index").cast("long").alias("url_index"))
+
+
+@query("SELECT o_custkey AS url, coalesce(min(o_orderkey) FILTER (o_orderstatus = 'F'), -1) AS course_id FROM orders GROUP BY o_custkey")
+def q_resolve_course_id(spark, sf):
+    key = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit('["/client/api/v1/course/'), F.col("o_orderkey").cast("string"), F.lit('/online/info"]'))).otherwise('["/other"]')
+    found = capture.resolve_course_id(_t(spark, sf, "orders").select(F.col("o_custkey").alias("url"), F.col("o_orderkey").alias("pos"), key.alias("query_key")))
+    return found.select("url", F.coalesce("course_id", F.lit(-1)).alias("course_id"))
+
+
+@query("""
+WITH o AS (SELECT *, (o_orderkey + 99) // 100 AS page FROM orders WHERE o_orderkey > 0), s AS (SELECT page, count(*) AS n FROM o GROUP BY page),
+e AS (SELECT coalesce(min(page) FILTER (n < 100), max(page)) AS last FROM s)
+SELECT * FROM (SELECT o_orderkey AS course_id, 0 AS seq FROM o WHERE page <= (SELECT last FROM e) AND o_orderkey % 2 = 1 ORDER BY page, o_orderkey LIMIT 50)
+UNION ALL SELECT doc_id, 1 FROM labels""")
+def q_recent_head(spark, sf):
+    """At most 50 new courses of the result pages, newest first, ahead of a scan's."""
+    item = F.struct("o_orderkey", F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.concat(F.lit("s"), F.col("o_orderkey").cast("string")).alias("slug"))).alias("item"))
+    found = _t(spark, sf, "orders").groupBy(F.floor((F.col("o_orderkey") + 99) / 100).cast("long").alias("page")).agg(F.array_sort(F.collect_list(item)).alias("all"))
+    body = F.concat(F.lit('{"data":{"items":['), F.array_join(F.transform("all", lambda x: x["item"]), ","), F.lit("]}}"))
+    known = _t(spark, sf, "orders").filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("course_id"), F.lit("ko").alias("locale"))
+    newest, _ = pipelines.recent_head(found.select("page", body.alias("body")), known, 50)
+    return discovery.head_first(newest.select("course_id"), _t(spark, sf, "labels").select(F.col("doc_id").alias("course_id"))).select("course_id", "seq")
+
+
+def _customers_as_captures(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pages, queries, api): a page for each customer, with one cached document, and another from the API."""
+    i = (F.col("c_custkey") + 1).cast("string")
+    url = F.concat(F.lit("https://www.example.com/course/c"), i, F.lit("?cid="), i)
+    c = _t(spark, sf, "customer")
+    pages_ = c.select(url.alias("url"), F.timestamp_seconds(F.lit(1_600_000_000) + (F.col("c_custkey") * 37) % 101).alias("fetched_at"))
+    online = F.to_json(F.struct(F.struct(F.col("c_name").alias("title"), F.col("c_mktsegment").alias("status")).alias("data")))
+    queries_ = c.select(url.alias("url"), F.lit(0).alias("pos"), F.concat(F.lit('["/client/api/v1/course/'), i, F.lit('/online/info"]')).alias("query_key"), online.alias("payload_json"))
+    path = F.concat(F.lit("/client/api/v1/course/"), i, F.lit("/meta"))
+    api = c.select(url.alias("url"), F.lit("meta").alias("kind"), F.lit(0).alias("api_rank"), path.alias("path"), F.lit('{"data":{"keywords":"k"}}').alias("payload_json"))
+    return pages_, queries_, api
+
+
+@query("""
+WITH h AS (SELECT n_nationkey * 5 + 1 AS k FROM nation WHERE (n_nationkey * 5 + 1) % 2 = 1),
+s AS (SELECT c_custkey + 1 AS k FROM customer QUALIFY row_number() OVER (ORDER BY c_custkey) <= 1500 - (SELECT count(*) FROM h)),
+m AS (SELECT k, (k % 2 = 1 AND k NOT IN (SELECT k FROM h))::INT AS fresh FROM s),
+c AS (SELECT *, coalesce(sum(fresh) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM m),
+t AS (SELECT * FROM c WHERE before < 40 - (SELECT count(*) FROM h))
+SELECT 'course' AS kind, k::BIGINT AS id FROM h UNION ALL SELECT 'course', k FROM t WHERE fresh = 1 UNION ALL SELECT 'checkpoint', max(k) FROM t
+UNION ALL SELECT 'known', k FROM (SELECT k FROM h UNION ALL SELECT k FROM t WHERE fresh = 1 UNION ALL SELECT c_custkey + 1 FROM customer WHERE c_custkey % 2 = 1)""")
+def q_collect_new(spark, sf):
+    """40 new courses at most: those of the search page first, then the scan's; the checkpoint and the crawl state after it."""
+    root = sinks.scratch(spark)
+    captures = _customers_as_captures(spark, sf)
+    number = F.col("c_custkey") + 1
+    even = _t(spark, sf, "customer").filter("c_custkey % 2 = 1").select(number.alias("course_id"), F.lit("ko").alias("locale"), F.lit("u").alias("source_url"), F.timestamp_seconds(F.lit(1)).alias("fetched_at"), F.lit(0).alias("seq"))
+    state.append_state(spark, root, even)
+    loc = F.concat(F.lit("<loc>https://www.example.com/course/c"), number.cast("string"), F.lit("?cid="), number.cast("string"), F.lit("</loc>"))
+    all_ = _t(spark, sf, "customer").groupBy(F.floor(F.col("c_custkey") / 10_000).cast("int").alias("sitemap_index")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", loc.alias("x")))).alias("all"))
+    body = F.concat(F.lit("<u>"), F.array_join(F.transform("all", lambda s: s["x"]), ""), F.lit("</u>"))
+    responses = all_.select("sitemap_index", F.lit(0).alias("base_rank"), F.lit(200).alias("status"), body.alias("body"))
+    item = F.to_json(F.struct((F.col("n_nationkey") * 5 + 1).alias("id"), F.lit("s").alias("slug")))
+    found = _t(spark, sf, "nation").agg(F.concat(F.lit('{"data":{"items":['), F.array_join(F.collect_list(item), ","), F.lit("]}}")).alias("body")).select(F.lit(1).alias("page"), "body")
+    # Pages of the search name other addresses than the captures; an address is known by its course.
+    pages_, queries_, api = captures
+    search_url = lambda df: df.unionByName(df.withColumn("url", F.regexp_replace("url", "/course/c[0-9]+", "/course/s")))
+    written, _, end = pipelines.run_collect_new(spark, root, responses, found, search_url(pages_), search_url(queries_), search_url(api), batch=40)
+    point = spark.range(1).select(F.lit("checkpoint").alias("kind"), F.lit(end[0] * 10_000 + end[1]).cast("long").alias("id"))
+    courses = documents.read_table(spark, f"{root}/course_dim", ["course_id"]).select(F.lit("course").alias("kind"), F.col("course_id").alias("id"))
+    for rows in written.values():
+        rows.unpersist()
+    return courses.unionByName(point).unionByName(state.read_state_table(spark, root).select(F.lit("known").alias("kind"), F.col("course_id").alias("id")))
+
+
+@query("""
+SELECT c_custkey + 1 AS course_id, c_name AS title, 100 AS picked FROM customer ORDER BY (c_custkey * 37) % 101, c_custkey LIMIT 100""")
+def q_refresh_existing(spark, sf):
+    """The 100 stalest courses anew, and the progress stored."""
+    root = sinks.scratch(spark)
+    captures = _customers_as_captures(spark, sf)
+    sinks.append_table(captures[0].select("fetched_at", F.regexp_extract("url", "cid=([0-9]+)", 1).cast("long").alias("course_id"), F.lit("ko").alias("locale"), F.col("url").alias("source_url"), F.lit("OK").alias("status_code")), root, "course_snapshot_raw")
+    written, _, _ = pipelines.run_refresh_existing(spark, root, *captures, limit=100)
+    for rows in written.values():
+        rows.unpersist()
+    picked = state.latest_checkpoint(state.read_checkpoints(spark, root), pipelines.UPDATE)[1]
+    return documents.read_table(spark, f"{root}/course_dim", ["course_id", "title"]).withColumn("picked", F.lit(picked))
+
+
+@query("SELECT c_mktsegment AS status, count(*) AS n, sum(c_custkey + 1)::BIGINT AS ids, count(*) AS n_states FROM customer GROUP BY c_mktsegment")
+def q_collect_urls(spark, sf):
+    root = sinks.scratch(spark)
+    captures = _customers_as_captures(spark, sf)
+    written = pipelines.run_collect_urls(spark, root, captures[0].select(F.concat(F.lit(" "), F.col("url"), F.lit(",\n")).alias("value")), *captures)
+    for rows in written.values():
+        rows.unpersist()
+    states = state.read_state_table(spark, root).select("course_id", "locale")
+    dims = documents.read_table(spark, f"{root}/course_dim", ["course_id", "locale", "status"])
+    joined = dims.join(states.withColumn("_s", F.lit(1)), ["course_id", "locale"], "left")
+    return joined.groupBy("status").agg(F.count("*").alias("n"), F.sum("course_id").alias("ids"), F.count("_s").alias("n_states"))
+
+
+def _display_sql(target: str, script: str, limit: int, done: str) -> str:
+    one = SQL["q_backlog"].replace("[А-Яа-яЁёІіЇїЄєҐґ]", f"[{text.SCRIPTS[script]}]").replace("LIMIT 100", f"LIMIT {limit}")
+    one = one.replace("SELECT doc_id // 2 FROM labels WHERE quality = 1", done)
+    return f"SELECT '{target}' AS target_language, course_id, 'T' AS title FROM ({one})"
+
+
+@query(_display_sql("ru", "cyrillic", 12, "SELECT doc_id // 2 FROM labels WHERE quality = 1") + " UNION ALL " + _display_sql("ar", "arabic", 8, "SELECT -1"))
+def q_translate_display(spark, sf):
+    """Twelve courses for the first target and what is left of a quota of twenty for the second."""
+
+    def speak(asked):
+        import json
+
+        return [json.dumps({"choices": [{"message": {"content": json.dumps({"title": "T"})}}]}) for _ in asked]
+
+    nothing = {t: spark.createDataFrame([], schemas.schema(t)) for t in ("course_curriculum_unit", "curriculum_display_translation")}
+    rows, _, _ = pipelines.translate_display(_dim(spark, sf), nothing["course_curriculum_unit"], _done(spark, sf), nothing["curriculum_display_translation"], ["ru", "ar"], speak, most=20)
+    return rows.select("target_language", "course_id", "title")
+
+
+@query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 0 AS waiting FROM supplier")
+def q_drain_outbox(spark, sf):
+    """All chunks of suppliers (50 of 100 rows at most in a run), written by the drain, and how many wait afterwards."""
+    root = sinks.scratch(spark)
+    rows = _t(spark, sf, "supplier")
+    none = spark.createDataFrame([], schemas.schema("insert_outbox"))
+    size = max(100, -(-rows.count() // 50))
+    box = outbox.enqueue(outbox.chunked(rows, rows.columns, ["s_suppkey"], size), none, "db", "supplier", rows.columns, "timeout")
+    box.write.parquet(f"{root}/insert_outbox")
+    kept = spark.read.schema(schemas.schema("insert_outbox")).parquet(f"{root}/insert_outbox")
+    writers = {"supplier": lambda df: df.write.mode("append").parquet(f"{root}/supplier")}
+    marked, _, _ = pipelines.drain_outbox_job(spark, kept, writers, {"supplier": rows.schema}, 60)
+    return spark.read.parquet(f"{root}/supplier").withColumn("waiting", F.lit(outbox.pending(marked, None).count()))

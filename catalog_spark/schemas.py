@@ -9,6 +9,7 @@ _ARRAY = "array<string>"
 DDL = {
     "course_snapshot_raw": "uuid string, fetched_at timestamp, course_id long, locale string, source_url string, query_key string, query_key_hash decimal(20,0), status_code string, error_code string, payload_json string, payload_hash decimal(20,0)",
     "crawl_checkpoint": "source string, updated_at timestamp, sitemap_index int, url_index int",
+    "course_state": "course_id long, locale string, source_url string, first_seen_at timestamp, last_fetched_at timestamp, written_at timestamp",
     "course_dim": "course_id long, locale string, fetched_at timestamp, slug string, en_slug string, status string, title string, description string, thumbnail_url string, category_main_title string, category_main_slug string, category_sub_title string, category_sub_slug string, level_code string, is_new int, is_best int, student_count long, like_count long, review_count long, average_star double, lecture_unit_count long, preview_unit_count long, runtime_sec long, provides_certificate int, provides_instructor_answer int, provides_inquiry int, published_at timestamp, last_updated_at timestamp, keywords string, "
     f"category_slugs {_ARRAY}, skill_slugs {_ARRAY}, common_tag_slugs {_ARRAY}",
     "course_metric_fact": "fetched_at timestamp, course_id long, locale string, student_count long, like_count long, review_count long, average_star double, krw_regular_price long, krw_pay_price long, discount_rate int, discount_title string, discount_ended_at timestamp, metric_hash decimal(20,0)",

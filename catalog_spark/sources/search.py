@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import coerce as C
 from ..functions import links
 
+# Where an item has its id, and its URL and slug.
 ID_PATHS = ("$.id", "$.courseId", "$.course_id", "$.course.id", "$.course.courseId", "$.course.course_id")
+TEXT_PATHS = {"raw": ("$.url", "$.course.url"), "slug": ("$.slug", "$.course.slug")}
 
 
 def search_hits(pages: DataFrame, body: str = "body", host: str = links.HOST) -> DataFrame:
@@ -20,11 +22,12 @@ def search_hits(pages: DataFrame, body: str = "body", host: str = links.HOST) ->
     kept = [c for c in pages.columns if c != body]
     hits = pages.select(*kept, F.posexplode(items).alias("pos", "item"))
     item = F.col("item")
-    course_id = C.first_positive(*[C.as_int(item, p) for p in ID_PATHS])
-    raw, slug = (C.first_non_empty(C.as_string(item, f"$.{x}"), C.as_string(item, f"$.course.{x}")) for x in ("url", "slug"))
-    hits = hits.select(*kept, "pos", course_id.alias("course_id"), raw.alias("raw"), slug.alias("slug"))
+    ids = F.filter(F.transform(F.array(*[C.at(item, p) for p in ID_PATHS]), lambda v: C.as_int(v)), lambda n: n > 0)
+    found = F.struct(F.coalesce(F.try_element_at(ids, F.lit(1)), F.lit(0)).alias("course_id"), *[C.first_non_empty(*[C.text_at(item, p) for p in ps]).alias(c) for c, ps in TEXT_PATHS.items()])
+    # What an explode returns is computed once, though filter and URL both use the id.
+    hits = hits.select(*kept, "pos", F.explode(F.array(found)).alias("hit")).filter("hit.course_id > 0").select(*kept, "pos", "hit.*")
     url = links.course_url(F.col("raw"), F.col("course_id"), F.col("slug"), host)
-    return hits.filter("course_id > 0").select(*kept, "pos", "course_id", url.alias("url")).filter("url <> ''")
+    return hits.select(*kept, "pos", "course_id", F.explode(F.array(url)).alias("url")).filter("url <> ''")
 
 
 def pages_read(sizes: DataFrame, page_size: int, page: str = "page", rows: str = "n") -> DataFrame:

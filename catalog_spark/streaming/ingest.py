@@ -1,12 +1,15 @@
-"""Captured payloads as a stream: stateless flattening, and one batch function that writes all tables."""
+"""Captured payloads as a stream: stateless flattening, and one batch function that writes all tables of the bundle,
+the crawl state and the outbox."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators import flatten, sinks
+from ..operators import capture, flatten, sinks, state
+from ..operators.latest import latest_by
 
 CAPTURED = "fetched_at timestamp, course_id long, locale string, source_url string, online string, meta string, curriculum string, discounts string, contents string"
 
@@ -16,18 +19,43 @@ def captured_stream(spark: SparkSession, path: str, max_files: int = 200) -> Dat
     return spark.readStream.schema(CAPTURED).option("maxFilesPerTrigger", max_files).json(path)
 
 
-def write_batch(root: str):
-    """A ``foreachBatch`` function. A batch that runs again after a failure replaces its own folders, so that no
-    row is written twice."""
+def snapshots(batch: DataFrame) -> DataFrame:
+    """Rows of course_snapshot_raw: one for each document of a capture, under the address it is fetched from."""
+    kinds = [F.struct(F.lit(k).alias("kind"), F.col(k).alias("payload_json")) for k in capture.KINDS]
+    rows = batch.select("fetched_at", "course_id", "locale", "source_url", F.explode(F.array(*kinds)).alias("d")).filter("d.payload_json IS NOT NULL")
+    address = F.create_map(*[F.lit(x) for k, n in capture.NEEDLES.items() for x in (k, n.replace("\\", ""))])[F.col("d.kind")]
+    key = F.replace(address, F.lit("{id}"), F.col("course_id").cast("string"))
+    return capture.snapshot_rows(rows.select("fetched_at", "course_id", "locale", "source_url", key.alias("query_key"), F.col("d.payload_json").alias("payload_json")))
+
+
+def write_batch(root: str, write=None, database: str = ""):
+    """A ``foreachBatch`` function: all tables of the bundle, the crawl state of the courses seen, and an outbox.
+
+    A batch that runs again after a failure replaces its own folders, so that no row is written twice. ``write`` is a
+    function of (rows, folder) that writes all rows or none; rows that it cannot write for a temporary error go to the
+    outbox, other errors end the batch.
+    """
+    write = write or (lambda rows, folder: rows.write.mode("overwrite").parquet(folder))
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        here = lambda table: f"{root}/{table}/batch_id={batch_id}"
         batch = batch.persist()
+        shots = snapshots(batch).persist()  # their identifiers are drawn once
         try:
-            tables = {"course_dim": flatten.course_dim, "course_metric_fact": flatten.course_metric, "course_price_fact": flatten.course_price,
-                      "course_curriculum_unit": flatten.curriculum_units, "instructor_dim": flatten.instructors, "course_instructor_map": flatten.course_instructors}
-            for name in (t for t in schemas.BUNDLE if t in tables):
-                sinks.fitted(tables[name](batch), name).write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+            nothing = spark.createDataFrame([], schemas.schema("insert_outbox"))
+            kept = nothing
+            for table, rows in flatten.bundle(batch, shots).items():
+                late = sinks.write_with_outbox(rows, table, lambda ready, table=table: write(ready, here(table)), nothing, database)
+                kept = kept if late is None else kept.unionByName(late)
+            kept.write.mode("overwrite").parquet(here("insert_outbox"))
+            others = sinks.read_or_empty(spark, root, "course_state").filter(F.input_file_name().rlike(f"/batch_id={batch_id}/") == F.lit(False))
+            prior = latest_by(others, ["course_id", "locale"], "written_at", state.STATE).select("course_id", "locale", *state.STATE)
+            seen = state.seen_courses(shots, flatten.course_dim(batch))
+            mine = prior.join(seen.select("course_id", F.lower("locale").alias("locale")).distinct(), ["course_id", "locale"], "left_semi")
+            sinks.fitted(state.upsert(mine, seen).withColumn("written_at", F.current_timestamp()), "course_state").write.mode("overwrite").parquet(here("course_state"))
         finally:
+            shots.unpersist()
             batch.unpersist()
 
     return run

@@ -49,6 +49,9 @@ def test_collect_new(spark, captures):
     bundle, errors, point = pipelines.collect_new(responses, found, known, (1, 0), *captures, batch=3)
     assert sorted(r["course_id"] for r in bundle["course_dim"].collect()) == [1, 3, 8]
     assert tuple(point.first()) == (1, 3)
+    with pytest.warns(UserWarning, match="newest courses left out"):  # a head that fails is no more than a warning
+        bundle, errors, point = pipelines.collect_new(responses, found.select("page"), known, (1, 0), *captures, batch=50)
+    assert sorted(r["course_id"] for r in bundle["course_dim"].collect()) == [1, 3, 4, 5]
     bundle, errors, point = pipelines.collect_new(responses, found, known, (1, 0), *captures, batch=50)
     assert sorted(r["course_id"] for r in bundle["course_dim"].collect()) == [1, 3, 4, 5, 8]
     assert tuple(point.first()) == (0, 0)
@@ -67,17 +70,30 @@ def test_refresh_and_lists(spark, captures):
         pipelines.collect_urls(spark.createDataFrame([(" ,",)], "value string"), *captures)
 
 
-def test_translate_display(spark, captures):
+def test_translate_display(spark, captures, tmp_path):
+    """Each row is asked once, no more than the quota and the failures are, and only successes use the quota."""
     bundle, _ = pipelines.flattened(*captures)
     none = [spark.createDataFrame([], schemas.schema(t)) for t in ("course_display_translation", "curriculum_display_translation")]
+    log = str(tmp_path / "asked")
 
     def speak(asked):
+        with open(log, "a") as f:
+            f.writelines(str(json.loads(json.loads(r)["messages"][1]["content"])["title"]) + "\n" for r in asked)
         return [None if "강의 3 " in r else json.dumps({"choices": [{"message": {"content": '{"title": "T", "description": "D"}'}}]}) for r in asked]
 
-    courses, units, failed = pipelines.translate_display(bundle["course_dim"], bundle["course_curriculum_unit"], *none, ["ko", "fr"], speak, most=5)
-    got = courses.collect()
-    assert {r["target_language"] for r in got} == {"fr"} and len(got) == 5 and units.count() == 0
-    assert [r["course_id"] for r in failed.collect()] == [3]
+    def run(targets, most, batch=12):
+        open(log, "w").close()
+        courses, units, failed = pipelines.translate_display(bundle["course_dim"], bundle["course_curriculum_unit"], *none, targets, speak, batch=batch, most=most)
+        rows = [(r["target_language"], r["course_id"]) for r in courses.collect()]
+        assert courses.count() == len(rows) and units.count() == 0
+        return rows, sorted((r["target_language"], r["course_id"]) for r in failed.collect()), len(open(log).readlines())
+
+    got, failed, asked = run(["ko", "fr"], 5)  # the most active first: course 3 is not reached
+    assert sorted(got) == [("fr", i) for i in range(4, 9)] and failed == [] and asked == 5
+    got, failed, asked = run(["ko", "fr"], 7)
+    assert sorted(got) == [("fr", i) for i in (2, 4, 5, 6, 7, 8)] and failed == [("fr", 3)] and asked == 7
+    got, failed, asked = run(["fr", "de", "es"], 9, batch=6)  # 5 of fr, 4 of de
+    assert [t for t, _ in got].count("fr") == 5 and [t for t, _ in got].count("de") == 4 and asked == 10 and failed == [("fr", 3)]
 
 
 def test_state(spark):
@@ -91,6 +107,61 @@ def test_state(spark):
     assert state.latest_checkpoint(points, "s") == (3, 4) and state.latest_checkpoint(points, "other") == (0, 0)
 
 
+def test_jobs_that_write(spark, captures, tmp_path):
+    root = str(tmp_path)
+    body = "<u>" + "".join(f"<loc>{url(i)}</loc>" for i in range(1, 6)) + "</u>"
+    responses = spark.createDataFrame([(0, 0, 200, body), (1, 0, 404, ""), (1, 1, 404, "")], "sitemap_index int, base_rank int, status int, body string")
+    found = spark.createDataFrame([(1, json.dumps({"data": {"items": [{"id": 8, "slug": "c8"}]}}))], "page int, body string")
+    written, errors, end = pipelines.run_collect_new(spark, root, responses, found, *captures, batch=3)
+    assert end == (0, 2) and sorted(r["course_id"] for r in written["course_dim"].collect()) == [1, 2, 8]
+    written, errors, end = pipelines.run_collect_new(spark, root, responses, found, *captures, batch=9)
+    assert end == (0, 0) and sorted(r["course_id"] for r in written["course_dim"].collect()) == [3, 4, 5]
+    assert sorted(r["course_id"] for r in state.read_state_table(spark, root).collect()) == [1, 2, 3, 4, 5, 8]
+    assert state.read_checkpoints(spark, root).count() == 2
+    for progress in ((2, 2), (4, 2)):
+        _, _, got = pipelines.run_refresh_existing(spark, root, *captures, limit=2)
+        assert got == progress
+    assert state.latest_checkpoint(state.read_checkpoints(spark, root), pipelines.UPDATE) == (4, 2)
+    pipelines.run_collect_urls(spark, root, spark.createDataFrame([(url(7),)], "value string"), *captures)
+    assert sorted(r["course_id"] for r in state.read_state_table(spark, root).collect()) == [1, 2, 3, 4, 5, 7, 8]
+    snapshots = spark.read.parquet(f"{root}/course_snapshot_raw")
+    assert snapshots.select("uuid").distinct().count() == snapshots.count()
+
+    def speak(asked):
+        return [json.dumps({"choices": [{"message": {"content": '{"title": "T"}'}}]}) for _ in asked]
+
+    assert pipelines.run_translate_display(spark, root, ["fr"], speak)[:2] == (7, 0)
+    assert pipelines.run_translate_display(spark, root, ["fr"], speak)[:2] == (0, 0)
+    event = state.checkpoint_event(state.read_checkpoints(spark, root), namespace="c").first()
+    payload = json.loads(event["payload"])
+    assert event["event_type"] == "c.crawl_checkpoint.v1" and payload["checkpoint_uuid"] == event["event_uuid"] and event["event_uuid"][14] == "7"
+    assert set(payload) == {"checkpoint_uuid", "source", "updated_at", "sitemap_index", "url_index"} and event["created_at"] == payload["updated_at"]
+
+
+def test_only_failed_chunks_are_kept(spark, tmp_path):
+    rows = spark.range(300).select(F.col("id").alias("course_id"), (F.col("id") + 1).alias("instructor_id"), F.lit("main").alias("role"), F.timestamp_seconds("id").alias("fetched_at"))
+    root, log = str(tmp_path), str(tmp_path / "sent")
+
+    def send(lines):
+        with open(log, "a") as f:
+            f.write(lines + "\n")
+        if '"course_id":7,' in lines:
+            raise RuntimeError("Connection refused")
+
+    assert sinks.send_with_outbox(rows, "course_instructor_map", send, root, "db", chunk=50) == 1
+    kept = spark.read.parquet(f"{root}/insert_outbox").collect()
+    assert len(kept) == 1 and '"course_id":7,' in kept[0]["rows_json"] and kept[0]["row_count"] < 100 and kept[0]["source_error"] == "Connection refused"
+    assert len(open(log).read().splitlines()) == 300
+    assert sinks.send_with_outbox(rows, "course_instructor_map", send, root, "db", chunk=50) == 0  # an equal chunk is pending
+
+    def broken(lines):
+        raise RuntimeError("Code: 60. Table does not exist" if '"course_id":7,' in lines else "timeout")
+
+    with pytest.raises(RuntimeError, match="does not exist"):
+        sinks.send_with_outbox(rows, "course_instructor_map", broken, root, "db", chunk=50)
+    assert spark.read.parquet(f"{root}/insert_outbox").count() > 3  # the others are kept all the same
+
+
 def test_outbox_round_trip(spark, tmp_path):
     rows = spark.range(250).select(F.col("id").alias("course_id"), (F.col("id") + 1).alias("instructor_id"), F.lit("main").alias("role"), F.timestamp_seconds("id").alias("fetched_at"))
     empty = spark.createDataFrame([], schemas.schema("insert_outbox"))
@@ -133,3 +204,20 @@ def test_stream(spark, tmp_path):
     for _ in range(2):  # a second run finds nothing new
         ingest.start(ingest.captured_stream(spark, str(tmp_path / "in")), root, point, once=True).awaitTermination()
     assert ingest.read_stream_table(spark, root, "course_dim").count() == 1
+    shots = ingest.read_stream_table(spark, root, "course_snapshot_raw").orderBy("query_key").collect()
+    assert [r["query_key"] for r in shots] == ["/client/api/v1/course/1/meta", "/client/api/v1/course/1/online/info"]
+    assert [r["source_url"] for r in ingest.read_stream_table(spark, root, "course_state").collect()] == ["u"]
+    assert ingest.read_stream_table(spark, root, "insert_outbox").count() == 0
+    # The same batch again, with a target that is down: its rows go to the outbox, nothing is doubled.
+    def down(rows, folder):
+        if "course_dim" in folder:
+            raise RuntimeError("Connection refused")
+        rows.write.mode("overwrite").parquet(folder)
+
+    batch = spark.read.schema(ingest.CAPTURED).json(str(tmp_path / "in"))
+    ingest.write_batch(root, down, "db")(batch, 0)
+    ingest.write_batch(root, down, "db")(batch, 1)
+    assert ingest.read_stream_table(spark, root, "insert_outbox").filter("target_table = 'course_dim'").count() == 2
+    assert ingest.read_stream_table(spark, root, "course_snapshot_raw").count() == 4
+    with pytest.raises(ZeroDivisionError):
+        ingest.write_batch(root, lambda rows, folder: 1 / 0)(batch, 2)
