@@ -37,7 +37,6 @@ REMOVE = 0.8
 MOST_TOLD = 2_000_000
 FILTER_BITS = 1 << 25
 COUNTED = 100_000  # different terms that a task counts before it hands them on
-REMEMBERED = 100_000  # terms whose verdict a task remembers
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -46,6 +45,7 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 TERM = re.compile(r"[^\W\d_]{3,}")
+LETTER = re.compile(r"[^\W\d_]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MARKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "generalised": "<TERM>", "removed": ""}
 
@@ -262,32 +262,32 @@ class Told:
         hashes = rows.column("h").to_numpy().view(np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.verdict = hashes[order], 1 + rows.column("removed").to_numpy()[order].astype(np.int8)
-        self.known: dict[str, int] = {}
 
     def verdicts(self, spelled: set[str]) -> dict[str, int]:
-        """Spellings in a text that disclose, with their verdict."""
-        if not len(self.hashes):
-            return {}
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        if new := [x for x in spelled if x not in self.known]:
-            asked = np.array([term_hash(x.casefold()) for x in new], np.uint64)
-            at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
-            self.known.update(zip(new, np.where(self.hashes[at] == asked, self.verdict[at], 0).tolist()))
-        return {x: v for x in spelled if (v := self.known[x])}
+        """Those of the spellings that disclose, with their verdict."""
+        asked = list(spelled) if len(self.hashes) else []
+        hashes = np.array([term_hash(x.casefold()) for x in asked], np.uint64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return {asked[i]: int(self.verdict[at[i]]) for i in np.flatnonzero(self.hashes[at] == hashes).tolist()}
 
 
 def added(text: str, found: list[tuple[str, int, int]], verdicts: dict[str, int]) -> list[tuple[str, int, int]]:
     """Kinds ``generalised`` and ``removed``: every occurrence of the terms outside the base spans ``found``."""
-    if not verdicts:
-        return []
+    spots = []
+    for x, v in verdicts.items():
+        at = text.find(x)
+        while at >= 0:  # a term is a whole run of letters
+            end = at + len(x)
+            if not LETTER.match(text, end) and not (at and LETTER.match(text, at - 1)):
+                spots.append((at, end, v))
+            at = text.find(x, at + 1)
     out, taken, k, reached = [], sorted((a, b) for _, a, b in found), 0, 0
-    for m in TERM.finditer(text):
-        while k < len(taken) and taken[k][0] < m.end():
+    for start, end, v in sorted(spots):
+        while k < len(taken) and taken[k][0] < end:
             reached = max(reached, taken[k][1])
             k += 1
-        if reached <= m.start() and (v := verdicts.get(m[0])):
-            out.append(("removed" if v == 2 else "generalised", m.start(), m.end()))
+        if reached <= start:
+            out.append(("removed" if v == 2 else "generalised", start, end))
     return out
 
 
@@ -354,11 +354,16 @@ def marked(docs: DataFrame, text_col: str, out: Callable, schema) -> DataFrame:
         every = Told(sent.value) if few else None
         for b in batches:
             for part, some in slices(b, b.column(at)):
-                mine = [every] * len(some) if few else [Told(pa.Table.from_pylist(x or [], shape)) for x in part.column(part.num_columns - 1).to_pylist()]
-                part = part if few else part.select(range(part.num_columns - 1))
+                spelled = [set(TERM.findall(t)) if t else set() for t in some]
+                if few:
+                    hits = every.verdicts(set().union(*spelled))
+                    verdicts = [{x: v for x, v in hits.items() if x in mine} for mine in spelled]
+                else:
+                    told_of = part.column(part.num_columns - 1).to_pylist()
+                    verdicts = [Told(pa.Table.from_pylist(x or [], shape)).verdicts(mine) for x, mine in zip(told_of, spelled)]
+                    part = part.select(range(part.num_columns - 1))
                 found = [base(t) if t else [] for t in some]
-                more = [added(t, f, m.verdicts(set(TERM.findall(t)))) if t else [] for t, f, m in zip(some, found, mine)]
-                yield out(part, some, found, more)
+                yield out(part, some, found, [added(t, f, v) if v else [] for t, f, v in zip(some, found, verdicts)])
 
     return map_arrow(rows, run, schema)
 
