@@ -27,13 +27,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     small_batches(spark)
     found = simhash.near_duplicates(docs)
     kept = found.filter(F.col("id").eqNullSafe(F.col("component"))).groupBy("root").agg(F.count("*").alias("n"), F.first("component").alias("component"), F.min("fp").alias("fp"))
-    kept = materialise(kept.withColumnRenamed("component", "_kept"))
-    out = docs.join(kept.select("_kept").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    if kept.filter("n > 1").isEmpty() and found.groupBy("id").count().filter("count > 1").isEmpty():
-        return out
+    kept = materialise(kept)
+    repeated = not (kept.filter("n > 1").isEmpty() and found.groupBy("id").count().filter("count > 1").isEmpty())
+    forget(found)
+    if not repeated:
+        name = "_kept"
+        while name in docs.columns:
+            name += "_"
+        return docs.join(kept.select(F.col("component").alias(name)).hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col(name)), "left_semi")
     # Repeated ids: tell their rows apart by fingerprint, and leave one of each group.
     prints = simhash.fingerprints(docs.select(F.struct("*").alias("row"), "text"), "row", "text")
-    rows = prints.join(kept, F.col("id.doc_id").eqNullSafe(F.col("_kept")) & (prints.fp == kept.fp)).select(F.col("id").alias("row"), F.col("root").alias("_root"))
+    rows = prints.join(kept, F.col("id.doc_id").eqNullSafe(kept.component) & (prints.fp == kept.fp)).select(F.col("id").alias("row"), F.col("root").alias("_root"))
     return rows.groupBy("_root").agg(F.first("row").alias("row")).select("row.*")
 
 
