@@ -1,7 +1,7 @@
 """URL verdicts by rules, carried to aliases over redirect and canonical-link edges.
 
-Every URL has a canonical form (no fragment, no tracking parameters, no leading ``www.``, no trailing slash or
-``.html``); that link, a page's ``<link rel=canonical>`` and its ``<meta http-equiv=refresh>`` are alias edges. The
+Every URL has a canonical form (no fragment, no tracking parameters, no ``www.`` before a name of two parts, no trailing
+slash or ``.html``: conventions of sites, not proofs that two addresses show one page); that link, a page's ``<link rel=canonical>`` and its ``<meta http-equiv=refresh>`` are alias edges. The
 connected components of all edges are sets of aliases. A page that a rule fits has the rule's verdict. Any other
 page takes its component's: allowed if a member is explicitly allowed, else blocked if one is blocked, else allowed.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import materialise
+from .tables import forget, materialise
 
 #: (verdict, rule): host, then path from its first slash.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -22,6 +22,7 @@ HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
 QUERY = r"(?s)^.*?://[^?#]*\?([^#]*)"
 TRACKING = r"^(utm_[^=]*|ref|gclid|fbclid)(=.*)?$"
+WWW = r"^www\.([^.]+\..+)$"
 TAIL = r"(/+|/index\.html?|\.html?)$"
 CANONICAL = r"(?is)<link\b[^<>]*\brel\s*=\s*[\"']?canonical\b[^<>]*>"
 HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s<>]+)"
@@ -45,7 +46,7 @@ def canonical(url: Column) -> Column:
     """host + trimmed path + remaining parameters in order; empty for what is no absolute URL."""
     kept = F.filter(F.split(_part(url, QUERY), "&"), lambda p: (p != "") & ~p.rlike(TRACKING))
     tail = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(F.array_sort(kept), "&"))).otherwise(F.lit(""))
-    return F.concat(F.regexp_replace(host(url), r"^www\.", ""), F.regexp_replace(path(url), TAIL, ""), tail)
+    return F.concat(F.regexp_replace(host(url), WWW, "$1"), F.regexp_replace(path(url), TAIL, ""), tail)
 
 
 def resolved(link: Column, url: Column) -> Column:
@@ -72,10 +73,15 @@ def rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Column]:
     return which, verdict
 
 
+def node(url: Column) -> Column:
+    """A URL as a node; canonical forms start with another sign."""
+    return F.concat(F.lit("u"), url)
+
+
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str | None = "html") -> DataFrame:
     """(a, b): each URL with its canonical form, and canonical forms of pages with those of their link targets."""
     url = F.col(url_col)
-    out = [pages.select(url.alias("a"), F.concat(F.lit("="), canonical(url)).alias("b")).filter(host(F.col("a")) != "")]
+    out = [pages.filter(host(url) != "").select(node(url).alias("a"), F.concat(F.lit("="), canonical(url)).alias("b"))]
     if html_col:
         html = F.col(html_col)
         for tag, goal in ((CANONICAL, HREF), (REFRESH, GOAL)):
@@ -93,20 +99,22 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
 
     A null URL or one without ``://`` has empty host and path, no aliases and no component, and is allowed. Repeated
     rows give a row each with one verdict; rules of one length that both fit are taken by code point; null ids stay;
-    an empty table gives no rows; other columns are dropped.
+    an empty table gives no rows; other columns are dropped. The result is a table in the shared folder.
     """
     url = F.col(url_col)
     which, verdict = rule(F.col("host"), F.col("path"), rules)
     seen = pages.select(F.col(id_col).alias("id"), url.alias("url"), host(url).alias("host"), path(url).alias("path"))
     seen = materialise(seen.withColumn("rule", which).withColumn("told", verdict))
-    roots = materialise(connected_components(alias_edges(pages, url_col, html_col), "a", "b"))
-    alias = seen.join(roots, seen.url == roots.node, "left").drop("node").withColumnRenamed("root", "component")
+    roots = connected_components(alias_edges(pages, url_col, html_col), "a", "b")
+    alias = seen.join(roots, node(seen.url) == roots.node, "left").drop("node").withColumnRenamed("root", "component")
     told = alias.filter("component IS NOT NULL").groupBy("component").agg(
         F.max((F.col("told") == "allow").cast("int")).alias("allowed"), F.max((F.col("told") == "block").cast("int")).alias("blocked")
     )
     out = alias.join(told, "component", "left")
     passed_on = F.when((F.col("allowed").isNull() | (F.col("allowed") == 0)) & (F.col("blocked") == 1), F.lit("block")).otherwise(F.lit("allow"))
-    return out.select("id", "host", "path", "rule", F.coalesce("told", passed_on).alias("verdict"), "component")
+    out = materialise(out.select("id", "host", "path", "rule", F.coalesce("told", passed_on).alias("verdict"), "component"))
+    forget(seen, roots)
+    return out
 
 
 def digest(pages: DataFrame) -> DataFrame:
@@ -123,7 +131,7 @@ def _sql() -> str:
 
     def canon(u: str) -> str:
         kept = f"list_filter(string_split(coalesce(regexp_extract({u}, {_q(QUERY)}, 1), ''), '&'), lambda x: x <> '' AND NOT regexp_matches(x, {_q(TRACKING)}))"
-        return f"regexp_replace({h(u)}, '^www\\.', '') || regexp_replace({p(u)}, {_q(TAIL)}, '') || CASE WHEN len({kept}) > 0 THEN '?' || array_to_string(list_sort({kept}), '&') ELSE '' END"
+        return f"regexp_replace({h(u)}, {_q(WWW)}, '\\1') || regexp_replace({p(u)}, {_q(TAIL)}, '') || CASE WHEN len({kept}) > 0 THEN '?' || array_to_string(list_sort({kept}), '&') ELSE '' END"
 
     def link(tag: str, goal: str) -> str:
         return f"regexp_extract(regexp_extract(html, {_q(tag)}, 0), {_q(goal)}, 1)"
@@ -148,18 +156,18 @@ WITH RECURSIVE g AS (
 ), t AS (
   SELECT url, {target(link(CANONICAL, HREF))} AS t FROM pages UNION ALL SELECT url, {target(link(REFRESH, GOAL))} FROM pages
 ), e AS (
-  SELECT url AS a, '=' || {canon('url')} AS b FROM s WHERE host <> ''
+  SELECT 'u' || url AS a, '=' || {canon('url')} AS b FROM s WHERE host <> ''
   UNION SELECT '=' || {canon('url')}, '=' || {canon('t')} FROM t WHERE t IS NOT NULL
 ), both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e
 ), reach AS (
   SELECT a AS x, a AS y FROM both_ways UNION SELECT reach.x, both_ways.b FROM reach JOIN both_ways ON reach.y = both_ways.a
 ), c AS (SELECT x, min(y) AS component FROM reach GROUP BY x
 ), m AS (
-  SELECT component, max((told = 'allow')::INT) AS allowed, max((told = 'block')::INT) AS blocked FROM s JOIN c ON s.url = c.x GROUP BY component
+  SELECT component, max((told = 'allow')::INT) AS allowed, max((told = 'block')::INT) AS blocked FROM s JOIN c ON 'u' || s.url = c.x GROUP BY component
 )
 SELECT s.page_id, s.host, s.path, s.rule,
        coalesce(s.told, CASE WHEN coalesce(m.allowed, 0) = 0 AND m.blocked = 1 THEN 'block' ELSE 'allow' END) AS verdict
-FROM s LEFT JOIN c ON s.url = c.x LEFT JOIN m ON c.component = m.component
+FROM s LEFT JOIN c ON 'u' || s.url = c.x LEFT JOIN m ON c.component = m.component
 """
 
 
