@@ -94,7 +94,6 @@ def translate_display(dim: DataFrame, units: DataFrame, course_done: DataFrame,
     that no later action asks again. Targets are asked in rounds of as many as surely fit in what is left of the quota,
     so no more than the quota and the failures are asked, and a target's limit is the same as if they went one by one.
     """
-    kept = {"course_id": "course_id", "target_language": "target_language"}
     courses, lost, left = _in_rounds(
         lambda target, limit: backlog.translation_backlog(dim, course_done, target, limit), list(backlog.COURSE_TEXTS), translate.course_translations, targets, fn, model, batch, most)
     lessons, lost_units, _ = _in_rounds(
@@ -102,7 +101,7 @@ def translate_display(dim: DataFrame, units: DataFrame, course_done: DataFrame,
     empty = [dim.sparkSession.createDataFrame([], schemas.schema(t)) for t in ("course_display_translation", "curriculum_display_translation")]
     failures = dim.sparkSession.createDataFrame([], "course_id long, target_language string")
     for frame in lost + lost_units:
-        failures = failures.unionByName(frame.select(*kept))
+        failures = failures.unionByName(frame.select(*failures.columns))
     return _together(courses, empty[0]), _together(lessons, empty[1]), failures
 
 
