@@ -299,16 +299,21 @@ def shared_hot(parts: DataFrame) -> DataFrame:
     sure = met_twice(parts.join(near, IDS), STEP, whole=True)
     open_ = near.join(sure.withColumnRenamed("backs", "sure"), IDS, "left").select(*IDS, F.array_except("backs", F.coalesce("sure", F.array().cast("array<long>"))).alias("backs"))
     hits = met_twice(parts.join(open_.filter(F.size("backs") > 0), IDS), 1)
-    begins = F.filter("backs", lambda x: ~F.array_contains("backs", x + 1))  # the farthest from the anchor of each run
-    ends = F.filter("backs", lambda x: ~F.array_contains("backs", x - 1))
-    pair = F.explode(F.arrays_zip("a", "b")).alias("r")
-    ones = hits.select(*IDS, begins.alias("a"), ends.alias("b")).select(*IDS, pair).select(*IDS, F.col("r.a").alias("a"), F.col("r.b").alias("b"))
-    runs_ = sure.select(*IDS, F.explode("backs").alias("b")).select(*IDS, F.least(F.col("b") + STEP - 1, F.lit(SLACK)).alias("a"), "b")  # a text's start cuts the rest
-    out = materialise(ones.union(runs_).select(*IDS, (-F.col("a")).cast("long").alias("from"), (F.lit(WIDTH) - F.col("b")).cast("long").alias("to")))
+    made = [_spans(hits, 1), _spans(sure, STEP)]
+    out = materialise(made[0].union(made[1]))
     forget(near, sure, hits)
     return out
 
 
+def _spans(hits: DataFrame, step: int) -> DataFrame:
+    """(anchor, f1, f2, from, to): what the runs ``backs`` of ``step`` strings cover, neighbours taken together."""
+    begins = F.filter("backs", lambda x: ~F.array_contains("backs", x + step))  # the farthest from the anchor
+    ends = F.filter("backs", lambda x: ~F.array_contains("backs", x - step))
+    spans = hits.select(*IDS, begins.alias("a"), ends.alias("b")).select(*IDS, F.explode(F.arrays_zip("a", "b")).alias("r"))
+    far = F.least(F.col("r.a") + step - 1, F.lit(SLACK))  # a text's start cuts the rest
+    return spans.select(*IDS, (-far).cast("long").alias("from"), (F.lit(WIDTH) - F.col("r.b")).cast("long").alias("to"))
+
+
 IDS = ["anchor", "f1", "f2"]
 
 
@@ -353,10 +358,10 @@ def repeated_spans(unique: DataFrame) -> DataFrame:
         counted = shared_hot(few)
         told = told.union(counted)
         forget(few)
-    told = materialise(told)
-    covered = met.select("key", "place", *IDS).join(told, IDS)
-    span = F.struct(F.greatest(F.col("place") + F.col("from"), F.lit(0)).alias("start"), (F.col("place") + F.col("to")).alias("end"))
-    out = materialise(covered.groupBy("key").agg(F.collect_set(span).alias("spans")))
+    told = materialise(told.groupBy(*IDS).agg(F.collect_list(F.struct("from", "to")).alias("told")))  # a row for each fragment
+    span = lambda s: F.struct(F.greatest(F.col("place") + s["from"], F.lit(0)).alias("start"), (F.col("place") + s["to"]).alias("end"))
+    covered = met.select("key", "place", *IDS).join(told, IDS).select("key", F.transform("told", span).alias("spans"))
+    out = materialise(covered.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))
     forget(met, kinds, common, wanted, hot, shared, told, *(t for t in (whole, counted) if t is not None))
     return out
 
