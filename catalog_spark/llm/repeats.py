@@ -269,12 +269,13 @@ def strings(parts: DataFrame, step: int, whole: bool = False) -> DataFrame:
                 for i, (left, part, runs_) in enumerate(zip(few.column("left").to_pylist(), few.column("part").to_pylist(), wanted)):
                     starts = range(0, left + 1, step) if runs_ is None else [x for k in runs_ for x in range(k, min(k + STEP, left + 1), step)]
                     for k in starts:
+                        # Where the text starts, a run has fewer strings; what it has in common is the same in all runs.
                         far = min(k + step - 1, left)
-                        start, end = (left - far, left - k + WIDTH) if whole else (left - k, left - far + WIDTH)
+                        start, end = (left - far, left - k + WIDTH) if whole else (left - k, left - k - step + 1 + WIDTH)
                         if end <= len(part):
                             rows.append(i)
                             back.append(k)
-                            found.append(xxhash.xxh3_128_digest(part[start:end], far - k))
+                            found.append(xxhash.xxh3_128_digest(part[start:end], far - k if whole else 0))
                 h = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
                 ids = [few.column(c).take(pa.array(rows, pa.int64())) for c in IDS]
                 yield pa.RecordBatch.from_arrays([*ids, pa.array(back, pa.int64()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], [*IDS, "back", "h1", "h2"])
@@ -283,24 +284,29 @@ def strings(parts: DataFrame, step: int, whole: bool = False) -> DataFrame:
 
 
 def met_twice(parts: DataFrame, step: int, whole: bool = False) -> DataFrame:
-    """(anchor, f1, f2, backs): the runs of each fragment whose hash another fragment of its anchor has, too. Counts are
-    combined before the shuffle, and the join's large side is dealt out by Spark where one hash is in very many rows."""
+    """(anchor, f1, f2, backs, first): the runs of each fragment whose hash another fragment of its anchor has, too, and
+    those of them for which this fragment stands for all that have the hash. Counts are combined before the shuffle, and
+    the join's large side is dealt out by Spark where one hash is in very many rows."""
     what = ["anchor", "back", "h1", "h2"]
     every = materialise(strings(parts, step, whole))
-    often = materialise(every.groupBy(*what).agg(F.count("*").alias("n")).filter("n > 1").select(*what))
-    out = materialise(every.join(often, what, "left_semi").groupBy(*IDS).agg(F.array_sort(F.collect_list("back")).alias("backs")))  # at most SLACK + 1
+    often = materialise(every.groupBy(*what).agg(F.count("*").alias("n"), F.min("f1").alias("least")).filter("n > 1").drop("n"))
+    runs_ = [F.array_sort(F.collect_list("back")).alias("backs"), F.collect_list(F.when(F.col("f1") == F.col("least"), F.col("back"))).alias("first")]  # at most SLACK + 1
+    out = materialise(every.join(often, what).groupBy(*IDS).agg(*runs_))
     forget(every, often)
     return out
 
 
 def shared_hot(parts: DataFrame) -> DataFrame:
-    """What ``compare`` finds, for anchors with too many different fragments for one task."""
-    near = met_twice(parts, STEP)
+    """What ``compare`` finds, for anchors with too many different fragments for one task. Strings are counted over the
+    runs that are still open and over one fragment of each set that shares a run whole: an open fragment may share a
+    string with such a set."""
+    near = met_twice(parts, STEP).drop("first")
     sure = met_twice(parts.join(near, IDS), STEP, whole=True)
-    open_ = near.join(sure.withColumnRenamed("backs", "sure"), IDS, "left").select(*IDS, F.array_except("backs", F.coalesce("sure", F.array().cast("array<long>"))).alias("backs"))
-    hits = met_twice(parts.join(open_.filter(F.size("backs") > 0), IDS), 1)
-    made = [_spans(hits, 1), _spans(sure, STEP)]
-    out = materialise(made[0].union(made[1]))
+    none = F.array().cast("array<long>")
+    settled = near.join(sure.withColumnRenamed("backs", "sure"), IDS, "left").withColumns({c: F.coalesce(c, none) for c in ("sure", "first")})
+    asked = settled.select(*IDS, F.concat(F.array_except("backs", "sure"), "first").alias("backs")).filter(F.size("backs") > 0)
+    hits = met_twice(parts.join(asked, IDS), 1)
+    out = materialise(_spans(hits, 1).union(_spans(sure, STEP)))
     forget(near, sure, hits)
     return out
 

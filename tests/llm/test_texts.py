@@ -246,6 +246,24 @@ def test_repeats_of_hot_anchors(spark, monkeypatch):
     assert tasks and tasks[0] > 4
 
 
+def test_repeats_of_hot_anchors_near_text_starts(spark, monkeypatch):
+    """Runs that one fragment shares whole and another only in part, and texts that start inside a run."""
+    r = random.Random(7)
+    word = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    passage, heads = word(600), [word(40) for _ in range(3)]
+    texts = [r.choice(["", r.choice(heads)[: r.randint(0, 40)], word(r.randint(0, 60))]) + passage[r.randint(0, 80) : r.randint(450, 600)] + word(r.randint(0, 300)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
+    monkeypatch.setattr(repeats, "HOT", 2)
+    for row in repeats.digest(docs).collect():
+        t = texts[row.doc_id]
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 399):
+            if seen[t[i : i + 400]] > 1:
+                gone[i : i + 400] = True
+        assert row.n_removed == gone.sum(), row.doc_id
+
+
 def test_labels_beyond_twenty_bits():
     label = np.array([5, 5 + (1 << 20), 5, 5 + (1 << 20)] + [1 << 21] * 2, np.uint64)
     words = np.array([[7, 7], [7, 7], [7, 7], [7, 7], [1, 2], [1, 2]], np.uint64)
