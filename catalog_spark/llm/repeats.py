@@ -26,7 +26,6 @@ the others, at the edges of what is shared, strings are counted one by one.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import tempfile
 from functools import lru_cache
@@ -50,6 +49,7 @@ HOT = 4 * COLLECTION
 STEP = 21
 CHUNK = 1 << 17
 BASE = 0x9E3779B97F4A7C15
+IDS = ["anchor", "f1", "f2"]  # of a fragment
 
 
 @lru_cache(maxsize=1)
@@ -320,9 +320,6 @@ def _spans(hits: DataFrame, step: int) -> DataFrame:
     return spans.select(*IDS, (-far).cast("long").alias("from"), (F.lit(WIDTH) - F.col("r.b")).cast("long").alias("to"))
 
 
-IDS = ["anchor", "f1", "f2"]
-
-
 def repeated_spans(unique: DataFrame) -> DataFrame:
     """(key, spans): for each text of ``unique`` (key, text) with repeats in other places, [start, end) byte spans that
     together cover them. Each key has one text."""
