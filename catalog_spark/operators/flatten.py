@@ -10,7 +10,6 @@ from .. import schemas
 from ..functions import coerce as C
 from ..functions import hashing as H
 from ..functions import times
-from .capture import KINDS
 
 
 # The paths of the source documents' fields, below ``$.data``.
