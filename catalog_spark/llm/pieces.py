@@ -27,9 +27,9 @@ from .tables import map_arrow, slices
 
 MARK = "▁"
 CACHED_CHARS = 48
-CACHE_BYTES = 30_000_000
+CACHE_BYTES = 60_000_000
 ENTRY_BYTES = 240  # an entry's objects and its place in the table; its characters and ids come on top
-PAIR_ENTRIES = 150_000
+PAIR_ENTRIES = 250_000
 KEYS_AT_ONCE = 4096
 
 
