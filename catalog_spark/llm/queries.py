@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neighbours, pieces, pii, repeats, secrets, simhash, urls, weighted
+from . import conversations, langid, mixing, negatives, neighbours, pieces, pii, repeats, secrets, simhash, urls, warc, weighted
 from .tables import materialise, read, small_batches
 
 
@@ -60,6 +60,21 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read(spark, sf_dir, "documents"), pieces.model_bytes(pieces.default_model()))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return warc.digest(read(spark, sf_dir, "pages"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return conversations.digest(read(spark, sf_dir, "conversations"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return negatives.digest(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_url_filters": op2_url_filters,
@@ -71,9 +86,15 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_warc": op11_warc,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filters": urls.SQL,
     "op8_mixing": mixing.SQL,
+    "op11_warc": warc.SQL,
+    "op12_conversation_repair": conversations.SQL,
+    "op13_hard_negatives": negatives.SQL,
 }

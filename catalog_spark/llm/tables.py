@@ -77,18 +77,35 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back, so that later stages do not recompute it
-    and a lost executor costs only the tasks that were running."""
+def materialise(df: DataFrame, folders: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder (in folders by a column, if one is named) and read it back, so that
+    later stages do not recompute it and a lost executor costs only the tasks that were running."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     with session_settings(spark, {CLEANUP: "true"}):  # the written table takes the place of the shuffles behind it
-        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path, partitionBy=folders)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out
 
 
+def spread_join(left: DataFrame, keyed: DataFrame, key: str, n_col: str, total: Callable[[], int]) -> DataFrame:
+    """Left join of ``left`` with ``keyed``, which has one row a key and in ``n_col`` the number of the key's rows in ``left``.
+
+    Keys with more than a quarter of an average partition's rows, of which there are fewer than four a partition, are
+    broadcast, so that no task gets all rows of a hot key; their rows then pass the shuffle join under keys of their own.
+    """
+    spark = left.sparkSession
+    heavy_from = max(1000, total() // (4 * shuffle_partitions(spark)))
+    value = F.struct(*(c for c in keyed.columns if c not in (key, n_col)))
+    small, heavy = keyed.filter(F.col(n_col) <= heavy_from), keyed.filter(F.col(n_col) > heavy_from)
+    one = left.join(F.broadcast(heavy.select(F.col(key).alias("_heavy"), value.alias("_hot"))), F.col(key) == F.col("_heavy"), "left")
+    own = F.when(F.col("_heavy").isNull(), F.col(key)).otherwise(F.concat(F.lit("~"), F.monotonically_increasing_id().cast("string")))
+    both = one.withColumn("_own", own).join(small.select(F.col(key).alias("_light"), value.alias("_cold")), F.col("_own") == F.col("_light"), "left")
+    got = F.coalesce("_hot", "_cold")
+    return both.select(*left.columns, *(got[c].alias(c) for c in keyed.columns if c not in (key, n_col)))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
