@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import coerce as C
+from . import sinks
 from .latest import latest_by
 
 DISPLAY = ("title", "description", "category_main_title", "category_sub_title")
@@ -60,19 +61,21 @@ def head_first(head: DataFrame, scan: DataFrame) -> DataFrame:
     return head.withColumn("seq", F.lit(0)).unionByName(scan.withColumn("seq", F.lit(1)), allowMissingColumns=True)
 
 
-def flush_batches(rows: DataFrame, order: list[str], size: int, ranges: int = 64) -> DataFrame:
-    """The number of the flush that each scanned row falls in.
+def flush_batches(rows: DataFrame, order: list[str], size: int, range_rows: int = 1_000_000) -> DataFrame:
+    """The number of the flush that each scanned row falls in. The result is a table in the shared folder.
 
-    Rows are numbered in ranges of the order and ranges are put one after the other by a prefix sum of their sizes, so
-    no task takes all rows. The cuts between ranges are drawn by hash and change no result.
+    Rows are sorted in ranges of about ``range_rows`` rows (as many ranges as the session shuffles to, at least) and
+    written with their place in their range; ranges are then put one after the other by a prefix sum of their sizes, a
+    row each. So no task takes all rows, and the number of ranges grows with them. Ties of ``order`` go by all columns.
     """
-    at = F.struct(*order)
-    drawn = rows.select(at.alias("at")).orderBy(F.xxhash64("at"), "at").limit(ranges - 1)
-    cuts = drawn.agg(F.array_sort(F.collect_list("at")).alias("_cuts"))
-    dealt = rows.crossJoin(cuts).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < at))).drop("_cuts")
-    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    spark = rows.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // range_rows))
+    by = [*order, *(c for c in rows.columns if c not in order)]
+    lined = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id())
+    folder = sinks.scratch(spark)
+    lined.withColumns({"_range": F.shiftright("_place", 33), "_k": F.col("_place") % (1 << 33)}).drop("_place").write.parquet(folder)
+    lined = spark.read.parquet(folder)
+    sizes = lined.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
     first = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    numbered = dealt.withColumn("_k", F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1).join(first, "_range")
-    return numbered.withColumn("batch", F.floor((F.col("_first") + F.col("_k")) / size).cast("long")).drop("_range", "_k", "_first")
-
+    return lined.join(first, "_range").withColumn("batch", F.floor((F.col("_first") + F.col("_k")) / size).cast("long")).drop("_range", "_k", "_first")

@@ -47,6 +47,12 @@ def is_retryable(message: Column) -> Column:
     return C.any_of([low.contains(n) for n in needles])
 
 
+def retryable_text(message: str) -> bool:
+    """``is_retryable`` of one message, for code that runs in tasks."""
+    needles = [n for reason, ns in REASONS if reason != "timeout" for n in ns] + list(RETRYABLE_OTHER)
+    return any(n in message.lower() for n in needles)
+
+
 def error_report(rows: DataFrame, message: str) -> DataFrame:
     """(temporary, reason, n) over messages."""
     return rows.groupBy(is_temporary(F.col(message)).alias("temporary"), retry_reason(F.col(message)).alias("reason")).agg(F.count("*").alias("n"))
@@ -55,12 +61,16 @@ def error_report(rows: DataFrame, message: str) -> DataFrame:
 def chunked(rows: DataFrame, columns: list[str], order: list[str], size: int = 100) -> DataFrame:
     """(chunk, rows_json, row_count, payload_hash): rows as NDJSON chunks of about ``size``, the same in every run.
 
-    Rows fall into chunks by a hash of their line; ``order`` columns break no ties but fix the lines' order within.
+    Rows fall into chunks by a hash of their line and of its number among equal lines, so that equal rows spread, too;
+    ``order`` columns break no ties but fix the lines' order within. Equal lines are counted before the shuffle and then
+    numbered, so no task gathers them.
     """
     line = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
     lines = rows.select(line.alias("value"), F.struct(*[F.col(c).cast("string") for c in order]).alias("at"))
     n = max(1, -(-rows.count() // size))
-    made = lines.groupBy(F.pmod(F.xxhash64("value"), F.lit(n)).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("all"))
+    counted = lines.groupBy("value", "at").agg(F.count("*").alias("_n"))
+    lines = counted.select("value", "at", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_k"))
+    made = lines.groupBy(F.pmod(F.xxhash64("value", "_k"), F.lit(n)).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("all"))
     made = made.select("chunk", F.array_join(F.transform("all", lambda x: x["value"]), "\n").alias("rows_json"), F.size("all").alias("row_count"))
     return made.withColumn("payload_hash", hashing.h64(F.col("rows_json")))
 
@@ -129,5 +139,3 @@ def drain(spark: SparkSession, outbox: DataFrame, writers: dict, schemas: dict[s
                 deferred.add(table)
     marks = spark.createDataFrame(results, "outbox_uuid string, error string")
     return mark_replayed(outbox, marks), sum(e is None for _, e in results)
-
-

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sources import manifests
+from . import ledger
 from . import outbox as box
 
 
@@ -34,33 +36,40 @@ def append_table(rows: DataFrame, root: str, table: str) -> None:
 
 
 def read_or_empty(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A target table; without rows if nothing was written yet."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
-    schema = schemas.schema(table)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/{table}")
+    """A target table: what was appended to it and what committed bundles hold; without rows if there is nothing."""
+    return manifests.read_table(spark, root, table, schemas.schema(table))
 
 
-def write_bundle(bundle: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def write_bundle(bundle: dict[str, DataFrame], root: str, commit_id: str | None = None) -> dict[str, DataFrame]:
     """All tables in their fixed order; the first error stops the rest. Returns the tables as written by this call.
 
-    The captured batch behind the tables (``flatten.Bundle``) is persisted while they are written, so that it is made
-    once, and so are the tables returned, so that identifiers drawn at random are the same in both.
+    Readers that go by the manifests (``read_or_empty``, ``sources.documents.read_table``) see either the whole bundle
+    or nothing of it: its files lie in folders of its own until one manifest lists them all. After an error these
+    folders are deleted. A ``commit_id`` makes a retry harmless: a bundle that is committed already is only read.
+
+    What the tables have in common (``flatten.Bundle.shared``) is persisted while they are written, so it is made once.
     """
-    captured = getattr(bundle, "captured", None)
-    if captured is not None:
-        captured.persist()
-    written = {}
-    try:
-        for table in schemas.BUNDLE:
-            if table in bundle:
-                written[table] = fitted(bundle[table], table).persist()
-                written[table].write.mode("append").parquet(f"{root}/{table}")
-    finally:
-        if captured is not None:
-            captured.unpersist()
-    return written
+    shared = getattr(bundle, "shared", ())
+    some = next(iter(bundle.values()))
+    spark = some.sparkSession
+    commit_id = commit_id or manifests.new_id()
+    tables = [t for t in schemas.BUNDLE if t in bundle]
+    folders = {t: f"{root}/{t}/{manifests.BUNDLE}{commit_id}" for t in tables}
+    if not manifests.is_committed(spark, root, commit_id):
+        for rows in shared:
+            rows.persist()
+        try:
+            for table in tables:
+                fitted(bundle[table], table).write.mode("overwrite").parquet(folders[table])
+            manifests.commit(spark, root, {t: manifests.data_files(spark, f) for t, f in folders.items()}, commit_id)
+        except Exception:
+            for folder in folders.values():
+                manifests.delete(spark, folder)
+            raise
+        finally:
+            for rows in shared:
+                rows.unpersist()
+    return {t: manifests.read_files(spark, manifests.data_files(spark, f), schemas.schema(t)) for t, f in folders.items()}
 
 
 def write_with_outbox(rows: DataFrame, table: str, writer, outbox: DataFrame, database: str = "", chunk: int = 100) -> DataFrame | None:
@@ -77,42 +86,27 @@ def write_with_outbox(rows: DataFrame, table: str, writer, outbox: DataFrame, da
         return box.enqueue(box.chunked(ready, columns, columns[:1], chunk), outbox, database, table, columns, str(e))
 
 
-def send_with_outbox(rows: DataFrame, table: str, send: Callable[[str], None], root: str, database: str = "", chunk: int = 100) -> int:
+def send_with_outbox(rows: DataFrame, table: str, send: Callable[[str], None], root: str, database: str = "", chunk: int = 100, delivery: str | None = None) -> int:
     """Send rows in NDJSON chunks, each on its own; chunks that fail by a temporary error go to the outbox table below
     ``root``, unless an equal one is pending, and their number is returned. Any other error is raised afterwards.
 
-    ``send`` runs in the tasks, once for each chunk and once more only if a task is lost. What failed is written before
-    it is looked at, so that no action sends again.
+    ``send`` runs in the tasks. A ledger below ``root`` (``ledger.deliver``) keeps each chunk's outcome, so no retry of
+    a task and no action sends a chunk again; with the same ``delivery`` a job that was cut off goes on where it was.
     """
     spark = rows.sparkSession
     ready = fitted(rows, table)
     columns = ready.columns
-
-    def run(frames):
-        for pdf in frames:
-            errors = []
-            for lines in pdf["rows_json"]:
-                try:
-                    send(lines)
-                    errors.append(None)
-                except Exception as e:  # noqa: BLE001 - the error is data here: it is stored with the chunk
-                    errors.append(str(e) or type(e).__name__)
-            pdf["error"] = errors
-            yield pdf[pdf["error"].notna()]
-
     chunks = box.chunked(ready, columns, columns[:1], chunk)
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema)
-    failed = chunks.mapInPandas(run, f"{shape}, error string").persist()
-    waiting = failed.filter(box.is_temporary(F.col("error")))
-    fresh = fitted(box.enqueue(waiting, read_or_empty(spark, root, "insert_outbox"), database, table, columns, F.col("error")), "insert_outbox").persist()
-    try:
-        n = fresh.count()
-        if n:
-            fresh.write.mode("append").parquet(f"{root}/insert_outbox")
-        other = failed.filter(~box.is_temporary(F.col("error"))).first()
-        if other:
-            raise RuntimeError(other["error"])
-        return n
-    finally:
-        fresh.unpersist()
-        failed.unpersist()
+    done = ledger.deliver(chunks, send, root, delivery or manifests.new_id()).filter("step = 'failed'")
+    if done.isEmpty():
+        return 0
+    late = chunks.join(done.select(F.col("payload_hash").cast(chunks.schema["payload_hash"].dataType).alias("payload_hash"), "error"), "payload_hash")
+    waiting = late.filter(box.is_temporary(F.col("error")))
+    fresh = fitted(box.enqueue(waiting, read_or_empty(spark, root, "insert_outbox"), database, table, columns, F.col("error")), "insert_outbox")
+    folder = f"{root}/insert_outbox/{manifests.BUNDLE}{(commit_id := manifests.new_id())}"
+    fresh.write.parquet(folder)
+    manifests.commit(spark, root, {"insert_outbox": manifests.data_files(spark, folder)}, commit_id)
+    other = done.filter(~box.is_temporary(F.col("error"))).first()
+    if other:
+        raise RuntimeError(other["error"])
+    return spark.read.schema(schemas.schema("insert_outbox")).parquet(folder).count()

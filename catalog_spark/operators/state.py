@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import hashing, times
 from ..sources.documents import state_key
 from . import events, sinks
-from .latest import latest_by
+from .keyed import KeyedTable
 
 
 def seen_courses(snapshots: DataFrame, dims: DataFrame) -> DataFrame:
@@ -38,21 +39,28 @@ def upsert(state: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 STATE = ["source_url", "first_seen_at", "last_fetched_at"]
+KEYS = ["course_id", "locale"]
+DELTAS = 16  # as many are merged on read before a new base is written
+
+
+def state_table(spark: SparkSession, root: str, buckets: int | None = None) -> KeyedTable:
+    """The crawl state below ``root``: a base in buckets of the key, and a delta for each write since."""
+    return KeyedTable(spark, f"{root}/course_state", schemas.schema("course_state"), KEYS, "written_at", buckets)
 
 
 def read_state_table(spark: SparkSession, root: str) -> DataFrame:
     """The crawl state below ``root``: the latest version of each course."""
-    rows = sinks.read_or_empty(spark, root, "course_state")
-    return latest_by(rows, ["course_id", "locale"], "written_at", STATE).select("course_id", "locale", *STATE)
+    return state_table(spark, root).read().select(*KEYS, *STATE)
 
 
-def append_state(spark: SparkSession, root: str, seen: DataFrame) -> None:
-    """Append new versions of the courses seen to the crawl state below ``root``; other courses are not written again."""
-    keys = ["course_id", "locale"]
+def append_state(spark: SparkSession, root: str, seen: DataFrame, commit_id: str | None = None) -> None:
+    """Add new versions of the courses seen to the crawl state below ``root``; other courses are neither read from the
+    deltas nor written again, and the base is not shuffled. A ``commit_id`` that is known already changes nothing."""
+    table = state_table(spark, root)
     course_id, locale = state_key(F.col("course_id"), F.col("locale"))
-    mine = seen.select(course_id.alias("course_id"), locale.alias("locale")).distinct()
-    prior = read_state_table(spark, root).join(mine, keys, "left_semi")
-    sinks.append_table(upsert(prior, seen).withColumn("written_at", F.current_timestamp()), root, "course_state")
+    prior = table.lookup(seen.select(course_id.alias("course_id"), locale.alias("locale"))).select(*KEYS, *STATE)
+    table.append(upsert(prior, seen).withColumn("written_at", F.current_timestamp()), commit_id)
+    table.compact_if(DELTAS)
 
 
 def read_checkpoints(spark: SparkSession, root: str) -> DataFrame:

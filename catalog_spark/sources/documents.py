@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import manifests
+
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """A target table; with ``columns`` only these reach the scan."""
-    table = spark.read.parquet(path)
+    """A target table; with ``columns`` only these reach the scan. Where bundles are committed by manifests, only
+    committed files are read."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    table = manifests.read_table(spark, root, name) if manifests.has_manifests(spark, root) else spark.read.parquet(path)
     return table.select(*columns) if columns else table
 
 

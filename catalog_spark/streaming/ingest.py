@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators import capture, flatten, sinks, state
-from ..operators.latest import latest_by
 
 CAPTURED = "fetched_at timestamp, course_id long, locale string, source_url string, online string, meta string, curriculum string, discounts string, contents string"
 
@@ -49,11 +48,7 @@ def write_batch(root: str, write=None, database: str = ""):
                 late = sinks.write_with_outbox(rows, table, lambda ready, table=table: write(ready, here(table)), nothing, database)
                 kept = kept if late is None else kept.unionByName(late)
             kept.write.mode("overwrite").parquet(here("insert_outbox"))
-            others = sinks.read_or_empty(spark, root, "course_state").filter(F.input_file_name().rlike(f"/batch_id={batch_id}/") == F.lit(False))
-            prior = latest_by(others, ["course_id", "locale"], "written_at", state.STATE).select("course_id", "locale", *state.STATE)
-            seen = state.seen_courses(shots, flatten.course_dim(batch))
-            mine = prior.join(seen.select("course_id", F.lower("locale").alias("locale")).distinct(), ["course_id", "locale"], "left_semi")
-            sinks.fitted(state.upsert(mine, seen).withColumn("written_at", F.current_timestamp()), "course_state").write.mode("overwrite").parquet(here("course_state"))
+            state.append_state(spark, root, state.seen_courses(shots, flatten.course_dim(batch)), f"batch-{batch_id}")
         finally:
             shots.unpersist()
             batch.unpersist()
