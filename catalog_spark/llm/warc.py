@@ -34,15 +34,11 @@ END = "\r\n\r\n"
 
 
 def base32_sha1(payload: Column) -> Column:
-    """Bare upper-case base32 of a binary column's SHA-1: every letter has five bits out of two hex digits."""
+    """Bare upper-case base32 of a binary column's SHA-1. ``conv`` knows digits up to V and 64 bits, so three parts of
+    whole letters are converted, and the digits are then spelled as letters."""
     digits = F.sha1(payload)
-
-    def letter(j: Column) -> Column:
-        pair = F.conv(F.substring(digits, (5 * j / 4).cast("int") + 1, F.lit(2)), 16, 10).cast("int")
-        five = F.floor(pair / F.element_at(F.array(*map(F.lit, (8, 4, 2, 1))), 5 * j % 4 + 1)).cast("int") % 32
-        return F.substring(F.lit(ALPHABET), five + 1, F.lit(1))
-
-    return F.when(payload.isNotNull(), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), letter), ""))
+    parts = [F.lpad(F.conv(F.substring(digits, at, n), 16, 32), n * 4 // 5, "0") for at, n in ((1, 15), (16, 15), (31, 10))]
+    return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", ALPHABET)
 
 
 def urn(*of: Column) -> Column:
@@ -57,9 +53,10 @@ def _line(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x00-\x1F\x7F]", "")
 
 
-def _record(kind: Column, identifier: Column, block: Column, headers: list[tuple[str, Column]]) -> Column:
+def _record(kind: Column, identifier: Column, block: Column, headers: list[tuple[str, Column]], size: Column | None = None) -> Column:
     """A record without the blank line after it; headers whose value is null are left out."""
-    listed = [("WARC-Type", kind), ("WARC-Record-ID", identifier), ("WARC-Date", F.lit(UNDATED)), *headers, ("Content-Length", F.octet_length(block).cast("string"))]
+    size = F.octet_length(block) if size is None else size
+    listed = [("WARC-Type", kind), ("WARC-Record-ID", identifier), ("WARC-Date", F.lit(UNDATED)), *headers, ("Content-Length", size.cast("string"))]
     return F.concat(F.lit("WARC/1.1\r\n"), *(F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit("")) for name, value in listed), F.lit("\r\n"), block)
 
 
@@ -113,7 +110,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     digest = F.concat(F.lit("sha1:"), c("digest"))
     kept = _record(c("role"), c("me"), block, [
         ("WARC-Target-URI", uri), ("WARC-Payload-Digest", digest), ("WARC-Profile", F.when(revisit, F.lit(PROFILE))), ("WARC-Refers-To", F.when(revisit, c("response"))),
-        ("Content-Type", F.lit("application/http; msgtype=response"))])
+        ("Content-Type", F.lit("application/http; msgtype=response"))], F.octet_length(head) + F.when(revisit, 0).otherwise(c("size")))
     target = F.coalesce(F.nullif(F.regexp_extract(uri, r"^[^:]*://[^/?#]*([^#]*)", 1), F.lit("")), F.lit("/"))
     asked = F.concat(F.lit("GET "), target, F.lit(" HTTP/1.1\r\nHost: "), F.coalesce(F.regexp_extract(uri, r"^[^:]*://([^/?#]*)", 1), F.lit("")), F.lit(END))
     request = _record(F.lit("request"), urn(F.lit("request"), c("me")), asked, [("WARC-Target-URI", uri), ("WARC-Concurrent-To", c("me")), ("Content-Type", F.lit("application/http; msgtype=request"))])
@@ -244,8 +241,8 @@ def owners(found: DataFrame) -> DataFrame:
     return direct.union(chained)
 
 
-def captures(found: DataFrame) -> DataFrame:
-    """A nested row for each capture: (record_id, response, request, metadata).
+def captures(found: DataFrame, fields: tuple[str, ...] = ("headers", "http", "payload", "complete")) -> DataFrame:
+    """A nested row for each capture: (record_id, response, request, metadata), with ``fields`` of each record.
 
     ``response`` is the response-like record, ``request`` the request (of several, that with the least identifier), and
     ``metadata`` an array of all other records of the capture. Records that belong to none are captures without a
@@ -253,7 +250,7 @@ def captures(found: DataFrame) -> DataFrame:
     them. An empty table gives no rows.
     """
     c = F.col
-    whole = F.struct("type", "record_id", "headers", "http", "payload", "complete")
+    whole = F.struct("type", "record_id", *fields)
     owner = owners(found)
     main = found.filter(c("type").isin(*PRIMARY)).select("record_id", whole.alias("response"))
     side = found.filter(~F.coalesce(c("type").isin(*PRIMARY), F.lit(False))).join(owner, c("record_id") == c("member"), "left")
@@ -270,15 +267,17 @@ def digest(pages: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write(pages, path)
     c = F.col
-    found = materialise(records(spark, path))
-    nested = captures(found)
+    measured = records(spark, path).withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(c("payload"))})
+    small = F.when(c("type") == "metadata", c("payload"))  # the others' payloads have been measured
+    found = materialise(measured.select("type", "record_id", "concurrent_to", "headers", "http", small.alias("payload"), "payload_bytes", "payload_digest"))
+    nested = captures(found, ("headers", "http", "payload", "payload_bytes", "payload_digest"))
     kind = pages.schema["page_id"].dataType.simpleString()
     page = F.regexp_extract(F.decode(c("metadata")[0]["payload"], "UTF-8"), r"page-id: ([^\r\n]*)", 1)
     full = c("response.type") == "response"
     told = F.regexp_extract("response.http", r"(?i)\ncontent-length: *([0-9]+)", 1).cast("long")
     rows = nested.select(
-        F.nullif(page, F.lit("")).cast(kind).alias("page_id"), "record_id", F.when(full, F.octet_length("response.payload")).otherwise(told).cast("long").alias("payload_bytes"),
-        F.when(full, base32_sha1(c("response.payload"))).otherwise(F.regexp_replace(c("response.headers")["warc-payload-digest"], "^sha1:", "")).alias("payload_digest"),
+        F.nullif(page, F.lit("")).cast(kind).alias("page_id"), "record_id", F.when(full, c("response.payload_bytes")).otherwise(told).alias("payload_bytes"),
+        F.when(full, c("response.payload_digest")).otherwise(F.regexp_replace(c("response.headers")["warc-payload-digest"], "^sha1:", "")).alias("payload_digest"),
         c("response.type").alias("record_type"), F.when(~full, c("response.headers")["warc-refers-to"]).alias("refers"))
     rows = materialise(rows)
     answers = rows.filter("record_type = 'response'").select(c("record_id").alias("refers"), c("page_id").alias("refers_to"))
