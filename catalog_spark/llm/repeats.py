@@ -44,6 +44,7 @@ BLOCK = 16
 CORES = 4
 SLACK = WIDTH - GRAM
 REACH = SLACK + WIDTH
+LONGEST = 1 << 10  # bound of a span's length, which is REACH at most
 COLLECTION = 4000
 HOT = 4 * COLLECTION
 STEP = 21
@@ -362,9 +363,13 @@ def repeated_spans(unique: DataFrame) -> DataFrame:
         told = told.union(counted)
         forget(few)
     told = materialise(told.groupBy(*IDS).agg(F.collect_list(F.struct("from", "to")).alias("told")))  # a row for each fragment
-    span = lambda s: F.struct(F.greatest(F.col("place") + s["from"], F.lit(0)).alias("start"), (F.col("place") + s["to"]).alias("end"))
-    covered = met.select("key", "place", *IDS).join(told, IDS).select("key", F.transform("told", span).alias("spans"))
-    out = materialise(covered.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))
+    # A span is one long (its start, then its length), since distinct structs are told apart two by two.
+    start = lambda s: F.greatest(F.col("place") + s["from"], F.lit(0))
+    packed = lambda s: start(s) * LONGEST + F.col("place") + s["to"] - start(s)
+    covered = met.select("key", "place", *IDS).join(told, IDS).select("key", F.transform("told", packed).alias("spans"))
+    spans = F.array_distinct(F.flatten(F.collect_list("spans")))
+    shaped = lambda x: F.struct(F.shiftright(x, 10).alias("start"), (F.shiftright(x, 10) + x % LONGEST).alias("end"))
+    out = materialise(covered.groupBy("key").agg(spans.alias("spans")).select("key", F.transform("spans", shaped).alias("spans")))
     forget(met, kinds, common, wanted, hot, shared, told, *(t for t in (whole, counted) if t is not None))
     return out
 
@@ -375,7 +380,7 @@ ARROW_SHAPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 def cleaned(docs: DataFrame, *columns: Column | str, text_col: str = "text") -> DataFrame:
     """``columns`` of (key, n_bytes, removed, kept) for each different text, as a table in the shared folder; the key
-    is the MD5 of the text's bytes."""
+    is ``text_key``."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     # Copies are put together before the shuffle; whole texts are shuffled this once.
     unique = docs.select(text_key(text).alias("key"), text.alias("text")).groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"))
@@ -408,7 +413,8 @@ def cleaned(docs: DataFrame, *columns: Column | str, text_col: str = "text") ->
 
 
 def text_key(text: Column) -> Column:
-    return F.unhex(F.md5(text.cast("binary")))
+    """128 bits that nobody can make two texts agree in."""
+    return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
 
 
 def _for_rows(docs: DataFrame, done: DataFrame, id_col: str, text_col: str) -> DataFrame:
