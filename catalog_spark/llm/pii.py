@@ -1,12 +1,16 @@
 """Personal data: patterns, and terms that reveal them.
 
-Base patterns find e-mail addresses, IP addresses, card and phone numbers. Each value found is a protected entity.
-The corpus then tells how strongly the words around its mentions reveal it: over windows of ``2 * REACH + 1`` words,
-a term t and an entity e have pointwise mutual information log2(p(e, t) / (p(e) p(t))), and t discloses the share
-PMI / IC(e) of the entity's information content IC(e) = -log2 p(e). Terms from ``GENERALISE`` on are generalised to
-their shape's class, from ``REMOVE`` on removed, wherever they occur in any text. Texts count as windows too, so that
-a term far from the mentions is scored. Equal windows (copies of a passage) and equal texts count once for an entity.
-Every pair is scored; ``score`` discounts p(t | e) by the number of contexts that show it.
+Base patterns find e-mail addresses, IP addresses, card and phone numbers. Each value found is a protected entity e.
+The corpus then tells how strongly a term t reveals it: of all different texts that hold t, the share p(e | t) in which t
+stands near a mention of e (within ``REACH`` words), or anywhere beside one. -log2 p(e | t) bits of doubt are what t leaves;
+t discloses e if few are left, and fewer than before: at most 2 bits and a third (p of ``GENERALISE``) for being
+generalised to a mark, at most one (``REMOVE``) for being removed, and one less than e's own -log2 p(e) at least.
+Terms that disclose are masked wherever they occur in any text.
+
+p(e | t) is not taken as observed: it is a lower confidence bound (Wilson's), so that few contexts prove little, at a
+level of ``CHANCE`` divided by the number of terms that were tried for e, so that many trials do not make finds by
+chance. All of this comes from the contexts of t and e themselves: other texts, however many, change nothing. Copies of
+a text are one context on both sides, and equal surroundings of e are one observation.
 
 Two passes over the texts: ``scan`` lists mentions and counts terms, and a second one marks spans. Up to ``MOST_TOLD``
 disclosing terms go to the workers as 64-bit hashes, 9 bytes a term; if there are more, each text's terms are joined
@@ -17,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -31,9 +36,10 @@ from .tables import forget, map_arrow, materialise, slices
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 6
+REACH_CHARS = 200  # of a window, on each side
 CHANCE = 0.05
-GENERALISE = 0.5
-REMOVE = 0.8
+GENERALISE = 0.2
+REMOVE = 0.5
 MOST_TOLD = 2_000_000
 FILTER_BITS = 1 << 25
 COUNTED = 100_000  # different terms that a task counts before it hands them on
@@ -99,40 +105,45 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else ''.join(filter(str.isdigit, value))}"
 
 
-def around(text: str, start: int, end: int, found: list[tuple[str, int, int]], reach: int = REACH) -> list[tuple[str, int, int]]:
-    """Terms (case-folded) within ``reach`` words of a mention, outside all base spans, with their places."""
-    left, at = [], start
-    while len(left) < reach and at > 0:  # step back word by word
-        edge = at
-        while edge > 0 and text[edge - 1] in " \t\n\v\f\r":
-            edge -= 1
-        at = edge
-        while at > 0 and text[at - 1] not in " \t\n\v\f\r":
-            at -= 1
-        if at < edge:
-            left.append((at, edge))
-    right = []
-    for m in WORD.finditer(text, end):
+def covered(found: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover, in order."""
+    starts, ends = [], []
+    for _, a, b in sorted(found, key=lambda s: s[1]):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def around(text: str, start: int, end: int, taken: tuple[list[int], list[int]], reach: int = REACH) -> list[tuple[str, int, int]]:
+    """Terms (case-folded) within ``reach`` words and ``REACH_CHARS`` of a mention, outside the stretches of all base
+    spans, with their places. A term that an edge of the window or of a mention cuts is left out."""
+    low, high = max(0, start - REACH_CHARS), min(len(text), end + REACH_CHARS)
+    left, right = [m.span() for m in WORD.finditer(text, low, start)][-reach:], []
+    for m in WORD.finditer(text, end, high):
         right.append(m.span())
         if len(right) == reach:
             break
-    near = [s for s in found if s[1] < (right[-1][1] if right else end) and s[2] > (left[-1][0] if left else start)]
     out = []
-    for a, b in left[::-1] + right:
+    for a, b in left + right:
         for m in TERM.finditer(text, a, b):
-            if not any(s < m.end() and m.start() < e for _, s, e in near):
-                out.append((m[0].casefold(), m.start(), m.end()))
+            x, y = m.span()
+            if (x and LETTER.match(text, x - 1)) or LETTER.match(text, y):
+                continue
+            k = bisect_right(taken[0], y - 1) - 1
+            if k < 0 or taken[1][k] <= x:
+                out.append((m[0].casefold(), x, y))
     return out
 
 
-SCANNED = "key string, n_terms long, terms array<string>, mentions array<struct<entity:string,terms:array<string>>>, term string, n_term long, n_docs long, n_words long, n_texts long"
+SCANNED = "key string, n_terms long, terms array<string>, mentions array<struct<entity:string,terms:array<string>>>, term string, n_docs double, n_texts double"
 ARROW_PLAIN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 ARROW_SCANNED = pa.schema([
     ("key", pa.string()), ("n_terms", pa.int64()), ("terms", pa.list_(pa.string())), ("mentions", pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.string()))]))),
-    ("term", pa.string()), ("n_term", pa.int64()), ("n_docs", pa.int64()), ("n_words", pa.int64()), ("n_texts", pa.int64()),
+    ("term", pa.string()), ("n_docs", pa.float64()), ("n_texts", pa.float64()),
 ])
-IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
-
 
 def terms(text: str) -> list[str]:
     return [x.casefold() for x in TERM.findall(text)]
@@ -146,53 +157,53 @@ def term_hash(term: str) -> int:
     return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"))
 
 
-def n_words(text: str) -> int:
-    space = IS_SPACE[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)]
-    return int(np.count_nonzero(space[:-1] & ~space[1:]) + (not space[0])) if len(space) else 0
-
-
 def scan(texts: DataFrame) -> DataFrame:
-    """One pass over the column ``text``, three sorts of rows: (key, n_terms, terms, mentions) for each text with base
-    spans, its different terms and those near each mention; (term, n_term, n_docs) partial counts of the corpus' terms;
-    and (n_words, n_texts) partial totals. A null text is a text without words."""
-
-    def counts(n: Counter, docs: Counter) -> Iterator[pa.RecordBatch]:
-        folded: Counter = Counter()
-        for x, k in n.items():
-            folded[x.casefold()] += k
-        listed = list(folded)
+    """Over the column ``text``, three sorts of rows: (key, n_terms, terms, mentions) for each text with base spans, its
+    different terms and those near each mention; (term, n_docs) partial numbers of different texts with the term;
+    and (n_texts) partial numbers of different texts. Each of n copies counts 1/n. A null text is a text without terms."""
+    t = F.coalesce("text", F.lit(""))
+    hashes = [F.xxhash64(t).alias("h1"), F.xxhash64(t, F.lit(1)).alias("h2")]
+    copies = materialise(texts.select(*hashes).groupBy("h1", "h2").agg(F.count("*").alias("copies")).filter("copies > 1"))
+    keyed = texts.select("text", *hashes).join(copies, ["h1", "h2"], "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+    def counts(docs: dict[str, float]) -> Iterator[pa.RecordBatch]:
+        listed = list(docs)
         for k in range(0, len(listed), 10_000):
-            yield _rows(term=(some := listed[k : k + 10_000]), n_term=[folded[x] for x in some], n_docs=[docs[x] for x in some])
-        n.clear()
+            yield _rows(term=(some := listed[k : k + 10_000]), n_docs=[docs[x] for x in some])
         docs.clear()
 
     def run(batches):
-        n, docs, words, seen = Counter(), Counter(), 0, 0
+        docs: Counter = Counter()
+        n_texts = 0.0
         for b in batches:
-            for _, some in slices(b, b.column(0)):
+            for part, some in slices(b, b.column(0)):
                 keys, here, mentions = [], [], []
-                for t in some:
-                    seen += 1
+                for t, n in zip(some, part.column(1).to_pylist()):
+                    n_texts += 1 / n
                     if not t:
                         continue
-                    words += n_words(t)
-                    found = TERM.findall(t)
-                    n.update(found)
-                    different = {x.casefold() for x in set(found)}
-                    docs.update(different)
+                    different = {x.casefold() for x in set(TERM.findall(t))}
+                    if n == 1:
+                        docs.update(different)
+                    else:
+                        for x in different:
+                            docs[x] += 1 / n
                     if spans := base(t):
+                        taken = covered(spans)
                         keys.append(text_key(t))
                         here.append(sorted(different))
-                        mentions.append([{"entity": entity(k, t[a:e]), "terms": [x[0] for x in around(t, a, e, spans)]} for k, a, e in spans])
+                        mentions.append([{"entity": entity(k, t[a:e]), "terms": [x[0] for x in around(t, a, e, taken)]} for k, a, e in spans])
                 if keys:
                     yield _rows(key=keys, n_terms=[len(x) for x in here], terms=here, mentions=mentions)
-                if len(n) > COUNTED:
-                    yield from counts(n, docs)
-        yield from counts(n, docs)
-        if seen:
-            yield _rows(n_words=[words], n_texts=[seen])
-
-    return map_arrow(texts, run, SCANNED)
+                if len(docs) > COUNTED:
+                    yield from counts(docs)
+        yield from counts(docs)
+        if n_texts:
+            yield _rows(n_texts=[n_texts])
+
+    out = materialise(map_arrow(keyed, run, SCANNED))
+    forget(copies)
+    return out
 
 
 def _rows(**columns: list) -> pa.RecordBatch:
@@ -200,49 +211,51 @@ def _rows(**columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns.get(f.name, [None] * n), f.type) for f in ARROW_SCANNED], schema=ARROW_SCANNED)
 
 
-def score(n: float, n_entity: Column, n_both: Column, n_term: Column, chance: Column) -> Column:
-    """PMI / information content. The share of an entity's contexts that hold the term counts times
-    chance ** (1 / n_both), its exact lower confidence bound where all of them do: few contexts prove little."""
-    n = F.greatest(F.lit(float(n)), n_entity + 1.0)
-    return F.log2(n_both * F.pow(chance, 1 / n_both) * n / (n_entity * F.greatest(n_term, n_both))) / F.log2(n / n_entity)
+def bound(n_both: Column, n_term: Column, seen: Column, tried: Column, chance: float = CHANCE) -> Column:
+    """Wilson's lower bound of the share n_both / n_term, as if of ``seen`` observations for ``n_both``, at a level of
+    ``chance`` / ``tried``; its quantile is bounded by Chernoff's inequality."""
+    n_term = F.greatest(n_term, n_both.cast("double"))
+    share, n = n_both / n_term, n_term * seen / n_both
+    z2 = 2 * F.log(F.greatest(tried, F.lit(1.0)) / (2 * chance))
+    return (share + z2 / (2 * n) - F.sqrt(z2 * (share * (1 - share) / n + z2 / (4 * n * n)))) / (1 + z2 / n)
 
 
-def disclosing(scanned: DataFrame, generalise: float = GENERALISE, reach: int = REACH, chance: float = CHANCE) -> DataFrame:
-    """(entity, term, disclosed) for the terms that give away at least ``generalise`` of an entity's information.
+def disclosing(scanned: DataFrame, generalise: float = GENERALISE, chance: float = CHANCE) -> DataFrame:
+    """(entity, term, disclosed) for the terms that leave little doubt about an entity; ``disclosed`` is the lower bound
+    of p(e | t), from ``generalise`` on and at least twice p(e).
 
-    ``scanned`` is the output of ``scan`` over the whole corpus. All pairs are scored, over windows and over texts. A
-    text tries all its terms at once, so there ``chance`` is divided by their number; entities whose best possible
-    term would stay under ``generalise`` then are left out before their texts' terms are listed, which changes no result.
+    ``scanned`` is the output of ``scan`` over the whole corpus. All pairs are scored, near mentions and over whole
+    texts, where each text's terms are tried. Entities in too few texts for any term's bound to reach ``generalise``
+    are left out before their texts' terms are listed, which changes no result.
     """
     c = F.col
-    counted = scanned.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n_term").alias("n_term"), F.sum("n_docs").alias("n_docs"))
-    counts = materialise(counted)
-    words, n_texts = scanned.agg(F.sum("n_words"), F.sum("n_texts")).first()
+    counts = materialise(scanned.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n_docs").alias("n_term")))
+    n_texts = scanned.agg(F.sum("n_texts")).first()[0] or 0.0
     texts = materialise(scanned.filter("key IS NOT NULL").select("key", "n_terms", "terms", "mentions").dropDuplicates(["key"]))
-    mentions = texts.select("key", "n_terms", F.explode("mentions").alias("m")).select("key", "n_terms", "m.*")
-    windows = mentions.select("entity", F.xxhash64("terms").alias("window"), F.array_distinct("terms").alias("terms"))
-    windows = materialise(windows.dropDuplicates(["entity", "window"]))
-    pairs = windows.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    pairs = pairs.join(windows.groupBy("entity").agg(F.count("*").alias("n_entity")), "entity").join(counts, "term")
-    near = pairs.select("entity", "term", score(max(words or 0, 1) / (2 * reach + 1), c("n_entity"), c("n_both"), c("n_term"), F.lit(chance)).alias("disclosed"))
-    told = near.filter(c("disclosed") >= generalise)
+    mentions = texts.select("key", "n_terms", F.explode("mentions").alias("m")).select("key", "n_terms", "m.entity", F.xxhash64("m.terms").alias("window"), F.array_distinct("m.terms").alias("terms"))
+    mentions = materialise(mentions)
+    entities = mentions.groupBy("entity").agg(F.countDistinct("key").alias("n_entity"), F.countDistinct("window").alias("windows"))
+    entities = materialise(entities.join(mentions.select("entity", F.explode("terms").alias("t")).groupBy("entity").agg(F.countDistinct("t").alias("tried")), "entity", "left"))
+    pairs = mentions.select("entity", "key", "window", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.countDistinct("key").alias("n_both"), F.countDistinct("window").alias("seen"))
+    pairs = pairs.withColumn("seen", F.least("seen", "n_both")).join(entities.select("entity", "n_entity", c("tried").cast("double").alias("tried")), "entity")
 
     holds = mentions.select("entity", "key", "n_terms").distinct()
-    seen = holds.groupBy("entity").agg(F.count("*").alias("n_entity"), (F.lit(chance) / F.greatest(F.avg("n_terms"), F.lit(1.0))).alias("chance"))
-    seen = materialise(seen.filter(score(n_texts or 0, c("n_entity"), c("n_entity"), c("n_entity"), c("chance")) >= generalise))
-    if not seen.isEmpty():
-        those = holds.join(seen, "entity").select("entity", "key")
-        pairs = those.join(texts.select("key", F.explode("terms").alias("term")), "key").groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-        far = pairs.join(seen, "entity").join(counts, "term").select("entity", "term", score(n_texts, c("n_entity"), c("n_both"), c("n_docs"), c("chance")).alias("disclosed"))
-        told = told.union(far.filter(c("disclosed") >= generalise)).groupBy("entity", "term").agg(F.max("disclosed").alias("disclosed"))
-    told = materialise(told)
-    forget(counts, texts, windows, seen)
+    sizes = holds.groupBy("entity").agg(F.avg("n_terms").alias("tried")).join(entities.select("entity", "n_entity", "windows"), "entity").withColumn("most", F.least("n_entity", "windows").cast("double"))
+    many = materialise(sizes.filter(bound(c("most"), c("most"), c("most"), c("tried"), chance) >= generalise).drop("most"))
+    if not many.isEmpty():
+        far = holds.join(many, "entity").join(texts.select("key", F.explode("terms").alias("term")), "key")
+        far = far.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("windows").alias("windows"), F.first("n_entity").alias("n_entity"), F.first("tried").alias("tried"))
+        pairs = pairs.unionByName(far.select("entity", "term", "n_both", F.least("n_both", "windows").alias("seen"), "n_entity", "tried"))
+    scored = pairs.join(counts, "term").withColumn("disclosed", bound(c("n_both"), c("n_term"), c("seen"), c("tried"), chance))
+    told = scored.filter((c("disclosed") >= generalise) & (c("disclosed") * n_texts >= 2 * c("n_entity")))
+    told = materialise(told.groupBy("entity", "term").agg(F.max("disclosed").alias("disclosed")))
+    forget(counts, texts, mentions, entities, many)
     return told
 
 
 def told_terms(texts: DataFrame, remove: float = REMOVE, **limits) -> DataFrame:
     """(h, removed): the disclosing terms as 64-bit hashes, and whether they are removed or generalised."""
-    scanned = materialise(scan(texts))
+    scanned = scan(texts)
     found = disclosing(scanned, **limits)
 
     def run(batches):
@@ -273,21 +286,12 @@ class Told:
 
 def added(text: str, found: list[tuple[str, int, int]], verdicts: dict[str, int]) -> list[tuple[str, int, int]]:
     """Kinds ``generalised`` and ``removed``: every occurrence of the terms outside the base spans ``found``."""
-    spots = []
-    for x, v in verdicts.items():
-        at = text.find(x)
-        while at >= 0:  # a term is a whole run of letters
-            end = at + len(x)
-            if not LETTER.match(text, end) and not (at and LETTER.match(text, at - 1)):
-                spots.append((at, end, v))
-            at = text.find(x, at + 1)
-    out, taken, k, reached = [], sorted((a, b) for _, a, b in found), 0, 0
-    for start, end, v in sorted(spots):
-        while k < len(taken) and taken[k][0] < end:
-            reached = max(reached, taken[k][1])
-            k += 1
-        if reached <= start:
-            out.append(("removed" if v == 2 else "generalised", start, end))
+    out, taken = [], covered(found)
+    for m in TERM.finditer(text):
+        if v := verdicts.get(m[0]):
+            k = bisect_right(taken[0], m.end() - 1) - 1
+            if k < 0 or taken[1][k] <= m.start():
+                out.append(("removed" if v == 2 else "generalised", *m.span()))
     return out
 
 

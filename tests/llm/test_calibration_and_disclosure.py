@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -52,37 +53,44 @@ def test_one_or_two_languages():
 
 
 def plain_disclosure(texts, chance=pii.CHANCE, reach=pii.REACH):
-    """(entity, term) -> share of the entity's information that the term gives away, by loops over the texts."""
-    counts, docs, words = Counter(), Counter(), 0
-    windows, holds, sizes = defaultdict(set), defaultdict(set), {}
-    for t in texts:
-        t = t or ""
-        here = [x.casefold() for x in re.findall(r"[^\W\d_]{3,}", t)]
-        counts.update(here)
-        docs.update(set(here))
-        words += len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    """(entity, term) -> lower bound of the share of the term's texts that point to the entity, by loops over the texts."""
+    different = {t or "" for t in texts}
+    docs, windows, holds = Counter(), defaultdict(set), defaultdict(set)
+    near, seen = defaultdict(set), defaultdict(set)
+    terms = {}
+    for t in different:
+        terms[t] = {x.casefold() for x in re.findall(r"[^\W\d_]{3,}", t)}
+        docs.update(terms[t])
         found = pii.base(t)
         for kind, a, b in found:
             e = pii.entity(kind, t[a:b])
-            near = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", t[:a])][-reach:] + [(m.start() + b, m.end() + b) for m in list(re.finditer(r"[^\x20\x09-\x0D]+", t[b:]))[:reach]]
-            terms = [m[0].casefold() for x, y in near for m in re.compile(r"[^\W\d_]{3,}").finditer(t, x, y) if not any(s < m.end() and m.start() < z for _, s, z in found)]
-            windows[e].add(tuple(terms))
+            low, high = max(0, a - pii.REACH_CHARS), min(len(t), b + pii.REACH_CHARS)
+            words = [m.span() for m in re.compile(r"[^\x20\x09-\x0D]+").finditer(t, low, a)][-reach:] + [m.span() for m in re.compile(r"[^\x20\x09-\x0D]+").finditer(t, b, high)][:reach]
+            here = []
+            for m in re.finditer(r"[^\W\d_]{3,}", t):
+                for x, y in words:
+                    if x <= m.start() and m.end() <= y and not any(s < m.end() and m.start() < z for _, s, z in found):
+                        here.append(m[0].casefold())
+            windows[e].add(tuple(here))
             holds[e].add(t)
-            sizes[t] = set(here)
+            for x in here:
+                near[e, x].add(t)
+                seen[e, x].add(tuple(here))
 
-    def score(n, n_entity, n_both, n_term, p):
-        n = max(n, n_entity + 1)
-        return math.log2(n_both * p ** (1 / n_both) * n / (n_entity * max(n_term, n_both))) / math.log2(n / n_entity)
+    def bound(k, n, s, tried):
+        p, n = k / n, n * s / k
+        z2 = 2 * math.log(max(tried, 1) / (2 * chance))
+        return (p + z2 / (2 * n) - math.sqrt(z2 * (p * (1 - p) / n + z2 / (4 * n * n)))) / (1 + z2 / n)
 
     out = {}
     for e in windows:
-        both = Counter(x for w in windows[e] for x in set(w))
-        for x, k in both.items():
-            out[e, x] = score(max(words, 1) / (2 * reach + 1), len(windows[e]), k, counts[x], chance)
-        p = chance / max(1, np.mean([len(sizes[t]) for t in holds[e]]))
-        for x, k in Counter(x for t in holds[e] for x in sizes[t]).items():
-            out[e, x] = max(out.get((e, x), -9), score(len(texts), len(holds[e]), k, docs[x], p))
-    return {k: v for k, v in out.items() if v >= pii.GENERALISE}
+        tried = len({x for w in windows[e] for x in w})
+        scores = {x: bound(len(near[e, x]), docs[x], min(len(seen[e, x]), len(near[e, x])), tried) for f, x in near if f == e}
+        tried = np.mean([len(terms[t]) for t in holds[e]])
+        for x, k in Counter(x for t in holds[e] for x in terms[t]).items():
+            scores[x] = max(scores.get(x, 0), bound(k, docs[x], min(k, len(windows[e])), tried))
+        out |= {(e, x): v for x, v in scores.items() if v >= pii.GENERALISE and v * len(different) >= 2 * len(holds[e])}
+    return out
 
 
 @pytest.fixture(scope="module")
@@ -112,13 +120,61 @@ def test_disclosure_against_plain_loops(spark, disclosing_texts):
 def test_folded_terms_are_counted_as_they_are_found(spark):
     """Spellings that folding changes are no rarer for it: a common word stays, whatever its letters."""
     rows = [(k, f"write {w} to ann.lee@mail.example now") for k, w in enumerate(["Straße", "Grüße", "İzmir", "Strasse"])]
-    rows += [(100 + k, f"an der Straße mit Grüße aus İzmir und Strasse {k} " * 5) for k in range(40)]
+    rows += [(100 + k, f"an der Straße mit Grüße aus İzmir und Strasse {k} " * 5) for k in range(40)]  # different by their numbers
     spans = {r["id"]: r["spans"] for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for k in range(4):
         word = rows[k][1].split()[1]
         assert not any(rows[k][1][s["start"] : s["end"]] == word for s in spans[k])
 
 
+def mask(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["id"]: r["spans"] for r in pii.detect(rows).collect()}
+    return [{texts[k][s["start"] : s["end"]] for s in found[k] if s["kind"] in ("generalised", "removed")} for k in range(len(texts))]
+
+
+def name_and_common(contexts, size):
+    r = random.Random(8)
+    common = [f"{a}{b}" for a in ("ba", "ke", "li", "mo", "nu") for b in ("rat", "sel", "tim", "von", "wug", "zap")]
+    named = [" ".join([*r.sample(common, 5), "please write to Zephyrine at ann.lee@mail.example", *r.sample(common, 5)]) for _ in range(contexts)]
+    return named, [" ".join(r.choice(common) for _ in range(40)) + " please write to us" for _ in range(size)]
+
+
+def test_copies_neither_hide_nor_prove(spark):
+    named, others = name_and_common(6, 300)
+    for copies in (1, 10, 200):
+        got = mask(spark, named * copies + others)
+        assert all(g == {"Zephyrine"} for g in got[: len(named) * copies]) and not any(got[len(named) * copies :])
+    one, others = name_and_common(1, 300)  # a single context proves nothing, however often it is copied
+    for copies in (1, 10, 200):
+        assert not any(mask(spark, one * copies + others))
+
+
+def test_a_larger_corpus_marks_the_same_terms(spark):
+    named, others = name_and_common(6, 3000)
+    hapax = [f"{o} singular{chr(97 + k)}word carl.{k}@mail.example" for k, o in enumerate(others[:20])]
+    small, large = mask(spark, named + hapax + others[20:300]), mask(spark, named + hapax + others[20:])
+    n = len(named) + len(hapax)
+    assert small[:n] == large[:n] and all(g == {"Zephyrine"} for g in small[:6]) and not any(small[6:]) and not any(large[6:])
+
+
+def test_a_word_with_other_company_stays(spark):
+    named, others = name_and_common(6, 300)
+    got = mask(spark, named + others + [f"Zephyrine {o}" for o in others[:60]])
+    assert not any(got)
+
+
+def test_many_addresses_in_one_text():
+    for glue in (" and then ", ","):
+        text = glue.join(f"name{chr(97 + k % 26)} x{k}@mail.example" for k in range(20_000))
+        start = time.time()
+        spans = pii.base(text)
+        taken = pii.covered(spans)
+        assert sum(len(pii.around(text, a, b, taken)) for _, a, b in spans) > 0
+        assert len(pii.added(text, spans, {"then": 1, "and": 2})) == (2 * 19_999 if " " in glue else 0)
+        assert time.time() - start < 10
+
+
 def test_many_disclosing_terms_take_the_join(spark, disclosing_texts, monkeypatch):
     rows = [(k, t, "clash", 1) for k, t in enumerate(disclosing_texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, key string, h int")

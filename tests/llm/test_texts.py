@@ -74,8 +74,8 @@ def test_patterns_against_plain_regexes():
 
 
 def test_disclosing_terms(spark):
-    rows = [(i, f"number {w} from Zephyrine at ann.lee@mail.example now {w} report", "en") for i, w in enumerate(["one", "two", "six", "ten", "nine"])]
-    rows += [(100 + i, "now the report of a number from all that is at the town " * 5, "en") for i in range(40)]
+    rows = [(i, f"number {w} from Zephyrine at ann.lee@mail.example now {w} report", "en") for i, w in enumerate("one two six ten nine red old far big low".split() + ["own", "hot", "raw", "new"])]
+    rows += [(100 + i, "now the report of a number from all that is at the town " * 5 + str(i), "en") for i in range(120)]  # copies would count once
     got = {r["doc_id"]: r for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     text = rows[0][1]
     at = text.index("Zephyrine")
@@ -90,18 +90,18 @@ def test_disclosing_terms_in_all_whole_texts(spark):
     common = "now the report of a number from all that is at the town " * 5
     rows = [(i, f"number {w} from Zephyrine at ann.lee@mail.example now {w} report", "en") for i, w in enumerate(["one", "two", "six", "ten", "nine"])]
     rows += [(10, "ann.lee@mail.example now the report of a number from all of town Zephyrine", "en"), (11, "only Zephyrine here", "en")]
-    rows += [(20 + i, f"Quillon {common} {i} to tom@mail.example", "en") for i in range(5)]  # different texts: copies count once
-    rows += [(100 + i, common, "en") for i in range(400)]
+    rows += [(20 + i, f"Quillon {common} {w} to tom@mail.example", "en") for i, w in enumerate("one two six ten nine red old".split())]  # different surroundings: equal ones count once
+    rows += [(100 + i, f"{common} {i}", "en") for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
     assert not any("Zephyrine" in t for t in got.values())  # further than the windows reach, and without the address
     assert not any("Quillon" in t for t in got.values())  # only whole texts tell
-    assert got[100] == common and "report" in got[10]
+    assert got[100] == f"{common} 0" and "report" in got[10]
 
 
 def test_pairs_seen_once_or_twice_are_scored(spark):
     rows = [(i, f"ask {w} Zephyrine at ann@mail.example about it", "en") for i, w in enumerate(["our", "her"])]
-    rows += [(50, "ask the Straße at bob@mail.example about it", "en")] + [(100 + i, "ask her about our Straße and all of it " * 9, "en") for i in range(400)]
+    rows += [(50, "ask the Straße at bob@mail.example about it", "en")] + [(100 + i, "ask her about our Straße and all of it " * 9 + str(i), "en") for i in range(400)]
     got = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert "Zephyrine" not in got[0] + got[1] and "Straße" in got[50] and "ask her" in got[1]
 
