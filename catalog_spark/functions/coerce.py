@@ -1,15 +1,13 @@
 """Permissive coercion of VARIANT paths: wrong or missing kinds give defaults, never errors.
 
-``extracted`` walks each path once and hands on the small value found there; the coercions then look at that value.
+``leaves`` reads a document once and hands on the small values at its paths; the coercions then look at these.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TRUE_WORDS = ("1", "true", "yes", "y", "on")
@@ -38,19 +36,14 @@ def int_of(text: Column) -> Column:
     return F.coalesce(x.try_cast("bigint"), x.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def _is_true(v: Column, path: str) -> Column:
-    """JSON's true. Its kind is looked up only where the text says so, which is rare."""
-    return (text_at(v, path) == "true") & (_kind(v, path) == "BOOLEAN")
-
-
 def as_int(v: Column, path: str = "$") -> Column:
     """Numbers and numeric strings truncate, booleans are 0 or 1, all else is 0."""
-    return F.when(_is_true(v, path), F.lit(1).cast("bigint")).otherwise(int_of(text_at(v, path)))
+    fraction = text_at(v, path).try_cast("double").try_cast("bigint")  # of a string, which is no whole number
+    return F.coalesce(F.try_variant_get(v, path, "bigint"), fraction, F.lit(0).cast("bigint"))
 
 
 def as_float(v: Column, path: str = "$") -> Column:
-    number = F.coalesce(F.trim(text_at(v, path)).try_cast("double"), F.lit(0.0))
-    return F.when(_is_true(v, path), F.lit(1.0)).otherwise(number)
+    return F.coalesce(F.try_variant_get(v, path, "double"), F.lit(0.0))
 
 
 def flag_of(text: Column) -> Column:
@@ -96,22 +89,32 @@ def string_array(v: Column, path: str = "$") -> Column:
     return F.filter(F.coalesce(items, split, F.array().cast("array<string>")), lambda x: F.trim(x) != "")
 
 
-def _of_one(f: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    return lambda x: f(x)  # without optional parameters, which ``transform`` would fill
+BROKEN = "_broken"
 
 
-def extracted(df: DataFrame, v: str, fields: dict[str, tuple[str, Callable[[Column], Column]]]) -> DataFrame:
-    """``df`` with a column for each name in ``fields``: its coercion of the VARIANT at its path in the column ``v``.
+def leaves(document: Column, paths: list[str]) -> Column:
+    """A JSON document read once: a struct with a VARIANT for each dotted path, and null where there is none.
 
-    Fields of one coercion share its expression: it runs over an array of their values, so that the code that Spark
-    generates stays small enough for the JVM to compile.
+    Its field ``BROKEN`` holds the text of a document that is no JSON, or whose path leads through a value that is no
+    object; ``is_json`` tells the two apart.
     """
-    groups: dict[Callable, list[str]] = {}
-    for name, (_, f) in fields.items():
-        groups.setdefault(f, []).append(name)
-    found = df.select("*", *[F.transform(F.array(*[at(F.col(v), fields[n][0]) for n in names]), _of_one(f)).alias(f"_group{k}") for k, (f, names) in enumerate(groups.items())])
-    typed = {n: F.col(f"_group{k}")[i] for k, names in enumerate(groups.values()) for i, n in enumerate(names)}
-    return found.withColumns(typed).drop(*[f"_group{k}" for k in range(len(groups))])
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        *above, last = path.split(".")
+        for name in above:
+            node = node.setdefault(name, {})
+        node[last] = None
+
+    def ddl(node: dict | None) -> str:
+        return "variant" if node is None else "struct<" + ",".join(f"`{k}`:{ddl(v)}" for k, v in node.items()) + ">"
+
+    return F.from_json(document, f"{ddl(tree)[7:-1]},`{BROKEN}`:string".replace("`:", "` "), {"columnNameOfCorruptRecord": BROKEN})
+
+
+def is_json(document: Column, read: Column) -> Column:
+    """Whether ``document``, of which ``read`` has the leaves, is JSON; it is parsed again only where that is in doubt."""
+    return read.isNotNull() & F.coalesce(read[BROKEN].isNull() | F.try_parse_json(document).isNotNull(), F.lit(False))
 
 
 def any_of(conditions: list[Column]) -> Column:

@@ -52,37 +52,53 @@ def translation_backlog(dim: DataFrame, translations: DataFrame, target: str, li
     return best.orderBy(F.desc("activity"), F.desc("fetched"), F.desc("course_id")).limit(limit).select("course_id", "locale", *COURSE_TEXTS)
 
 
-def backlog_of_targets(dim: DataFrame, translations: DataFrame, targets: list[str], limit: int, ids: list[int] = ()) -> DataFrame:
-    """``translation_backlog`` of all targets at once: (target, rn, course_id, locale, texts), the rows of each target
-    numbered in its order, ``limit`` at most.
+def _of_targets(last: DataFrame, keys: list[str], columns: list[str], title: Column, whole: Column, rank: list[Column], extra: list[Column], line: list[Column], translations: DataFrame, targets: list[str], limit: int) -> DataFrame:
+    """(target, rn, keys, columns) of latest versions: what is missing in each target, best source first.
 
-    The dimension is read once. A target is a bit: what a course's texts are native in and what is translated are
-    masks, joined by ``bit_or``, and what neither holds is asked for. As a source's rank depends only on whether the
-    target is English, two best rows a course are enough. Ranks are cut in the tasks before the shuffle, too.
+    The versions are read once. A target is a bit: what a key's texts are native in and what is translated are masks,
+    joined by ``bit_or``, and what neither holds is asked for. As a source's rank depends only on whether the target is
+    English, two best rows a key are enough. Ranks are cut in the tasks before the shuffle, too.
     """
     targets = list(dict.fromkeys(targets))  # a repeated target is one; there are fewer than 63
-    bit = lambda k: F.lit(1 << k).cast("long")
+    bit, none = (lambda k: F.lit(1 << k).cast("long")), F.lit(0).cast("long")
+    native, wanted = none, none
+    for k, target in enumerate(targets):
+        native = native.bitwiseOR(F.when(text.is_native(target, title, whole), bit(k)).otherwise(none))
+        wanted = wanted.bitwiseOR(F.when(F.col("target_language") == target, bit(k)).otherwise(none))
+    order = lambda target: F.struct(source_rank(target, F.col("locale")), *rank)
+    row = F.struct(*columns)
+    best = last.withColumn("_native", native).groupBy(*keys).agg(F.bit_or("_native").alias("_native"), *extra, F.min_by(row, order("en")).alias("_en"), F.min_by(row, order("")).alias("_other"))
+    done = translations.filter((F.col("generation_status") == "success") & F.col("target_language").isin(*targets)).groupBy(*keys).agg(F.bit_or(wanted).alias("_done"))
+    joined = best.join(done, keys, "left").withColumn("_has", F.col("_native").bitwiseOR(F.coalesce("_done", none)))
+    every = F.array(*[F.struct(bit(k).alias("bit"), F.lit(t).alias("target")) for k, t in enumerate(targets)])
+    todo = joined.withColumn("_t", F.explode(F.filter(every, lambda t: F.col("_has").bitwiseAND(t["bit"]) == 0)))
+    todo = todo.withColumns({"target": F.col("_t.target"), "_best": F.when(F.col("_t.target") == "en", F.col("_en")).otherwise(F.col("_other"))})
+    numbered = todo.withColumn("rn", F.row_number().over(Window.partitionBy("target").orderBy(*line)))
+    return numbered.filter(F.col("rn") <= limit).select("target", "rn", *keys, "_best.*")
+
+
+def backlog_of_targets(dim: DataFrame, translations: DataFrame, targets: list[str], limit: int, ids: list[int] = ()) -> DataFrame:
+    """``translation_backlog`` of all targets in one scan of the dimension: (target, rn, course_id, locale, texts), the
+    rows of each target numbered in its order, ``limit`` at most."""
     columns = ["status", *COURSE_TEXTS, "published_at", "last_updated_at"]
     last = latest_by(_wanted(dim, ids), ["course_id", "locale"], "fetched_at", columns)
     last = last.filter((F.col("status") == "PUBLISH") & (F.col("title") != ""))
     whole = F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("title", "description", "category_main_title", "category_sub_title", "keywords")])
-    native, wanted = F.lit(0).cast("long"), F.lit(0).cast("long")
-    for k, target in enumerate(targets):
-        native = native.bitwiseOR(F.when(text.is_native(target, F.col("title"), whole), bit(k)).otherwise(F.lit(0).cast("long")))
-        wanted = wanted.bitwiseOR(F.when(F.col("target_language") == target, bit(k)).otherwise(F.lit(0).cast("long")))
-    activity = latest_activity(F.col("published_at"), F.col("last_updated_at"), F.col("max_fetched_at"))
-    last = last.withColumns({"activity": activity, "native": native})
-    order = lambda target: F.struct(source_rank(target, F.col("locale")), -F.unix_millis("activity"), -F.unix_millis("max_fetched_at"), F.col("locale"))
-    row = F.struct("locale", *COURSE_TEXTS)
-    courses = last.groupBy("course_id").agg(
-        F.bit_or("native").alias("native"), F.max("activity").alias("activity"), F.max("max_fetched_at").alias("fetched"), F.min_by(row, order("en")).alias("for_en"), F.min_by(row, order("")).alias("for_others"))
-    done = translations.filter((F.col("generation_status") == "success") & F.col("target_language").isin(*targets)).groupBy("course_id").agg(F.bit_or(wanted).alias("done"))
-    lacks = F.bitwise_not(F.col("native").bitwiseOR(F.coalesce("done", F.lit(0).cast("long"))))
-    asked = F.filter(F.array(*[F.struct(bit(k).alias("bit"), F.lit(t).alias("target")) for k, t in enumerate(targets)]), lambda t: lacks.bitwiseAND(t["bit"]) != 0)
-    todo = courses.join(done, "course_id", "left").withColumn("t", F.explode(asked))
-    todo = todo.select(F.col("t.target").alias("target"), "course_id", "activity", "fetched", F.when(F.col("t.target") == "en", F.col("for_en")).otherwise(F.col("for_others")).alias("best"))
-    line = Window.partitionBy("target").orderBy(F.desc("activity"), F.desc("fetched"), F.desc("course_id"))
-    return todo.withColumn("rn", F.row_number().over(line)).filter(F.col("rn") <= limit).select("target", "rn", "course_id", "best.*")
+    last = last.withColumn("activity", latest_activity(F.col("published_at"), F.col("last_updated_at"), F.col("max_fetched_at")))
+    rank = [-F.unix_millis("activity"), -F.unix_millis("max_fetched_at"), F.col("locale")]
+    extra = [F.max("activity").alias("_activity"), F.max("max_fetched_at").alias("_fetched")]
+    line = [F.desc("_activity"), F.desc("_fetched"), F.desc("course_id")]
+    return _of_targets(last, ["course_id"], ["locale", *COURSE_TEXTS], F.col("title"), whole, rank, extra, line, translations, targets, limit)
+
+
+def unit_backlog_of_targets(units: DataFrame, translations: DataFrame, targets: list[str], limit: int, ids: list[int] = ()) -> DataFrame:
+    """The same for ``unit_translation_backlog``: (target, rn, course_id, section_id, unit_id, locale, titles)."""
+    keys = ["course_id", "section_id", "unit_id"]
+    last = latest_by(_wanted(units, ids), [*keys, "locale"], "fetched_at", ["section_title", "unit_title"]).filter("unit_title <> ''")
+    whole = F.concat_ws(" ", F.coalesce("section_title", F.lit("")), "unit_title")
+    rank, extra = [-F.unix_millis("max_fetched_at"), F.col("locale")], [F.max("max_fetched_at").alias("_fetched")]
+    line = [F.desc("_fetched"), F.desc("course_id"), F.col("section_id"), F.col("unit_id")]
+    return _of_targets(last, keys, ["locale", "section_title", "unit_title"], F.col("unit_title"), whole, rank, extra, line, translations, targets, limit)
 
 
 def unit_translation_backlog(units: DataFrame, translations: DataFrame, target: str, limit: int, ids: list[int] = ()) -> DataFrame:

@@ -23,11 +23,6 @@ DIM_TIME = {"published_at": "publishedAt", "last_updated_at": "lastUpdatedAt"}
 META_ARRAY = {"category_slugs": "categorySlugs", "skill_slugs": "skillSlugs", "common_tag_slugs": "commonTagsSlugs"}
 
 
-def parsed(captured: DataFrame, *kinds: str) -> DataFrame:
-    """The named documents as VARIANT; only these are parsed."""
-    return captured.withColumns({k: F.try_parse_json(k) for k in kinds})
-
-
 def active_level(v: Column, path: str = "$.data.levels") -> Column:
     """Code, else title, of the first active level; a first active level without either ends the search."""
     levels = F.try_variant_get(v, path, "array<variant>")
@@ -37,22 +32,14 @@ def active_level(v: Column, path: str = "$.data.levels") -> Column:
 
 def _complete(captured: DataFrame) -> DataFrame:
     """Dimension and facts need both the online and the meta document, as objects. Told by the first character, so that
-    a document that is none is not parsed for it; one that cannot be parsed is dropped by ``_whole``."""
+    a document that is none is not read for it; one that is no JSON is dropped in ``typed``."""
     return captured.filter(F.col("online").rlike(r"^\s*\{") & F.col("meta").rlike(r"^\s*\{"))
 
 
-def _whole(docs: DataFrame) -> DataFrame:
-    return docs.filter(F.col("online").isNotNull() & F.col("meta").isNotNull())
-
-
 def _fit(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.schema(table)])
 
 
-def _data(paths: dict[str, str], coercion) -> dict:
-    return {name: (f"$.data.{p}", coercion) for name, p in paths.items()}
-
-
 def _text(v: Column) -> Column:
     return C.text_at(v, "$")
 
@@ -61,26 +48,40 @@ def _when(v: Column) -> Column:
     return times.parse_ts(C.as_string(v))
 
 
-def course_dim(captured: DataFrame) -> DataFrame:
-    online = _data(DIM_TEXT, C.as_string) | _data(DIM_WHOLE, C.as_int) | _data(DIM_FLAG, C.to_u8)
-    online |= _data(DIM_TIME, lambda v: F.coalesce(_when(v), times.epoch()))
-    online |= _data({"average_star": "review.averageStar"}, C.as_float) | _data({"level_code": "levels"}, lambda v: active_level(v, "$"))
-    meta = _data({"keywords": "keywords"}, C.as_string) | _data(META_ARRAY, C.string_array)
-    docs = _whole(parsed(_complete(captured), "online", "meta"))
-    return _fit(C.extracted(C.extracted(docs, "online", online), "meta", meta), "course_dim")
-
-
-def _priced(captured: DataFrame) -> DataFrame:
-    pay = "paymentInfo"
-    online = _data({"student_count": "studentCount", "like_count": "likeCount", "review_count": "review.count", "krw_regular_price": f"{pay}.krwRegularPrice", "krw_pay_price": f"{pay}.krwPaymentPrice"}, C.as_int)
-    online |= _data({"average_star": "review.averageStar", "regular_price": f"{pay}.regularPrice", "pay_price": f"{pay}.payPrice"}, C.as_float)
-    online |= _data({"_rate": f"{pay}.discountRate", "_title": f"{pay}.discount.title"}, _text)
-    online |= _data({"discount_ended_at": f"{pay}.discount.endedAt"}, _when)
-    other = _data({"_other_rate": "discountRate", "_other_title": "discountTitle"}, _text)
-    docs = _whole(parsed(_complete(captured), "online", "meta", "discounts"))
-    docs = C.extracted(C.extracted(docs, "online", online), "discounts", other)
+PAY = "paymentInfo"
+# Columns by coercion, each with its path below ``data``.
+ONLINE = [
+    (C.as_string, DIM_TEXT),
+    (C.as_int, DIM_WHOLE | {"krw_regular_price": f"{PAY}.krwRegularPrice", "krw_pay_price": f"{PAY}.krwPaymentPrice"}),
+    (C.to_u8, DIM_FLAG),
+    (lambda v: F.coalesce(_when(v), times.epoch()), DIM_TIME),
+    (C.as_float, {"average_star": "review.averageStar", "regular_price": f"{PAY}.regularPrice", "pay_price": f"{PAY}.payPrice"}),
+    (lambda v: active_level(v, "$"), {"level_code": "levels"}),
+    (_text, {"_rate": f"{PAY}.discountRate", "_title": f"{PAY}.discount.title"}),
+    (_when, {"discount_ended_at": f"{PAY}.discount.endedAt"}),
+]
+META = [(C.as_string, {"keywords": "keywords"}), (C.string_array, META_ARRAY)]
+DISCOUNTS = [(_text, {"_other_rate": "discountRate", "_other_title": "discountTitle"})]
+
+
+def typed(captured: DataFrame) -> DataFrame:
+    """A row for each capture with an online and a meta document: all columns of the dimension and of both facts, but
+    for their hashes. Each document is read once, and only as far as the columns that are used need it."""
+    documents = {"online": ONLINE, "meta": META, "discounts": DISCOUNTS}
+    read = {d: C.leaves(F.col(d), [f"data.{p}" for _, paths in groups for p in paths.values()]) for d, groups in documents.items()}
+    once = F.explode(F.array(F.struct(*[r.alias(d) for d, r in read.items()]))).alias("_read")  # a filter beside it would read again
+    docs = _complete(captured).select("fetched_at", "course_id", "locale", "online", "meta", once)
+    docs = docs.filter(C.is_json(F.col("online"), F.col("_read.online")) & C.is_json(F.col("meta"), F.col("_read.meta")))
+    found = {name: coercion(F.col(f"_read.{d}.data.{p}")).alias(name) for d, groups in documents.items() for coercion, paths in groups for name, p in paths.items()}
+    rows = docs.select("fetched_at", "course_id", "locale", *found.values())
     rate = C.int_of(F.coalesce(C.first_non_zero(F.col("_rate"), F.col("_other_rate")), F.lit("0")))
-    return docs.withColumns({"discount_rate": C.clamp_percent(rate), "discount_title": C.first_non_empty(F.col("_title"), F.col("_other_title"))})
+    rows = rows.withColumns({"discount_rate": C.clamp_percent(rate), "discount_title": C.first_non_empty(F.col("_title"), F.col("_other_title"))})
+    return rows.drop("_rate", "_title", "_other_rate", "_other_title")
+
+
+def course_dim(captured: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """``rows``: ``typed(captured)``, if it is there already; the same for both facts."""
+    return _fit(typed(captured) if rows is None else rows, "course_dim")
 
 
 def _sig(*names: str) -> Column:
@@ -89,14 +90,14 @@ def _sig(*names: str) -> Column:
     return H.h64(H.json_sig(*parts))
 
 
-def course_metric(captured: DataFrame) -> DataFrame:
+def course_metric(captured: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     sig = _sig("student_count", "like_count", "review_count", "average_star", "krw_regular_price", "krw_pay_price", "discount_rate", "discount_title", "discount_ended_at")
-    return _fit(_priced(captured).withColumn("metric_hash", sig), "course_metric_fact")
+    return _fit((typed(captured) if rows is None else rows).withColumn("metric_hash", sig), "course_metric_fact")
 
 
-def course_price(captured: DataFrame) -> DataFrame:
+def course_price(captured: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     sig = _sig("regular_price", "pay_price", "discount_rate", "discount_title", "discount_ended_at", "krw_regular_price", "krw_pay_price")
-    return _fit(_priced(captured).withColumn("price_hash", sig), "course_price_fact")
+    return _fit((typed(captured) if rows is None else rows).withColumn("price_hash", sig), "course_price_fact")
 
 
 def curriculum_units(captured: DataFrame) -> DataFrame:
@@ -134,14 +135,15 @@ def course_instructors(captured: DataFrame) -> DataFrame:
 
 
 class Bundle(dict):
-    """Frames by table name, and the captured batch that they are made from."""
+    """Frames by table name, and the frames that several of them are made from."""
 
-    captured: DataFrame | None = None
+    shared: tuple[DataFrame, ...] = ()
 
 
 def bundle(captured: DataFrame, snapshots: DataFrame) -> Bundle:
     """All tables of one captured batch, in the order of schemas.BUNDLE."""
-    made = (snapshots, course_dim(captured), course_metric(captured), course_price(captured), curriculum_units(captured), instructors(captured), course_instructors(captured))
+    rows = typed(captured)
+    made = (snapshots, course_dim(captured, rows), course_metric(captured, rows), course_price(captured, rows), curriculum_units(captured), instructors(captured), course_instructors(captured))
     out = Bundle(zip(schemas.BUNDLE, made))
-    out.captured = captured
+    out.shared = (captured, rows)
     return out

@@ -42,9 +42,8 @@ class KeyedTable:
         commit_id = commit_id or manifests.new_id()
         if manifests.is_committed(self.spark, self.root, commit_id):
             return False
-        folder = f"{self.root}/delta-{commit_id}"
-        self._versions(self._fitted(rows)).write.mode("overwrite").parquet(folder)  # what a failed attempt left there goes
-        return manifests.commit(self.spark, self.root, {"delta": manifests.data_files(self.spark, folder)}, commit_id)
+        self._versions(self._fitted(rows)).write.mode("overwrite").parquet(manifests.staged(self.root, commit_id, "delta"))
+        return manifests.publish(self.spark, self.root, {"delta": self.root}, commit_id)
 
     def deltas(self) -> int:
         """The number of deltas that a read merges."""

@@ -54,22 +54,18 @@ def write_bundle(bundle: dict[str, DataFrame], root: str, commit_id: str | None
     spark = some.sparkSession
     commit_id = commit_id or manifests.new_id()
     tables = [t for t in schemas.BUNDLE if t in bundle]
-    folders = {t: f"{root}/{t}/{manifests.BUNDLE}{commit_id}" for t in tables}
     if not manifests.is_committed(spark, root, commit_id):
         for rows in shared:
             rows.persist()
         try:
             for table in tables:
-                fitted(bundle[table], table).write.mode("overwrite").parquet(folders[table])
-            manifests.commit(spark, root, {t: manifests.data_files(spark, f) for t, f in folders.items()}, commit_id)
-        except Exception:
-            for folder in folders.values():
-                manifests.delete(spark, folder)
-            raise
+                fitted(bundle[table], table).write.mode("overwrite").parquet(manifests.staged(root, commit_id, table))
+            manifests.publish(spark, root, {t: f"{root}/{t}" for t in tables}, commit_id)
         finally:
             for rows in shared:
                 rows.unpersist()
-    return {t: manifests.read_files(spark, manifests.data_files(spark, f), schemas.schema(t)) for t, f in folders.items()}
+            manifests.delete(spark, f"{root}/{manifests.STAGED}/{commit_id}")
+    return {t: manifests.read_files(spark, manifests.files_of(spark, f"{root}/{t}", commit_id), schemas.schema(t)) for t in tables}
 
 
 def write_with_outbox(rows: DataFrame, table: str, writer, outbox: DataFrame, database: str = "", chunk: int = 100) -> DataFrame | None:
@@ -103,10 +99,10 @@ def send_with_outbox(rows: DataFrame, table: str, send: Callable[[str], None], r
     late = chunks.join(done.select(F.col("payload_hash").cast(chunks.schema["payload_hash"].dataType).alias("payload_hash"), "error"), "payload_hash")
     waiting = late.filter(box.is_temporary(F.col("error")))
     fresh = fitted(box.enqueue(waiting, read_or_empty(spark, root, "insert_outbox"), database, table, columns, F.col("error")), "insert_outbox")
-    folder = f"{root}/insert_outbox/{manifests.BUNDLE}{(commit_id := manifests.new_id())}"
-    fresh.write.parquet(folder)
-    manifests.commit(spark, root, {"insert_outbox": manifests.data_files(spark, folder)}, commit_id)
+    commit_id = manifests.new_id()
+    fresh.write.parquet(manifests.staged(root, commit_id, "insert_outbox"))
+    manifests.publish(spark, root, {"insert_outbox": f"{root}/insert_outbox"}, commit_id)
     other = done.filter(~box.is_temporary(F.col("error"))).first()
     if other:
         raise RuntimeError(other["error"])
-    return spark.read.schema(schemas.schema("insert_outbox")).parquet(folder).count()
+    return manifests.read_files(spark, manifests.files_of(spark, f"{root}/insert_outbox", commit_id), schemas.schema("insert_outbox")).count()

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
+from datetime import datetime, timezone
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,17 +58,26 @@ def _chosen(rows: DataFrame) -> DataFrame:
 
 
 def recent_head(search_pages: DataFrame, known: DataFrame, most: int, page_size: int = 100) -> tuple[DataFrame, int]:
-    """(page, pos, url, course_id, locale) of the newest courses that are not known, ``most`` at most, and their number;
-    after an error none, with a warning."""
+    """(page, pos, url, course_id, locale) of the newest courses that are not known, ``most`` at most, by value, and their
+    number; after an error of the data or the cluster none, with a warning.
+
+    The hits are kept while page sizes and rows are taken from them, so that each page is opened once.
+    """
     keys = ["course_id", "locale"]
+    shape = "page long, pos int, url string, course_id long, locale string"
+    spark = known.sparkSession
     try:
         hits = search.search_hits(search_pages).select("page", "pos", "url")
-        hits = hits.withColumns({"course_id": links.course_id_from_url(F.col("url")), "locale": links.locale_from_url(F.col("url"))})
-        newest = discovery.new_rows(search.paged_union(hits, keys, page_size), known, keys).orderBy("page", "pos").limit(most)
-        return newest, newest.count()
-    except Exception as e:  # noqa: BLE001 - whatever is wrong with the head, the scan goes on
+        hits = hits.withColumns({"course_id": links.course_id_from_url(F.col("url")), "locale": links.locale_from_url(F.col("url"))}).persist()
+        try:
+            newest = discovery.new_rows(search.paged_union(hits, keys, page_size), known, keys).orderBy("page", "pos").limit(most).select(*(f.split()[0] for f in shape.split(", ")))
+            rows = newest.collect()  # ``most`` at most
+        finally:
+            hits.unpersist()
+        return spark.createDataFrame(rows, newest.schema), len(rows)
+    except PySparkException as e:  # whatever is wrong with the head, the scan goes on
         warnings.warn(f"newest courses left out: {e}", stacklevel=2)
-        return known.sparkSession.createDataFrame([], "page long, pos int, url string, course_id long, locale string"), 0
+        return spark.createDataFrame([], shape), 0
 
 
 def refresh_existing(snapshots: DataFrame, pages: DataFrame, queries: DataFrame, api: DataFrame, limit: int = 100):
@@ -79,9 +90,12 @@ def refresh_existing(snapshots: DataFrame, pages: DataFrame, queries: DataFrame,
 def collect_urls(texts: DataFrame, pages: DataFrame, queries: DataFrame, api: DataFrame) -> dict[str, DataFrame]:
     """The bundle of an explicit URL list with one timestamp for all; any URL without a course is fatal."""
     urls = documents.required_urls(texts)
-    mine = _of(urls, pages, queries, api)
-    bundle, errors = flattened(mine[0].withColumn("fetched_at", F.current_timestamp()), *mine[1:])
-    lost = urls.join(pages, "url", "left_anti").select("url").unionByName(errors.select("url")).first()
+    lost = urls.join(pages, "url", "left_anti").select("url").first()
+    if lost is None:
+        mine = _of(urls, pages, queries, api)
+        now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
+        bundle, errors = flattened(mine[0].withColumn("fetched_at", now), *mine[1:])
+        lost = errors.select("url").first()  # needs the pages' ids only
     if lost:
         raise ValueError(f"no course at {lost[0]}")
     return bundle
@@ -90,14 +104,15 @@ def collect_urls(texts: DataFrame, pages: DataFrame, queries: DataFrame, api: Da
 def translate_display(dim: DataFrame, units: DataFrame, course_done: DataFrame, unit_done: DataFrame, targets: list[str], fn, model: str = "model", batch: int = 12, most: int = 80):
     """(course rows, unit rows, failures): courses of all targets first, then units; only successes use the quota.
 
-    Each candidate is sent to the translator once: its answer comes to the driver (``batch`` rows a target at most), so
-    that no later action asks again. Targets are asked in rounds of as many as surely fit in what is left of the quota,
-    so no more than the quota and the failures are asked, and a target's limit is the same as if they went one by one.
+    The candidates of all targets come from one scan of each table and come to the driver (``batch`` rows a target at
+    most). Each is sent to the translator once, as its answer comes to the driver, too. Targets are asked in rounds of
+    as many as surely fit in what is left of the quota, so no more than the quota and the failures are asked, and a
+    target's limit is the same as if they went one by one.
     """
     courses, lost, left = _in_rounds(
-        lambda target, limit: backlog.translation_backlog(dim, course_done, target, limit), list(backlog.COURSE_TEXTS), translate.course_translations, targets, fn, model, batch, most)
+        backlog.backlog_of_targets(dim, course_done, targets, batch), list(backlog.COURSE_TEXTS), translate.course_translations, targets, fn, model, batch, most)
     lessons, lost_units, _ = _in_rounds(
-        lambda target, limit: backlog.unit_translation_backlog(units, unit_done, target, limit), ["section_title", "unit_title"], translate.unit_translations, targets, fn, model, batch, left)
+        backlog.unit_backlog_of_targets(units, unit_done, targets, batch), ["section_title", "unit_title"], translate.unit_translations, targets, fn, model, batch, left)
     empty = [dim.sparkSession.createDataFrame([], schemas.schema(t)) for t in ("course_display_translation", "curriculum_display_translation")]
     failures = dim.sparkSession.createDataFrame([], "course_id long, target_language string")
     for frame in lost + lost_units:
@@ -112,16 +127,15 @@ def _together(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
     return out
 
 
-def _in_rounds(candidates: Callable[[str, int], DataFrame], fields: list[str], finish: Callable, targets: list[str], fn, model: str, batch: int, left: int) -> tuple[list[DataFrame], list[DataFrame], int]:
+def _in_rounds(candidates: DataFrame, fields: list[str], finish: Callable, targets: list[str], fn, model: str, batch: int, left: int) -> tuple[list[DataFrame], list[DataFrame], int]:
     """(frames of rows, frames of failures, what is left of the quota)."""
     rows, lost, todo = [], [], list(targets)
+    found = candidates.collect() if left > 0 else []  # batch rows a target at most
     while todo and left > 0:
         many = max(1, left // batch)
         now, todo = todo[:many], todo[many:]
-        asked = None
-        for target in now:
-            one = candidates(target, min(batch, left)).withColumn("target", F.lit(target))
-            asked = one if asked is None else asked.unionByName(one)
+        some = [r for target in now for r in found if r["target"] == target and r["rn"] <= min(batch, left)]
+        asked = candidates.sparkSession.createDataFrame(some, candidates.schema).drop("rn")
         answered = translate.apply_translator(translate.requests(asked, F.col("target"), fields, model), fn)
         answered = asked.sparkSession.createDataFrame(answered.collect(), answered.schema)  # batch rows a target at most
         good, bad = finish(answered, model)

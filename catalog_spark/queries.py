@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import schemas
 from .functions import coerce, hashing, links, text, times
-from .operators import backlog, capture, discovery, events, flatten, latest, outbox, sinks, state, translate
+from .operators import backlog, capture, discovery, event_sink, events, flatten, keyed, latest, ledger, outbox, sinks, state, translate
 from .plans import pipelines
 from .sources import documents, pages, search, sitemaps
 
@@ -337,7 +339,7 @@ def q_merge_payloads(spark, sf):
 
 
 def _orders_as_captures(spark, sf) -> DataFrame:
-    o = _t(spark, sf, "orders")
+    o = _t(spark, sf, "orders").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))  # few packed rows a file become long documents
     c = F.col
     levels = F.array(F.struct(F.lit("x").alias("code"), F.lit(False).alias("isActive")), F.struct(F.lower("o_orderpriority").alias("code"), (c("o_orderkey") % 2 == 0).alias("isActive")))
     pay = F.struct(c("o_totalprice").alias("payPrice"), F.lit("100.9").alias("regularPrice"), (c("o_orderkey") % 150).alias("discountRate"), F.struct(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("endedAt")).alias("discount"))
@@ -713,7 +715,7 @@ def q_collect_urls(spark, sf):
 
 
 def _display_sql(target: str, script: str, limit: int, done: str) -> str:
-    one = SQL["q_backlog"].replace("[А-Яа-яЁёІіЇїЄєҐґ]", f"[{text.SCRIPTS[script]}]").replace("LIMIT 100", f"LIMIT {limit}")
+    one = SQL["q_backlog_whole"].replace("[А-Яа-яЁёІіЇїЄєҐґ]", f"[{text.SCRIPTS[script]}]").replace("LIMIT 100", f"LIMIT {limit}")
     one = one.replace("SELECT doc_id // 2 FROM labels WHERE quality = 1", done)
     return f"SELECT '{target}' AS target_language, course_id, 'T' AS title FROM ({one})"
 
@@ -728,20 +730,164 @@ def q_translate_display(spark, sf):
         return [json.dumps({"choices": [{"message": {"content": json.dumps({"title": "T"})}}]}) for _ in asked]
 
     nothing = {t: spark.createDataFrame([], schemas.schema(t)) for t in ("course_curriculum_unit", "curriculum_display_translation")}
-    rows, _, _ = pipelines.translate_display(_dim(spark, sf), nothing["course_curriculum_unit"], _done(spark, sf), nothing["curriculum_display_translation"], ["ru", "ar"], speak, most=20)
+    rows, _, _ = pipelines.translate_display(_dim(spark, sf, WHOLE), nothing["course_curriculum_unit"], _done(spark, sf), nothing["curriculum_display_translation"], ["ru", "ar"], speak, most=20)
     return rows.select("target_language", "course_id", "title")
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 0 AS waiting FROM supplier")
 def q_drain_outbox(spark, sf):
-    """All chunks of suppliers (50 of 100 rows at most in a run), written by the drain, and how many wait afterwards."""
+    """All chunks of suppliers, about 100 rows each, written by as many runs of the drain as 50 chunks a run take, and how
+    many wait afterwards."""
     root = sinks.scratch(spark)
     rows = _t(spark, sf, "supplier")
     none = spark.createDataFrame([], schemas.schema("insert_outbox"))
-    size = max(100, -(-rows.count() // 50))
-    box = outbox.enqueue(outbox.chunked(rows, rows.columns, ["s_suppkey"], size), none, "db", "supplier", rows.columns, "timeout")
-    box.write.parquet(f"{root}/insert_outbox")
-    kept = spark.read.schema(schemas.schema("insert_outbox")).parquet(f"{root}/insert_outbox")
+    box = outbox.enqueue(outbox.chunked(rows, rows.columns, ["s_suppkey"]), none, "db", "supplier", rows.columns, "timeout")
     writers = {"supplier": lambda df: df.write.mode("append").parquet(f"{root}/supplier")}
-    marked, _, _ = pipelines.drain_outbox_job(spark, kept, writers, {"supplier": rows.schema}, 60)
-    return spark.read.parquet(f"{root}/supplier").withColumn("waiting", F.lit(outbox.pending(marked, None).count()))
+    run, done = 0, 1
+    while done:
+        box.write.parquet(f"{root}/insert_outbox-{run}")
+        kept = spark.read.schema(schemas.schema("insert_outbox")).parquet(f"{root}/insert_outbox-{run}")
+        box, done, _ = pipelines.drain_outbox_job(spark, kept, writers, {"supplier": rows.schema})
+        run += 1
+    return spark.read.parquet(f"{root}/supplier").withColumn("waiting", F.lit(outbox.pending(kept, None).count()))
+
+
+# Commits, incremental state, deliveries and the event log
+
+
+def _with_curriculum(captured: DataFrame) -> DataFrame:
+    """A section and a unit for each course."""
+    unit = F.struct((F.col("course_id") * 2).alias("id"), F.lit("u<1>").alias("title"), F.lit("LECTURE").alias("type"), (F.col("course_id") % 1000).alias("runtime"), (F.col("course_id") % 2 == 0).alias("isPreview"), F.when(F.col("course_id") % 3 == 0, F.col("course_id")).alias("quizId"))
+    section = F.struct(F.col("course_id").alias("id"), F.lit("s").alias("title"), F.array(unit).alias("units"))
+    return captured.withColumn("curriculum", F.to_json(F.struct(F.struct(F.array(section).alias("curriculum")).alias("data"))))
+
+
+@query("""
+SELECT 'failed' AS step, unnest(['course_dim', 'course_price_fact', 'course_curriculum_unit']) AS table_name, 0 AS n
+UNION ALL SELECT 'retried', unnest(['course_dim', 'course_price_fact']), count(*) FROM orders WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT 'retried', 'course_curriculum_unit', count(*) FROM orders""")
+def q_bundle_commit(spark, sf):
+    """A bundle whose last table fails leaves nothing to read; its retry makes all tables visible at once."""
+    root = sinks.scratch(spark)
+    made = flatten.bundle(_with_curriculum(_orders_as_captures(spark, sf)), spark.createDataFrame([], schemas.schema("course_snapshot_raw")))
+    names = ("course_dim", "course_price_fact", "course_curriculum_unit")
+    bundle = flatten.Bundle({t: made[t] for t in names})
+    bundle.shared = made.shared
+    broken = flatten.Bundle(bundle | {names[2]: bundle[names[2]].withColumn("unit_title", F.when(F.col("course_id") >= 0, F.raise_error(F.lit("target is down"))))})
+    count = lambda step: latest.counts({t: sinks.read_or_empty(spark, root, t) for t in names}).withColumn("step", F.lit(step))
+    try:
+        sinks.write_bundle(broken, root, "orders")
+        raise AssertionError("the bundle is broken")
+    except PySparkException:
+        failed = spark.createDataFrame(count("failed").collect(), "table_name string, n long, step string")  # a row a table
+    sinks.write_bundle(bundle, root, "orders")
+    return failed.unionByName(count("retried")).select("step", "table_name", "n")
+
+
+@query(f"""SELECT o_orderkey AS course_id, o_orderkey * 2 AS unit_id, (SELECT {_H64} FROM (SELECT sha256('[' || o_orderkey || ',"s",' || o_orderkey * 2 || ',"u\\u003c1\\u003e","LECTURE",' || o_orderkey % 1000 || ',' ||
+  CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END || ',0,0,' || CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey::VARCHAR ELSE 'null' END || ',null,0]') AS h)) AS unit_hash FROM orders""")
+def q_unit_hash(spark, sf):
+    units = flatten.curriculum_units(_with_curriculum(_orders_as_captures(spark, sf)))
+    return units.select("course_id", "unit_id", F.col("unit_hash").cast("string").alias("unit_hash"))
+
+
+@query("""
+SELECT step, user_id, event_type, value, last_ms FROM (VALUES ('merged'), ('compacted')) AS s(step), (
+  SELECT user_id, event_type, value, epoch_us(ts) // 1000 AS last_ms FROM events WHERE user_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)""")
+def q_keyed_state(spark, sf):
+    """Users' latest events, appended in three deltas: read as a base and a delta, and again from a new base."""
+    schema = T.StructType.fromDDL("user_id long, ts timestamp, event_id long, event_type string, value double")
+    table = keyed.KeyedTable(spark, f"{sinks.scratch(spark)}/users", schema, ["user_id"], "ts")
+    rows = _t(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for k in range(3):
+        table.append(rows.filter(F.pmod("event_id", F.lit(3)) == k), f"delta-{k}")
+        if k == 1:
+            table.compact()
+    merged = table.read()
+    table.compact()
+    both = merged.withColumn("step", F.lit("merged")).unionByName(table.read().withColumn("step", F.lit("compacted")))
+    return both.select("step", "user_id", "event_type", "value", _ms("ts").alias("last_ms"))
+
+
+@query("SELECT c_custkey, c_name, 1::BIGINT AS times FROM customer")
+def q_delivery(spark, sf):
+    """Customers sent in chunks, of which some fail at first; what failed is sent again, what was sent is not, though the
+    whole delivery is repeated. How often each row arrives."""
+    root = sinks.scratch(spark)
+
+    def receive(lines):
+        import hashlib
+
+        from pyarrow import fs
+
+        store, path = fs.FileSystem.from_uri(f"{root}/received")
+        store.create_dir(path, recursive=True)
+        with store.open_append_stream(f"{path}/{hashlib.sha256(lines.encode()).hexdigest()}.json") as f:
+            f.write(lines.encode() + b"\n")
+
+    def flaky(lines):
+        if '7,"c_name"' in lines.split("\n")[0]:
+            raise RuntimeError("timeout")
+        receive(lines)
+
+    rows = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    chunks = outbox.chunked(rows, rows.columns, ["c_custkey"])
+    first = ledger.deliver(chunks, flaky, root, "first")
+    failed = first.filter("step = 'failed'").select("payload_hash")
+    late = chunks.withColumn("payload_hash", F.col("payload_hash").cast("string")).join(failed, "payload_hash")
+    ledger.deliver(late, receive, root, "second")
+    ledger.deliver(chunks, receive, root, "first")
+    return spark.read.schema("c_custkey long, c_name string").json(f"{root}/received").groupBy("c_custkey", "c_name").agg(F.count("*").alias("times"))
+
+
+@query(SQL["q_events"].replace("SELECT 'shop.orders.v1'", "SELECT true AS in_place, 'shop.orders.v1'").replace("SELECT 'shop.customer.v1'", "SELECT true, 'shop.customer.v1'"))
+def q_event_log(spark, sf):
+    """The events of ``q_events`` written to the log, twice under one commit, and read back from it; ``in_place`` tells
+    whether an event lies in its key's partition."""
+    root = sinks.scratch(spark)
+    o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("timestamp").alias("fetched_at"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("u"), F.col("o_orderkey").cast("string"))).alias("source_url"))
+    c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.timestamp_seconds(F.lit(1_600_000_000)).alias("updated_at"))
+    framed = events.kafka_frame(events.bundle_events({"orders": o, "customer": c}, namespace="shop"))
+    for _ in range(2):
+        event_sink.write_events(framed, root, commit_id="all")
+    e = event_sink.read_events(spark, root).withColumn("e", F.from_json("value", "event_type string, url string, payload string, created_at string"))
+    in_place = F.col("partition") == event_sink.partition_of(F.col("key"), 8)
+    return e.select(in_place.alias("in_place"), "e.event_type", F.when(F.col("e.url") == "", "by id").otherwise(F.col("key")).alias("key"), F.get_json_object("e.payload", "$.k").cast("long").alias("payload_key"), "e.created_at")
+
+
+_SCRIPT_OF = {"ru": "cyrillic", "ar": "arabic", "hi": "devanagari", "th": "thai"}
+
+
+@query(" UNION ALL ".join(_display_sql(t, s, 15, "SELECT doc_id // 2 FROM labels WHERE quality = 1" if t == "ru" else "SELECT -1").replace("course_id, 'T' AS title", "course_id, locale, title") for t, s in _SCRIPT_OF.items()))
+def q_backlog_targets(spark, sf):
+    """What lacks a translation in each of four languages, from one scan."""
+    return backlog.backlog_of_targets(_dim(spark, sf, WHOLE), _done(spark, sf), list(_SCRIPT_OF), 15).select(F.col("target").alias("target_language"), "course_id", "locale", "title")
+
+
+@query(SQL["q_backlog_whole"].replace("WHERE locale IN ('ko', 'en')", "WHERE locale IN ('ko', 'en') AND doc_id // 2 IN (SELECT n_nationkey * 7 FROM nation WHERE n_nationkey > 0)"))
+def q_backlog_ids(spark, sf):
+    """The backlog of an explicit list of courses, which comes as a text."""
+    said = _t(spark, sf, "nation").agg(F.concat(F.array_join(F.collect_list((F.col("n_nationkey") * 7).cast("string")), ", "), F.lit(", x, 7"))).first()[0]
+    ids = spark.range(1).select(text.id_list(F.lit(said)).alias("ids")).first()["ids"]
+    return backlog.translation_backlog(_dim(spark, sf, WHOLE), _done(spark, sf), "ru", 100, ids)
+
+
+@query("SELECT 'ru' AS target_language, course_id, section_id, unit_id, section_title, 'U' AS unit_title, locale AS source_locale FROM (" + SQL["q_unit_backlog"].replace("LIMIT 200", "LIMIT 12") + ")")
+def q_unit_translations(spark, sf):
+    """Units translated end to end: twelve of the backlog, each asked once; blank section titles stay the source's."""
+
+    def speak(asked):
+        import json
+
+        return [json.dumps({"choices": [{"message": {"content": json.dumps({"unit_title": " U ", "section_title": ""})}}]}) for _ in asked]
+
+    c = F.col
+    locale = F.when(c("l_returnflag") == "A", "ko").when(c("l_returnflag") == "N", "en").otherwise("ja")
+    units = _t(spark, sf, "lineitem").select(
+        c("l_orderkey").alias("course_id"), c("l_linenumber").cast("long").alias("section_id"), c("l_partkey").alias("unit_id"), locale.alias("locale"), c("l_shipdate").cast("timestamp").alias("fetched_at"),
+        c("l_linestatus").alias("section_title"), F.concat("l_returnflag", "l_linestatus").alias("unit_title"), "l_quantity",
+    )
+    done = units.filter("l_quantity > 25").select("course_id", "section_id", "unit_id", F.lit("ru").alias("target_language"), F.lit("success").alias("generation_status"))
+    nothing = {t: spark.createDataFrame([], schemas.schema(t)) for t in ("course_dim", "course_display_translation")}
+    _, rows, _ = pipelines.translate_display(nothing["course_dim"], units, nothing["course_display_translation"], done, ["ru"], speak)
+    return rows.select("target_language", "course_id", "section_id", "unit_id", "section_title", "unit_title", "source_locale")
