@@ -1,7 +1,9 @@
 """URL verdicts by rules, carried to aliases over redirect and canonical-link edges.
 
-Every URL has a canonical form (no fragment, no tracking parameters, no ``www.`` before a name of two parts, no trailing
-slash or ``.html``: conventions of sites, not proofs that two addresses show one page); that link, a page's ``<link rel=canonical>`` and its ``<meta http-equiv=refresh>`` are alias edges. The
+Every URL has a canonical form, in which only spellings of one address agree: no fragment, scheme and host in lower case,
+no default port, and a path of ``/`` at least. That link, a page's ``<link rel=canonical>`` and its ``<meta http-equiv=refresh>``
+are alias edges. With ``guesses`` the form also drops the scheme, tracking parameters, ``www.`` before a name of two parts,
+a trailing slash and ``.html``: conventions of many sites, which prove nothing about one, so they are no default. The
 connected components of all edges are sets of aliases. A page that a rule fits has the rule's verdict. Any other
 page takes its component's: allowed if a member is explicitly allowed, else blocked if one is blocked, else allowed.
 """
@@ -21,6 +23,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
 QUERY = r"(?s)^.*?://[^?#]*\?([^#]*)"
+SCHEME = r"(?s)^(.*?)://"
+ASKED = r"(?s)^.*?://[^?#]*(\?[^#]*)"
+PORTS = {"http": ":80$", "https": ":443$"}
 TRACKING = r"^(utm_[^=]*|ref|gclid|fbclid)(=.*)?$"
 WWW = r"^www\.([^.]+\..+)$"
 TAIL = r"(/+|/index\.html?|\.html?)$"
@@ -42,8 +47,17 @@ def path(url: Column) -> Column:
     return _part(url, PATH)
 
 
-def canonical(url: Column) -> Column:
-    """host + trimmed path + remaining parameters in order; empty for what is no absolute URL."""
+def scheme(url: Column) -> Column:
+    return F.translate(_part(url, SCHEME), UPPER, LOWER)
+
+
+def canonical(url: Column, guesses: bool = False) -> Column:
+    """One spelling of an absolute URL's address; with ``guesses`` host, trimmed path and remaining parameters in order."""
+    if not guesses:
+        name = host(url)
+        for known, port in PORTS.items():
+            name = F.when(scheme(url) == known, F.regexp_replace(host(url), port, "")).otherwise(name)
+        return F.concat(scheme(url), F.lit("://"), name, F.when(path(url) == "", F.lit("/")).otherwise(path(url)), _part(url, ASKED))
     kept = F.filter(F.split(_part(url, QUERY), "&"), lambda p: (p != "") & ~p.rlike(TRACKING))
     tail = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(F.array_sort(kept), "&"))).otherwise(F.lit(""))
     return F.concat(F.regexp_replace(host(url), WWW, "$1"), F.regexp_replace(path(url), TAIL, ""), tail)
@@ -51,12 +65,12 @@ def canonical(url: Column) -> Column:
 
 def resolved(link: Column, url: Column) -> Column:
     """A link's absolute form as seen from ``url``; null if there is none."""
-    root = F.concat(F.lit("x://"), host(url))
+    root = F.concat(scheme(url), F.lit("://"), host(url))
     folder = F.regexp_replace(path(url), "[^/]*$", "")
     return (
         F.when(link.isNull() | (link == "") | (host(url) == ""), F.lit(None).cast("string"))
         .when(link.contains("://"), link)
-        .when(link.startswith("//"), F.concat(F.lit("x:"), link))
+        .when(link.startswith("//"), F.concat(scheme(url), F.lit(":"), link))
         .when(link.startswith("/"), F.concat(root, link))
         .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), link))
     )
@@ -78,23 +92,23 @@ def node(url: Column) -> Column:
     return F.concat(F.lit("u"), url)
 
 
-def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str | None = "html") -> DataFrame:
+def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str | None = "html", guesses: bool = False) -> DataFrame:
     """(a, b): each URL with its canonical form, and canonical forms of pages with those of their link targets."""
     url = F.col(url_col)
-    out = [pages.filter(host(url) != "").select(node(url).alias("a"), F.concat(F.lit("="), canonical(url)).alias("b"))]
+    out = [pages.filter(host(url) != "").select(node(url).alias("a"), F.concat(F.lit("="), canonical(url, guesses)).alias("b"))]
     if html_col:
         html = F.col(html_col)
         for tag, goal in ((CANONICAL, HREF), (REFRESH, GOAL)):
             link = resolved(F.regexp_extract(F.regexp_extract(html, tag, 0), goal, 1), url)
             near = pages.select(url.alias("u"), link.alias("t")).filter("t IS NOT NULL")
-            out.append(near.select(F.concat(F.lit("="), canonical(F.col("u"))).alias("a"), F.concat(F.lit("="), canonical(F.col("t"))).alias("b")))
+            out.append(near.select(F.concat(F.lit("="), canonical(F.col("u"), guesses)).alias("a"), F.concat(F.lit("="), canonical(F.col("t"), guesses)).alias("b")))
     edges = out[0]
     for e in out[1:]:
         edges = edges.union(e)
     return edges
 
 
-def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", rules=RULES) -> DataFrame:
+def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", rules=RULES, guesses: bool = False) -> DataFrame:
     """(id, host, path, rule, verdict, component) for each row.
 
     A null URL or one without ``://`` has empty host and path, no aliases and no component, and is allowed. Repeated
@@ -105,7 +119,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     which, verdict = rule(F.col("host"), F.col("path"), rules)
     seen = pages.select(F.col(id_col).alias("id"), url.alias("url"), host(url).alias("host"), path(url).alias("path"))
     seen = materialise(seen.withColumn("rule", which).withColumn("told", verdict))
-    roots = connected_components(alias_edges(pages, url_col, html_col), "a", "b")
+    roots = connected_components(alias_edges(pages, url_col, html_col, guesses), "a", "b")
     alias = seen.join(roots, node(seen.url) == roots.node, "left").drop("node").withColumnRenamed("root", "component")
     told = alias.filter("component IS NOT NULL").groupBy("component").agg(
         F.max((F.col("told") == "allow").cast("int")).alias("allowed"), F.max((F.col("told") == "block").cast("int")).alias("blocked")
@@ -117,8 +131,8 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     return out
 
 
-def digest(pages: DataFrame) -> DataFrame:
-    return judge(pages).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+def digest(pages: DataFrame, guesses: bool = False) -> DataFrame:
+    return judge(pages, guesses=guesses).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
 def _q(text: str) -> str:
@@ -129,9 +143,11 @@ def _sql() -> str:
     h = lambda u: f"translate(coalesce(regexp_extract({u}, {_q(HOST)}, 1), ''), {_q(UPPER)}, {_q(LOWER)})"
     p = lambda u: f"coalesce(regexp_extract({u}, {_q(PATH)}, 1), '')"
 
+    sch = lambda u: f"translate(coalesce(regexp_extract({u}, {_q(SCHEME)}, 1), ''), {_q(UPPER)}, {_q(LOWER)})"
+
     def canon(u: str) -> str:
-        kept = f"list_filter(string_split(coalesce(regexp_extract({u}, {_q(QUERY)}, 1), ''), '&'), lambda x: x <> '' AND NOT regexp_matches(x, {_q(TRACKING)}))"
-        return f"regexp_replace({h(u)}, {_q(WWW)}, '\\1') || regexp_replace({p(u)}, {_q(TAIL)}, '') || CASE WHEN len({kept}) > 0 THEN '?' || array_to_string(list_sort({kept}), '&') ELSE '' END"
+        ports = " ".join(f"WHEN {_q(k)} THEN regexp_replace({h(u)}, {_q(port)}, '')" for k, port in PORTS.items())
+        return f"{sch(u)} || '://' || CASE {sch(u)} {ports} ELSE {h(u)} END || CASE WHEN {p(u)} = '' THEN '/' ELSE {p(u)} END || coalesce(regexp_extract({u}, {_q(ASKED)}, 1), '')"
 
     def link(tag: str, goal: str) -> str:
         return f"regexp_extract(regexp_extract(html, {_q(tag)}, 0), {_q(goal)}, 1)"
@@ -139,8 +155,8 @@ def _sql() -> str:
     def target(t: str) -> str:
         folder = f"regexp_replace({p('url')}, '[^/]*$', '')"
         return (
-            f"CASE WHEN {t} IS NULL OR {t} = '' OR {h('url')} = '' THEN NULL WHEN contains({t}, '://') THEN {t} WHEN starts_with({t}, '//') THEN 'x:' || {t} "
-            f"WHEN starts_with({t}, '/') THEN 'x://' || {h('url')} || {t} ELSE 'x://' || {h('url')} || CASE WHEN {folder} = '' THEN '/' ELSE {folder} END || {t} END"
+            f"CASE WHEN {t} IS NULL OR {t} = '' OR {h('url')} = '' THEN NULL WHEN contains({t}, '://') THEN {t} WHEN starts_with({t}, '//') THEN {sch('url')} || ':' || {t} "
+            f"WHEN starts_with({t}, '/') THEN {sch('url')} || '://' || {h('url')} || {t} ELSE {sch('url')} || '://' || {h('url')} || CASE WHEN {folder} = '' THEN '/' ELSE {folder} END || {t} END"
         )
 
     cases = {"rule": "", "told": ""}

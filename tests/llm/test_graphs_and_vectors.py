@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ def test_url_verdicts(spark):
         (4, "http://d.org/q", link.format("//c.net/y")), (5, "http://e.net/", ""), (6, "https://www.f.net/p.html#t", ""), (7, "http://f.net/p", link.format("http://a.com/de/zz")), (8, None, None), (9, "no scheme", ""),
         (10, "HTTP://Sub.Example.ORG/en/12?x", ""), (11, "http://example.org/es", ""), (12, "http://example.org/es/q", ""), (12, "http://example.org/es/q", ""), (None, "http://xcom/fr/", ""),
     ]
-    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.digest(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("id", F.lit(0))).collect()}
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.digest(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("id", F.lit(0)), guesses=True).collect()}
     assert got[1][2:] == ("com/de/", "block") and got[4][2:] == ("org/", "allow")
     assert got[2][2:] == (None, "allow") and got[3][3] == "allow"  # an alias is allowed explicitly
     assert got[6][2:] == (None, "allow") and got[7][2:] == (None, "allow")
@@ -47,11 +48,36 @@ def test_url_verdicts(spark):
     assert got[10] == ("sub.example.org", "/en/12", "example.org/en/1", "block")
     assert got[11][2] == "org/" and got[12][3] == "block" and got[None][2] is None
     blocked = rows[:3] + rows[4:]
-    got = {r["page_id"]: r["verdict"] for r in urls.digest(spark.createDataFrame(blocked, "page_id long, url string, html string")).collect()}
+    got = {r["page_id"]: r["verdict"] for r in urls.digest(spark.createDataFrame(blocked, "page_id long, url string, html string"), guesses=True).collect()}
     assert got[2] == got[3] == "block"
     assert urls.digest(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_only_links_and_equal_addresses_make_aliases(spark):
+    link = '<html><link rel="canonical" href="{}"></html>'
+    rows = [
+        (1, "https://a.com/de/x", ""), (2, "http://b.net/x", link.format("HTTPS://A.com:443/de/x#part")), (3, "http://b.net/x.html?ref=1", ""), (4, "http://www.b.net/x", ""), (5, "http://b.net:80/x#y", ""), (6, "https://b.net/x", ""),
+        (7, "http://c.net", link.format("//b.net/x")), (8, "http://C.net/?", ""), (9, "http://c.net/", ""), (10, "http://d.net/p/q", '<meta http-equiv="refresh" content="0; url=../r">'), (11, "http://d.net/p/../r", ""),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in urls.digest(df).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {1, 2, 5, 7, 9}
+    component = {r["id"]: r["component"] for r in urls.judge(df).collect()}
+    assert component[10] == component[11] and component[8] != component[9]
+    con = duckdb.connect()
+    con.register("pages", df.toPandas())
+    assert {(r[0], r[-1]) for r in con.sql(urls.SQL).fetchall()} == set(got.items())
+
+
+def test_repeated_query_ids_ask_with_one_vector(spark):
+    rows = [(i, [float(i), 1.0, 0.5]) for i in range(1, 40)] + [(20, [-3.0, 2.0, 1.0]), (20, [50.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    both = [sorted(map(tuple, neighbours.nearest(d, F.col("vec_id") == 20, k=5, certainty=0.999999).collect())) for d in (df, df.repartition(7).orderBy(F.desc("embedding")))]
+    others = {i: np.array(v) for i, v in rows if i != 20}
+    want = sorted(((float(v @ [-3.0, 2.0, 1.0]), -i) for i, v in others.items()), reverse=True)[:5]
+    assert both[0] == both[1] == [(20, k + 1, -i, s) for k, (s, i) in enumerate(want)]
+
+
 def exact(vectors, queries, k=20):
     ids = np.array(sorted(vectors))
     x = np.array([vectors[i] for i in ids])
