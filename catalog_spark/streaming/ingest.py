@@ -3,12 +3,16 @@ the crawl state and the outbox."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators import capture, flatten, sinks, state
+from ..sources import manifests
 
 CAPTURED = "fetched_at timestamp, course_id long, locale string, source_url string, online string, meta string, curriculum string, discounts string, contents string"
 
@@ -27,6 +31,32 @@ def snapshots(batch: DataFrame) -> DataFrame:
     return capture.snapshot_rows(rows.select("fetched_at", "course_id", "locale", "source_url", key.alias("query_key"), F.col("d.payload_json").alias("payload_json")))
 
 
+def send_batch(root: str, send: Callable[[str, str], None], database: str = "", chunk: int = 100):
+    """A ``foreachBatch`` function that sends the bundle's tables in chunks: ``send(table, lines)`` runs in the tasks.
+
+    Each table of a batch is a delivery of its own in the ledger below ``root``, so a batch that runs again goes on
+    where it was; chunks that fail for a temporary error go to the outbox one by one, and the others are not held up.
+    Snapshots are written to ``root`` first, so that a batch that runs again has the same identifiers, and so the same
+    chunks. The crawl state is committed under the batch's number.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = f"{root}/{manifests.STAGED}/captures/{batch_id}"
+        if not manifests.exists(spark, f"{kept}/_SUCCESS"):
+            snapshots(batch).write.mode("overwrite").parquet(kept)
+        shots = spark.read.schema(schemas.schema("course_snapshot_raw")).parquet(kept)
+        batch = batch.persist()
+        try:
+            for table, rows in flatten.bundle(batch, shots).items():
+                sinks.send_with_outbox(rows, table, partial(send, table), root, database, chunk, f"batch-{batch_id}-{table}")
+            state.append_state(spark, root, state.seen_courses(shots, flatten.course_dim(batch)), f"batch-{batch_id}")
+        finally:
+            batch.unpersist()
+
+    return run
+
+
 def write_batch(root: str, write=None, database: str = ""):
     """A ``foreachBatch`` function: all tables of the bundle, the crawl state of the courses seen, and an outbox.
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from catalog_spark import schemas
 from catalog_spark.operators import event_sink, events, keyed, ledger, outbox, sinks, state
 from catalog_spark.sources import documents, manifests
+from catalog_spark.streaming import ingest
 
 MAP = ["fetched_at", "course_id", "instructor_id", "role"]
 
@@ -174,6 +175,29 @@ def test_a_resumed_sending_queues_once(spark, tmp_path):
     assert len(open(log).read().splitlines()) == n
 
 
+def test_a_repeated_batch_of_a_stream_sends_nothing_twice(spark, tmp_path):
+    rows = [(k, k, "ko", f"u{k}", '{"data":{"title":"t"}}', "{}") for k in range(1, 31)]
+    none = F.lit(None).cast("string")
+    batch = spark.createDataFrame(rows, "s long, course_id long, locale string, source_url string, online string, meta string").select(
+        F.timestamp_seconds("s").alias("fetched_at"), "course_id", "locale", "source_url", "online", "meta", none.alias("curriculum"), none.alias("discounts"), none.alias("contents"))
+    log = str(tmp_path / "sent")
+
+    def send(table, lines):
+        with open(log, "a") as f:
+            f.writelines(f"{table} {line}\n" for line in lines.split("\n"))
+        if table == "course_price_fact" and '"course_id":7,' in lines:
+            raise RuntimeError("connection refused")
+
+    root = str(tmp_path / "out")
+    for _ in range(2):
+        ingest.send_batch(root, send, "db", 10)(batch, 0)
+    sent = [x.split(" ", 1)[0] for x in open(log).read().splitlines()]
+    assert {t: sent.count(t) for t in set(sent)} == {"course_snapshot_raw": 60, "course_dim": 30, "course_metric_fact": 30, "course_price_fact": 30}
+    late = sinks.read_or_empty(spark, root, "insert_outbox").collect()
+    assert len(late) == 1 and late[0]["target_table"] == "course_price_fact" and late[0]["row_count"] < 30
+    assert state.read_state_table(spark, root).count() == 30
+
+
 def test_equal_rows_spread_over_chunks(spark):
     rows = spark.range(5000).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
     made = outbox.chunked(rows, ["a", "b"], ["a"])
