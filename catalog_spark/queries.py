@@ -12,6 +12,7 @@ from .functions import coerce, hashing, links, text, times
 from .operators import backlog, capture, discovery, event_sink, events, flatten, keyed, latest, ledger, outbox, sinks, state, translate
 from .plans import pipelines
 from .sources import documents, pages, search, sitemaps
+from .streaming import scan
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -891,3 +892,24 @@ def q_unit_translations(spark, sf):
     nothing = {t: spark.createDataFrame([], schemas.schema(t)) for t in ("course_dim", "course_display_translation")}
     _, rows, _ = pipelines.translate_display(nothing["course_dim"], units, nothing["course_display_translation"], done, ["ru"], speak)
     return rows.select("target_language", "course_id", "section_id", "unit_id", "section_title", "unit_title", "source_locale")
+
+
+# The scan as a stream, replay in one job, identifiers that survive a retry, existence by a filter
+
+
+@query("""
+WITH s AS (SELECT url, page_id, page_id // 50 AS i, page_id % 50 AS j FROM pages), f AS (
+  SELECT * FROM s WHERE url NOT IN (SELECT url FROM s WHERE page_id IN (SELECT doc_id FROM labels WHERE quality = 1)) QUALIFY row_number() OVER (PARTITION BY url ORDER BY i, j) = 1)
+SELECT 'found' AS kind, i, j FROM f UNION ALL SELECT 'checkpoint', 0, 10 UNION ALL SELECT 'checkpoint', p.i, p.j + 1 FROM (SELECT max({'i': i, 'j': j}) AS p FROM s)""")
+def q_scan_stream(spark, sf):
+    """All pages scanned by a stream that admits ten URLs, ends, and starts again for the rest: the new URLs, and the
+    checkpoint after each batch."""
+    root = sinks.scratch(spark)
+    p = _t(spark, sf, "pages").select(F.floor(F.col("page_id") / 50).alias("sitemap_index"), (F.col("page_id") % 50).alias("url_index"), "url", "page_id")
+    scan.add_sitemaps(p.select("sitemap_index", "url_index", "url"), f"{root}/sitemaps")
+    known = p.join(_t(spark, sf, "labels").filter("quality = 1").select(F.col("doc_id").alias("page_id")), "page_id").select("url")
+    for most in (10, 10_000_000):
+        scan.start_scan(spark, f"{root}/sitemaps", root, f"{root}/_scan", lambda s: known, ["url"], "pages", max_scan=most, once=True).awaitTermination()
+    found = scan.read_found(spark, root).select(F.lit("found").alias("kind"), F.col("sitemap_index").cast("long").alias("i"), F.col("url_index").cast("long").alias("j"))
+    points = state.read_checkpoints(spark, root).select(F.lit("checkpoint").alias("kind"), F.col("sitemap_index").cast("long").alias("i"), F.col("url_index").cast("long").alias("j"))
+    return found.unionByName(points)
