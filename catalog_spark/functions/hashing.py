@@ -48,3 +48,16 @@ def uuid7(ts: Column) -> Column:
     ms = F.lower(F.lpad(F.hex(F.unix_millis(ts)), 12, "0"))
     rest = F.expr("uuid()")  # version 4: its variant digit is right already
     return F.concat(F.left(ms, F.lit(8)), F.lit("-"), F.substring(ms, 9, 4), F.lit("-7"), F.substring(rest, 16, 3), F.lit("-"), F.substring(rest, 20, 17))
+
+
+def keyed_hash(key: str, *texts: Column) -> Column:
+    """SHA-256 of texts (null: empty) under a secret key, nested so that nothing can be appended, in hexadecimal digits."""
+    inner = F.sha2(F.concat_ws("\u001f", F.lit(key), *[F.coalesce(t.cast("string"), F.lit("")) for t in texts]), 256)
+    return F.sha2(F.concat(F.lit(key), inner), 256)
+
+
+def uuid7_of(ts: Column, digest: Column) -> Column:
+    """A version 7 identifier: 48 bits of milliseconds, the rest from the digits of a digest. The same in every run."""
+    ms = F.lower(F.lpad(F.hex(F.unix_millis(ts)), 12, "0"))
+    variant = F.substring(F.lit("89ab89ab89ab89ab"), F.conv(F.substring(digest, 4, 1), 16, 10).cast("int") + 1, F.lit(1))
+    return F.concat(F.left(ms, F.lit(8)), F.lit("-"), F.substring(ms, 9, 4), F.lit("-7"), F.substring(digest, 1, 3), F.lit("-"), variant, F.substring(digest, 5, 3), F.lit("-"), F.substring(digest, 8, 12))

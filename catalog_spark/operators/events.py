@@ -24,15 +24,34 @@ def to_ndjson(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(F.to_json(F.struct(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def to_events(rows: DataFrame, table: str, namespace: str = "catalog", source: str = "", host: str = "", ip: str = "") -> DataFrame:
-    """Each row as an event ``<namespace>.<table>.v1`` created at fetched_at, else updated_at, else now."""
+def numbered(rows: DataFrame, number: str = "_equal") -> DataFrame:
+    """Rows with their number among equal rows, from 1. Equal rows are counted before the shuffle and dealt out after it,
+    so no task gathers them. Columns must be of types that can be grouped by."""
+    counted = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("_n"))
+    return counted.withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
+
+
+def to_events(rows: DataFrame, table: str, namespace: str = "catalog", source: str = "", host: str = "", ip: str = "", id_key: str | None = None) -> DataFrame:
+    """Each row as an event ``<namespace>.<table>.v1`` created at fetched_at, else updated_at, else now.
+
+    Identifiers are random, so a partition that is computed again has others. With ``id_key``, a secret, they come from
+    a keyed hash of the row, its table and its number among equal rows (a shuffle of the rows): the same in every run and
+    every attempt, different for equal rows, and not to be guessed from the row. A row without a time has that of the run.
+    """
     rows = payload_to_json(rows)
+    if id_key is not None:
+        names = rows.columns
+        rows = numbered(rows)
     stamps = [F.col(c) for c in ("fetched_at", "updated_at") if c in rows.columns]
     created = F.coalesce(*stamps, F.current_timestamp())
-    made = hashing.uuid7(created)
+    if id_key is None:
+        made = hashing.uuid7(created)
+    else:
+        line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]), {"ignoreNullFields": "false"})
+        made = hashing.uuid7_of(created, hashing.keyed_hash(id_key, F.lit(table), line, F.col("_equal")))
     own = F.coalesce(F.when(F.trim("uuid") != "", F.col("uuid")), made) if table.endswith("course_snapshot_raw") and "uuid" in rows.columns else made
     url = F.coalesce("source_url", F.lit("")) if "source_url" in rows.columns else F.lit("")
-    payload = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    payload = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}) if id_key is None else line
     return enveloped(rows, own, url, f"{namespace}.{table}.v1", payload, times.format_ts(created), source, host, ip)
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from ..sources import manifests
+from . import outbox
 
 LINE = "payload_hash string, step string, attempt int, error string, at long"
 FOLDER = "_ledger"
@@ -44,14 +45,14 @@ class Delivered(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, send: Callable[[str], None], folder: str):
-        self.send, self.folder = send, folder
+    def __init__(self, send: Callable[..., None], folder: str, in_order: bool = False):
+        self.send, self.folder, self.in_order = send, folder, in_order
 
-    def _known(self, store, path: str, part: int) -> dict[str, str]:
-        """Chunks with an outcome, or in doubt, in logs of earlier attempts at this partition."""
+    def _known(self, store, path: str, part: int) -> dict[str, tuple[str, str | None]]:
+        """(step, error) of chunks with an outcome, or in doubt, in logs of earlier attempts at this partition."""
         from pyarrow import fs
 
-        steps: dict[str, str] = {}
+        steps: dict[str, tuple[str, str | None]] = {}
         for info in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
             if info.base_name.startswith(f"p{part}-"):
                 with store.open_input_stream(info.path) as f:
@@ -60,9 +61,18 @@ class _Writer(DataSourceArrowWriter):
                             one = json.loads(line)
                         except ValueError:  # cut off when the task died
                             continue
-                        steps[one["payload_hash"]] = one["step"]
+                        if one["payload_hash"] not in steps or one["step"] in ("sent", "failed"):  # logs come in any order
+                            steps[one["payload_hash"]] = one["step"], one["error"]
         return steps
 
+    def _chunks(self, batch) -> Iterator[tuple[str, str | None, tuple]]:
+        """(name, target if in order, arguments of ``send``) of each chunk."""
+        names, lines = batch.column("payload_hash").to_pylist(), batch.column("rows_json").to_pylist()
+        if not self.in_order:
+            return ((h, None, (text,)) for h, text in zip(names, lines))
+        tables, targets = batch.column("target_table").to_pylist(), batch.column("target").to_pylist()
+        return ((h, target, (table, text)) for h, target, table, text in zip(names, targets, tables, lines))
+
     def write(self, iterator: Iterator) -> Delivered:
         task = TaskContext.get()
         store, path = _files(self.folder)
@@ -70,6 +80,7 @@ class _Writer(DataSourceArrowWriter):
         known = self._known(store, path, task.partitionId())
         out = Delivered()
         log = None
+        stopped: set[str] = set()  # targets that cannot be written now
 
         def note(h: str, step: str, error: str | None = None) -> None:
             log.write((json.dumps({"payload_hash": h, "step": step, "attempt": task.attemptNumber(), "error": error, "at": time.time_ns()}) + "\n").encode())
@@ -77,19 +88,26 @@ class _Writer(DataSourceArrowWriter):
 
         try:
             for batch in iterator:
-                for h, lines in zip(batch.column("payload_hash").to_pylist(), batch.column("rows_json").to_pylist()):
-                    if known.get(h) in ("sent", "failed"):
+                for h, target, said in self._chunks(batch):
+                    if target in stopped:
+                        continue
+                    step, error = known.get(h, ("", None))
+                    if step in ("sent", "failed"):
                         out.found += 1
+                        if target is not None and step == "failed" and outbox.temporary_text(error or ""):
+                            stopped.add(target)
                         continue
                     if log is None:
                         out.log = f"{path}/p{task.partitionId()}-{task.taskAttemptId()}-{time.time_ns()}.jsonl"
                         log = store.open_output_stream(out.log, buffer_size=None)
-                    note(h, "again" if known.get(h) in ("begin", "again") else "begin")
+                    note(h, "again" if step in ("begin", "again") else "begin")
                     try:
-                        self.send(lines)
+                        self.send(*said)
                     except Exception as e:  # noqa: BLE001 - the error is data here: it is stored with the chunk
                         note(h, "failed", str(e) or type(e).__name__)
                         out.failed += 1
+                        if target is not None and outbox.temporary_text(str(e)):
+                            stopped.add(target)
                     else:
                         note(h, "sent")
                         out.sent += 1
@@ -99,7 +117,7 @@ class _Writer(DataSourceArrowWriter):
         return out
 
 
-def _source(send: Callable[[str], None], folder: str) -> type[DataSource]:
+def _source(send: Callable[..., None], folder: str, in_order: bool = False) -> type[DataSource]:
     class Writer(_Writer):
         def commit(self, messages) -> None:
             """All tasks have outcomes for all their chunks."""
@@ -117,7 +135,7 @@ def _source(send: Callable[[str], None], folder: str) -> type[DataSource]:
             return "chunk_delivery"
 
         def writer(self, schema, overwrite):
-            return Writer(send, folder)
+            return Writer(send, folder, in_order)
 
     return ChunkDelivery
 
@@ -148,3 +166,24 @@ def deliver(chunks: DataFrame, send: Callable[[str], None], root: str, delivery:
     spark.dataSource.register(source)
     todo.write.format("chunk_delivery").mode("append").save()
     return outcomes(spark, root, delivery)
+
+
+def replay(box: DataFrame, send: Callable[[str, str], None], root: str, limit: int | None = 50, delivery: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Replay pending chunks in one job: (the outbox with its marks, outcomes).
+
+    Each target's chunks go through one ordered iterator in a task, oldest first, and that stops at the target's first
+    temporary error; its later chunks stay as they are, other targets go on, and a lasting error marks its own chunk
+    only. A target's order leaves it one task; its chunks stream through it, a batch of them in memory. ``send(target,
+    lines)`` runs in the tasks. With the same ``delivery`` a replay that was cut off goes on where it was, and a target
+    that had stopped stays so. Outcomes: (outbox_uuid, step, error). Without a limit all pending chunks are taken.
+    """
+    spark = box.sparkSession
+    delivery = delivery or manifests.new_id()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    taken = outbox.pending(box, limit).select(F.col("outbox_uuid").alias("payload_hash"), "rows_json", "target_database", "target_table", "created_at")
+    dealt = taken.repartition(n, "target_database", "target_table").sortWithinPartitions("target_database", "target_table", "created_at", "payload_hash")
+    target = F.to_json(F.struct("target_database", "target_table")).alias("target")
+    spark.dataSource.register(_source(send, f"{root}/{FOLDER}/{delivery}", in_order=True))
+    dealt.select("payload_hash", "rows_json", "target_table", target).write.format("chunk_delivery").mode("append").save()
+    done = outcomes(spark, root, delivery).withColumnRenamed("payload_hash", "outbox_uuid")
+    return outbox.mark_replayed(box, done), done

@@ -32,6 +32,11 @@ def is_temporary(message: Column) -> Column:
     return C.any_of([low.contains(n) for n in TEMPORARY])
 
 
+def temporary_text(message: str) -> bool:
+    """``is_temporary`` of one message, for code that runs in tasks."""
+    return any(n in message.lower() for n in TEMPORARY)
+
+
 def retry_reason(message: Column) -> Column:
     low = F.lower(F.coalesce(message, F.lit("")))
     out = F.when(low == "", F.lit(""))
@@ -135,7 +140,7 @@ def drain(spark: SparkSession, outbox: DataFrame, writers: dict, schemas: dict[s
             results.append((uuid, None))
         except Exception as e:  # noqa: BLE001 - the error is data here: it is stored with the chunk
             results.append((uuid, str(e)))
-            if any(n in str(e).lower() for n in TEMPORARY):
+            if temporary_text(str(e)):
                 deferred.add(table)
     marks = spark.createDataFrame(results, "outbox_uuid string, error string")
     return mark_replayed(outbox, marks), sum(e is None for _, e in results)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from . import schemas
 from .functions import coerce, hashing, links, text, times
-from .operators import backlog, capture, discovery, event_sink, events, flatten, keyed, latest, ledger, outbox, sinks, state, translate
+from .operators import backlog, capture, discovery, event_sink, events, existence, flatten, keyed, latest, ledger, outbox, sinks, state, translate
 from .plans import pipelines
 from .sources import documents, pages, search, sitemaps
 from .streaming import scan
@@ -913,3 +913,50 @@ def q_scan_stream(spark, sf):
     found = scan.read_found(spark, root).select(F.lit("found").alias("kind"), F.col("sitemap_index").cast("long").alias("i"), F.col("url_index").cast("long").alias("j"))
     points = state.read_checkpoints(spark, root).select(F.lit("checkpoint").alias("kind"), F.col("sitemap_index").cast("long").alias("i"), F.col("url_index").cast("long").alias("j"))
     return found.unionByName(points)
+
+
+@query("""
+SELECT c_custkey, CASE WHEN before > 0 THEN 'waits' WHEN c_acctbal > 9000 THEN 'timeout' WHEN c_acctbal < 0 THEN 'refused' ELSE 'written' END AS outcome, CASE WHEN before > 0 THEN 0 ELSE 1 END AS attempts FROM (
+  SELECT *, coalesce(sum((c_acctbal > 9000)::INT) OVER (PARTITION BY c_nationkey ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM customer)""")
+def q_replay_in_order(spark, sf):
+    """A chunk for each customer, replayed in one job to a target for each nation; targets stop at their first timeout."""
+    root = sinks.scratch(spark)
+    c = _t(spark, sf, "customer")
+    none = F.lit(None).cast("timestamp")
+    box = c.select(
+        F.col("c_custkey").cast("string").alias("outbox_uuid"), F.timestamp_seconds("c_custkey").alias("created_at"), F.lit("db").alias("target_database"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("target_table"),
+        F.array(F.lit("c_acctbal")).alias("target_columns"), F.to_json(F.struct("c_acctbal")).alias("rows_json"), F.lit(1).alias("row_count"), F.xxhash64("c_custkey").cast("decimal(20,0)").alias("payload_hash"),
+        F.lit("timeout").alias("source_error"), F.lit(0).alias("replay_attempt"), none.alias("last_replay_at"), none.alias("replayed_at"), F.lit("").alias("replay_error"),
+    )
+
+    def send(table, lines):
+        import json
+
+        balance = json.loads(lines)["c_acctbal"]
+        if balance > 9000:
+            raise RuntimeError("i/o timeout")
+        if balance < 0:
+            raise ValueError("Code: 60. Table does not exist")
+
+    marked, _ = ledger.replay(box, send, root, None)
+    outcome = F.when(F.col("replay_attempt") == 0, "waits").when(F.col("replayed_at").isNotNull(), "written").when(outbox.is_temporary(F.col("replay_error")), "timeout").otherwise("refused")
+    return marked.select(F.col("outbox_uuid").cast("long").alias("c_custkey"), outcome.alias("outcome"), F.col("replay_attempt").cast("int").alias("attempts"))
+
+
+@query("SELECT l_returnflag, count(*) AS n, count(*) AS n_different, count(*) AS n_again FROM lineitem GROUP BY l_returnflag")
+def q_event_ids(spark, sf):
+    """Lines as events, whose many equal rows differ by identifier, made twice from rows that are dealt differently; how
+    many identifiers come again."""
+    rows = _t(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_shipdate").cast("timestamp").alias("fetched_at"))
+    first = events.to_events(rows, "lines", id_key="secret").select("event_uuid", F.get_json_object("payload", "$.l_returnflag").alias("l_returnflag"))
+    again = events.to_events(rows.repartition(13), "lines", id_key="secret").select("event_uuid", F.lit(1).alias("again"))
+    both = first.join(again, "event_uuid", "left")
+    return both.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.countDistinct("event_uuid").alias("n_different"), F.count("again").alias("n_again"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_orderkey * 10 + l_linenumber NOT IN (SELECT o_orderkey * 10 + o_custkey % 7 FROM orders)")
+def q_new_by_filter(spark, sf):
+    """Lines whose (order, number) no order has with its customer's number: most are new, and these do not shuffle."""
+    lines = _t(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_suppkey")
+    known = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 7).cast("long").alias("l_linenumber"))
+    return existence.new_rows(lines, known, ["l_orderkey", "l_linenumber"])
