@@ -11,7 +11,7 @@ from . import schemas
 from .functions import coerce, hashing, links, text, times
 from .operators import backlog, capture, discovery, event_sink, events, existence, flatten, keyed, latest, ledger, outbox, sinks, state, translate
 from .plans import pipelines
-from .sources import documents, pages, search, sitemaps
+from .sources import documents, pages, search, sitemap_files, sitemaps
 from .streaming import scan
 
 QUERIES: dict = {}
@@ -960,3 +960,26 @@ def q_new_by_filter(spark, sf):
     lines = _t(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_suppkey")
     known = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 7).cast("long").alias("l_linenumber"))
     return existence.new_rows(lines, known, ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT i AS sitemap_index, row_number() OVER (PARTITION BY i ORDER BY page_id) - 1 AS url_index, url FROM (SELECT page_id // 50 AS i, * FROM pages) WHERE i % 3 < 2")
+def q_sitemap_files(spark, sf):
+    """Pages written as sitemaps in gzip files, line by line, and read back as files: those that an index of two indexes
+    leads to, two thirds of all."""
+    folder = f"{sinks.scratch(spark)}/sitemaps"
+    c = F.col
+    name = F.concat(F.lit("m"), F.floor(c("page_id") / 50).cast("string"))
+    one = lambda tag, loc: F.concat(F.lit(f"<{tag}><loc>"), F.replace(loc, F.lit("&"), F.lit("&amp;")), F.lit(f"</loc></{tag}>"))
+    pages_ = _t(spark, sf, "pages").select(name.alias("sitemap"), c("page_id").alias("k"), one("url", c("url")).alias("value"))
+    maps = pages_.select("sitemap").distinct().withColumn("i", F.substring("sitemap", 2, 20).cast("long"))
+    part = F.concat(F.lit("index"), (c("i") % 3).cast("string"))
+    nested = maps.select(part.alias("sitemap"), c("i").alias("k"), one("sitemap", F.concat(F.lit("https://maps/"), "sitemap")).alias("value"))
+    top = spark.range(2).select(F.lit("index").alias("sitemap"), c("id").alias("k"), one("sitemap", F.concat(F.lit("https://maps/index"), c("id").cast("string"))).alias("value"))
+    rows = pages_.unionByName(nested).unionByName(top)
+    root = F.when(c("sitemap").startswith("index"), "sitemapindex").otherwise("urlset")
+    ends = rows.select("sitemap").distinct().select("sitemap", F.explode(F.array(F.struct(F.lit(-1).cast("long").alias("k"), F.concat(F.lit("<"), root, F.lit(">")).alias("value")), F.struct(F.lit(1 << 62).alias("k"), F.concat(F.lit("</"), root, F.lit(">")).alias("value")))).alias("e"))
+    lined = rows.unionByName(ends.select("sitemap", "e.*")).repartition("sitemap").sortWithinPartitions("sitemap", "k")
+    lined.select("sitemap", "value").write.partitionBy("sitemap").option("compression", "gzip").text(folder)
+    captured = rows.select("sitemap").distinct().select(F.concat(F.lit("https://maps/"), "sitemap").alias("url"), "sitemap")
+    found, _ = sitemap_files.walk(spark, folder, captured, ["https://maps/index"], F.regexp_extract("_metadata.file_path", "sitemap=([^/]+)/", 1))
+    return found.select(F.substring("sitemap", 2, 20).cast("long").alias("sitemap_index"), c("url_index").cast("long").alias("url_index"), "url")

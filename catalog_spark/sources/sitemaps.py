@@ -23,7 +23,7 @@ def locs(body: Column) -> Column:
     """The texts of all ``loc`` elements in document order, whatever their case and namespace; empty if malformed."""
     x = clean_xml(body)
     found = F.when(is_xml(x), F.xpath(x, F.lit(f"{LOCS}/text()")))
-    return F.filter(F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda u: u != "")
+    return F.filter(F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda u: u != "")
 
 
 def is_denied(body: Column) -> Column:
