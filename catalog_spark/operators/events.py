@@ -24,11 +24,17 @@ def to_ndjson(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(F.to_json(F.struct(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def numbered(rows: DataFrame, number: str = "_equal") -> DataFrame:
-    """Rows with their number among equal rows, from 1. Equal rows are counted before the shuffle and dealt out after it,
-    so no task gathers them. Columns must be of types that can be grouped by."""
+def numbered(rows: DataFrame, number: str = "_equal", block: int = 10_000) -> DataFrame:
+    """Rows with their number among equal rows, from 1. Equal rows are counted before the shuffle; rows that come more than
+    ``block`` times are cut into blocks of numbers, which are dealt to all tasks, so none makes or gathers a hot row's
+    copies. Columns must be of types that can be grouped by."""
     counted = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("_n"))
-    return counted.withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
+    one = F.lit(1).cast("long")
+    few = counted.filter(F.col("_n") <= block).withColumn(number, F.explode(F.sequence(one, F.col("_n"))))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = counted.filter(F.col("_n") > block).withColumn("_from", F.explode(F.sequence(one, F.col("_n"), F.lit(block).cast("long")))).repartition(tasks)
+    many = many.withColumn(number, F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + block - 1, F.col("_n"))))).drop("_from")
+    return few.unionByName(many).drop("_n")
 
 
 def to_events(rows: DataFrame, table: str, namespace: str = "catalog", source: str = "", host: str = "", ip: str = "", id_key: str | None = None) -> DataFrame:

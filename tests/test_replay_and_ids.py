@@ -90,3 +90,10 @@ def test_identifiers_are_the_same_again_and_differ(spark):
     assert ids(rows.limit(0), id_key="k") == []
     odd = spark.createDataFrame([("a", None), ("a", None), (None, None)], "`a.b` string, uuid string").withColumn("fetched_at", F.timestamp_seconds(F.lit(1)))
     assert len(set(ids(odd, id_key="k"))) == 3
+
+
+def test_hot_rows_are_numbered_in_blocks(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 700, F.lit("hot")).otherwise(F.concat(F.lit("x"), (F.col("id") % 150).cast("string"))).alias("a.b"), F.lit(None).cast("string").alias("n"))
+    for block in (1, 2, 99, 700, 10_000):
+        got = sorted((r[0], r["_equal"]) for r in events.numbered(rows, block=block).collect())
+        assert got == sorted([("hot", k) for k in range(1, 701)] + [(f"x{k}", j) for k in range(150) for j in (1, 2)])
