@@ -24,16 +24,20 @@ def to_ndjson(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(F.to_json(F.struct(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def numbered(rows: DataFrame, number: str = "_equal", block: int = 10_000) -> DataFrame:
+FEW = 8  # copies of a row that are made where it was counted
+
+
+def numbered(rows: DataFrame, number: str = "_equal", block: int = 1_000, made: dict[str, Column] | None = None) -> DataFrame:
     """Rows with their number among equal rows, from 1. Equal rows are counted before the shuffle; rows that come more than
-    ``block`` times are cut into blocks of numbers, which are dealt to all tasks, so none makes or gathers a hot row's
-    copies. Columns must be of types that can be grouped by."""
+    ``FEW`` times are cut into blocks of numbers, which are dealt to all tasks: counted rows may be so few that Spark puts
+    them into one task, whose copies are all rows there are. ``made`` are further columns, computed once for equal rows.
+    Columns must be of types that can be grouped by."""
     counted = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("_n"))
-    one = F.lit(1).cast("long")
-    few = counted.filter(F.col("_n") <= block).withColumn(number, F.explode(F.sequence(one, F.col("_n"))))
+    one, few_n = F.lit(1).cast("long"), min(block, FEW)
+    few = counted.filter(F.col("_n") <= few_n).withColumns(made or {}).withColumn(number, F.explode(F.sequence(one, F.col("_n"))))
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    many = counted.filter(F.col("_n") > block).withColumn("_from", F.explode(F.sequence(one, F.col("_n"), F.lit(block).cast("long")))).repartition(tasks)
-    many = many.withColumn(number, F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + block - 1, F.col("_n"))))).drop("_from")
+    many = counted.filter(F.col("_n") > few_n).withColumn("_from", F.explode(F.sequence(one, F.col("_n"), F.lit(block).cast("long")))).repartition(tasks)
+    many = many.withColumns(made or {}).withColumn(number, F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + block - 1, F.col("_n"))))).drop("_from")
     return few.unionByName(many).drop("_n")
 
 
@@ -46,18 +50,17 @@ def to_events(rows: DataFrame, table: str, namespace: str = "catalog", source: s
     """
     rows = payload_to_json(rows)
     if id_key is not None:
-        names = rows.columns
-        rows = numbered(rows)
+        line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
+        rows = numbered(rows, made={"_line": line})
     stamps = [F.col(c) for c in ("fetched_at", "updated_at") if c in rows.columns]
     created = F.coalesce(*stamps, F.current_timestamp())
     if id_key is None:
         made = hashing.uuid7(created)
     else:
-        line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]), {"ignoreNullFields": "false"})
-        made = hashing.uuid7_of(created, hashing.keyed_hash(id_key, F.lit(table), line, F.col("_equal")))
+        made = hashing.uuid7_of(created, hashing.keyed_hash(id_key, F.lit(table), F.col("_line"), F.col("_equal")))
     own = F.coalesce(F.when(F.trim("uuid") != "", F.col("uuid")), made) if table.endswith("course_snapshot_raw") and "uuid" in rows.columns else made
     url = F.coalesce("source_url", F.lit("")) if "source_url" in rows.columns else F.lit("")
-    payload = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}) if id_key is None else line
+    payload = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}) if id_key is None else F.col("_line")
     return enveloped(rows, own, url, f"{namespace}.{table}.v1", payload, times.format_ts(created), source, host, ip)
 
 

@@ -948,10 +948,11 @@ def q_event_ids(spark, sf):
     """Lines as events, whose many equal rows differ by identifier, made twice from rows that are dealt differently; how
     many identifiers come again."""
     rows = _t(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_shipdate").cast("timestamp").alias("fetched_at"))
-    first = events.to_events(rows, "lines", id_key="secret").select("event_uuid", F.get_json_object("payload", "$.l_returnflag").alias("l_returnflag"))
-    again = events.to_events(rows.repartition(13), "lines", id_key="secret").select("event_uuid", F.lit(1).alias("again"))
-    both = first.join(again, "event_uuid", "left")
-    return both.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.countDistinct("event_uuid").alias("n_different"), F.count("again").alias("n_again"))
+    flag = F.get_json_object("payload", "$.l_returnflag").alias("l_returnflag")
+    made = lambda df, first, again: events.to_events(df, "lines", id_key="secret").select("event_uuid", flag, F.lit(first).alias("first"), F.lit(again).alias("again"))
+    both = made(rows, 1, 0).unionByName(made(rows.repartition(13), 0, 1))
+    ids = both.groupBy("event_uuid", "l_returnflag").agg(F.sum("first").alias("first"), F.sum("again").alias("again")).filter("first > 0")  # one shuffle for both
+    return ids.groupBy("l_returnflag").agg(F.sum(F.col("first") * F.greatest("again", F.lit(1))).alias("n"), F.count("*").alias("n_different"), F.sum(F.col("first") * F.col("again")).alias("n_again"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_orderkey * 10 + l_linenumber NOT IN (SELECT o_orderkey * 10 + o_custkey % 7 FROM orders)")

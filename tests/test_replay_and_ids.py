@@ -97,3 +97,11 @@ def test_hot_rows_are_numbered_in_blocks(spark):
     for block in (1, 2, 99, 700, 10_000):
         got = sorted((r[0], r["_equal"]) for r in events.numbered(rows, block=block).collect())
         assert got == sorted([("hot", k) for k in range(1, 701)] + [(f"x{k}", j) for k in range(150) for j in (1, 2)])
+
+
+def test_copies_of_few_rows_are_dealt_to_all_tasks(spark):
+    rows = spark.range(40_000).select((F.col("id") % 10).alias("k"))
+    got = events.numbered(rows, made={"line": F.concat(F.lit("x"), F.col("k"))})
+    assert got.filter(F.col("line") != F.concat(F.lit("x"), F.col("k"))).isEmpty() and got.groupBy("k").agg(F.count_distinct("_equal").alias("n"), F.max("_equal").alias("m")).filter("n = 4000 AND m = 4000").count() == 10
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) <= 20_000  # before: all of them in one task
