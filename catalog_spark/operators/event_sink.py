@@ -168,14 +168,21 @@ def _register(spark: SparkSession, root: str, commit_id: str, partitions: int, p
 
 
 def write_events(framed: DataFrame, root: str, order: list[str] = (), partitions: int = 8, publish: Publish = accept, commit_id: str | None = None, attempts: int = 3, least: float = 1.0, most: float = 12.0, batch: int = 100) -> None:
-    """Append events (``events.kafka_frame``: key, value) to the log below ``root``; ``order`` columns, if the frame has
-    them, order a partition's events. A ``commit_id`` that is known already appends nothing."""
+    """Append events (``events.kafka_frame``: key, value) to the log below ``root``. A ``commit_id`` that is known already
+    appends nothing. ``order`` columns, if the frame has them, order a partition's events, which leaves each partition one
+    task and its sort; without them a partition's events go to as many tasks as the session shuffles to, a key's to one
+    of them, and are not sorted."""
     spark = framed.sparkSession
     commit_id = commit_id or manifests.new_id()
     if manifests.is_committed(spark, root, commit_id):
         return
     _register(spark, root, commit_id, partitions, publish, attempts, least, most, batch)
-    dealt = framed.withColumn("_partition", partition_of(F.coalesce("key", F.lit("")), partitions)).repartition(partitions, "_partition").sortWithinPartitions("_partition", *order)
+    part = partition_of(F.coalesce("key", F.lit("")), partitions)
+    if order:
+        dealt = framed.withColumn("_partition", part).repartition(partitions, "_partition").sortWithinPartitions("_partition", *order)
+    else:
+        tasks = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // partitions))  # for each partition of the log
+        dealt = framed.repartitionById(partitions * tasks, part + partitions * F.pmod(F.xxhash64("key"), F.lit(tasks)).cast("int"))
     dealt.select("key", "value").write.format("event_log").mode("append").save()
 
 

@@ -227,6 +227,16 @@ def test_events_keep_their_order_by_key(spark, tmp_path):
     assert manifests.commits(spark, root)[0]["events"] == 500
 
 
+def test_a_partition_has_many_tasks_and_a_key_one(spark, tmp_path):
+    root = str(tmp_path)
+    event_sink.write_events(framed(spark), root, partitions=2)
+    files = manifests.table_files(spark, root, event_sink.TABLE)
+    keys = [{json.loads(x)["key"] for x in open(f)} for f in files]
+    assert len(files) == 4 and sum(map(len, keys)) == len(set.union(*keys)) == 40  # before: a task for each of both partitions
+    got = event_sink.read_events(spark, root)
+    assert got.count() == 500 and got.filter(F.col("partition") != event_sink.partition_of(F.col("key"), 2)).isEmpty()
+
+
 def test_only_failed_events_are_tried_again(spark, tmp_path):
     log = str(tmp_path / "tries")
 
