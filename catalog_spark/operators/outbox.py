@@ -122,25 +122,36 @@ def mark_replayed(outbox: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def drain(spark: SparkSession, outbox: DataFrame, writers: dict, schemas: dict[str, T.StructType], limit: int = 50) -> tuple[DataFrame, int]:
-    """Replay pending chunks in order through ``writers`` (table -> function of a DataFrame).
+    """Replay pending chunks in order through ``writers`` (table -> function of a DataFrame), which write all rows they
+    get or none, as Spark's own do.
 
     Returns the outbox with its marks and the number of chunks written. A chunk that fails is marked and the rest
-    goes on, but once a target is found unwritable (a temporary error), its later chunks wait for another run. At
-    most ``limit`` chunk names are looped over; the rows stay on the executors.
+    goes on, but once a target is found unwritable (a temporary error), its later chunks wait for another run. A target's
+    chunks are one write; only if that fails, its halves are tried, oldest first, down to the chunk that fails. At most
+    ``limit`` chunk names are looped over; the rows stay on the executors.
     """
-    names = [(r[0], r[1]) for r in pending(outbox, limit).orderBy("created_at", "outbox_uuid").select("outbox_uuid", "target_table").collect()]
-    deferred, results = set(), []
-    for uuid, table in names:
-        if table in deferred:
-            continue
+    todo: dict[str, list[str]] = {}
+    for r in pending(outbox, limit).orderBy("created_at", "outbox_uuid").select("outbox_uuid", "target_table").collect():
+        todo.setdefault(r[1], []).append(r[0])
+    results = []
+
+    def tried(table: str, uuids: list[str]) -> bool:
+        """Whether the target can be written still."""
         try:
             if table not in writers:
                 raise ValueError(f"no writer for {table}")
-            writers[table](replay_rows(outbox.filter(F.col("outbox_uuid") == uuid), table, schemas[table]))
-            results.append((uuid, None))
+            chunks = outbox.filter(F.col("outbox_uuid").isin(uuids)).orderBy("created_at", "outbox_uuid")
+            writers[table](replay_rows(chunks, table, schemas[table]))
+            results.extend((u, None) for u in uuids)
         except Exception as e:  # noqa: BLE001 - the error is data here: it is stored with the chunk
-            results.append((uuid, str(e)))
-            if temporary_text(str(e)):
-                deferred.add(table)
+            if len(uuids) > 1:
+                half = len(uuids) // 2
+                return tried(table, uuids[:half]) and tried(table, uuids[half:])
+            results.append((uuids[0], str(e)))
+            return not temporary_text(str(e))
+        return True
+
+    for table, uuids in todo.items():
+        tried(table, uuids)
     marks = spark.createDataFrame(results, "outbox_uuid string, error string")
     return mark_replayed(outbox, marks), sum(e is None for _, e in results)

@@ -61,6 +61,27 @@ def test_one_job_gives_the_marks_of_the_drain(spark, tmp_path):
         assert mine == sorted(mine) and mine
 
 
+def test_a_drain_writes_a_target_once_and_splits_only_what_fails(spark):
+    box = boxed(spark, [(f"u{k:02}", k, "a", json.dumps({"x": k})) for k in range(40)])
+    schema = spark.createDataFrame([], "x long").schema
+    taken, calls = [], []
+
+    def write(df, bad):
+        xs = [r["x"] for r in df.collect()]
+        calls.append(len(xs))
+        for x in xs:
+            if x in bad:
+                raise bad[x]
+        taken.extend(xs)
+
+    _, n = outbox.drain(spark, box, {"a": lambda df: write(df, {})}, {"a": schema})
+    assert n == 40 and taken == list(range(40)) and calls == [40]  # before: a write for each chunk
+    taken.clear(), calls.clear()
+    marked, n = outbox.drain(spark, box, {"a": lambda df: write(df, {7: ValueError("Code: 60"), 30: RuntimeError("connection refused")})}, {"a": schema})
+    assert n == 29 and taken == [x for x in range(30) if x != 7] and len(calls) < 25
+    assert [(u, a, e) for u, a, w, e in marks(marked) if not w and a] == [("u07", 1, "Code: 60"), ("u30", 1, "connection refused")]
+
+
 def test_a_replay_that_was_cut_off_goes_on(spark, tmp_path):
     root, box, speak = str(tmp_path), boxed(spark, SAID), speaker()
     store = tmp_path / "sent.txt"
