@@ -1,7 +1,9 @@
 """Queries over whole tables: nothing of the input is left out."""
 
+from pyspark.sql import functions as F
+
 from catalog_spark import queries
-from catalog_spark.operators import discovery
+from catalog_spark.operators import discovery, translate
 from catalog_spark.sources import search
 
 SF = "/root/testdata/sf0.01"
@@ -52,3 +54,17 @@ def test_flush_batches_in_ranges(spark):
     assert discovery.flush_batches(rows.limit(0), ["k"], 20).count() == 0
     plan = discovery.flush_batches(rows, ["k", "i"], 20)._jdf.queryExecution().executedPlan().toString()
     assert "Window [row_number() windowspecdefinition(k" not in plan  # no window over all rows
+
+
+def test_a_translator_gets_few_long_requests_at_a_time(spark):
+    long = "x" * 100_000
+
+    def count(asked):
+        return [f"{len(asked)},{sum(map(len, asked))}" if r else None for r in asked]
+
+    rows = spark.range(0, 300, 1, 1).select("id", F.timestamp_seconds("id").alias("at"), F.when(F.col("id") != 7, F.lit(long)).alias("request"))
+    got = translate.apply_translator(rows, count).collect()
+    assert [(r["id"], r["at"].second, r["request"]) for r in got] == [(k, k % 60, None if k == 7 else long) for k in range(300)]
+    assert [r["id"] for r in got if r["response"] is None] == [7]
+    assert max(int(r["response"].split(",")[1]) for r in got if r["response"]) <= 1_200_000  # before: all 30 MB in one call
+    assert max(int(r["response"].split(",")[0]) for r in got if r["response"]) > 1
