@@ -61,7 +61,8 @@ def clamp_percent(x: Column) -> Column:
 
 
 def nullable_str(text: Column) -> Column:
-    return F.nullif(F.trim(text), F.lit(""))
+    said = F.trim(text)
+    return F.when(said != "", said)  # not nullif, whose operand becomes a column below for each place that names it
 
 
 def nullable_int(v: Column, path: str = "$") -> Column:

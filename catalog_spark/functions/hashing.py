@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 
 def h64(text: Column) -> Column:
-    """The first eight bytes of SHA-256, little-endian, as an unsigned number."""
-    digest = F.sha2(text.cast("binary"), 256)
-    turned = F.concat(*[F.substring(digest, i, 2) for i in range(15, 0, -2)])
+    """The first eight bytes of SHA-256, little-endian, as an unsigned number. The digest is named once, so that Spark,
+    which puts a text's expression in each place that names it, plans and compiles it once."""
+    digest = F.left(F.sha2(text.cast("binary"), 256), F.lit(16))
+    turned = F.regexp_replace(digest, "(..)" * 8, "".join(f"${i}" for i in range(8, 0, -1)))
     return F.conv(turned, 16, 10).cast("decimal(20,0)")
 
 
@@ -22,9 +23,7 @@ def json_number(x: Column) -> Column:
 
 def json_text(x: Column) -> Column:
     """A JSON string with <, > and & escaped; null for null."""
-    quoted = F.to_json(F.struct(x.alias("x")))
-    inner = F.substring(quoted, 6, 2_000_000_000)
-    inner = F.left(inner, F.length(inner) - 1)
+    inner = F.substring(F.rtrim(F.to_json(F.struct(x.alias("x"))), F.lit("}")), 6, 2_000_000_000)  # before the brace stands a quote
     for char, code in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")):
         inner = F.replace(inner, F.lit(char), F.lit(code))
     return F.when(x.isNull(), F.lit("null")).otherwise(inner)
