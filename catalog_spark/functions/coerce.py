@@ -85,7 +85,7 @@ def first_positive(*numbers: Column) -> Column:
 
 def string_array(v: Column, path: str = "$") -> Column:
     """Elements as strings, blanks dropped; a comma-separated string is split; all else is empty."""
-    items = F.transform(F.try_variant_get(v, path, "array<variant>"), lambda x: as_string(x))
+    items = F.try_variant_get(v, path, "array<string>")  # what is null there is blank, and goes
     split = F.when(_kind(v, path) == "STRING", F.transform(F.split(text_at(v, path), ","), lambda x: F.trim(x)))
     return F.filter(F.coalesce(items, split, F.array().cast("array<string>")), lambda x: F.trim(x) != "")
 

@@ -26,8 +26,9 @@ META_ARRAY = {"category_slugs": "categorySlugs", "skill_slugs": "skillSlugs", "c
 def active_level(v: Column, path: str = "$.data.levels") -> Column:
     """Code, else title, of the first active level; a first active level without either ends the search."""
     levels = F.try_variant_get(v, path, "array<variant>")
-    first = F.try_element_at(F.filter(levels, lambda x: C.to_u8(x, "$.isActive") == 1), F.lit(1))
-    return C.first_non_empty(C.as_string(first, "$.code"), C.as_string(first, "$.title"))
+    first = F.slice(F.filter(levels, lambda x: C.to_u8(x, "$.isActive") == 1), 1, 1)
+    named = F.transform(first, lambda x: C.first_non_empty(C.as_string(x, "$.code"), C.as_string(x, "$.title")))  # so that levels are gone through once
+    return F.coalesce(F.try_element_at(named, F.lit(1)), F.lit(""))
 
 
 def _complete(captured: DataFrame) -> DataFrame:

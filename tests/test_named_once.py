@@ -6,6 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from catalog_spark.functions import coerce, hashing
+from catalog_spark.operators import flatten
 
 
 def plan(df):
@@ -33,3 +34,26 @@ def test_blanks(spark):
     numbers = blanks.select(F.try_parse_json("t").alias("v")).select(coerce.nullable_int(F.col("v"), "$.a"))
     assert "_common_expr" not in plan(numbers)
     assert [r[0] for r in blanks.select(coerce.nullable_str(F.col("t"))).collect()] == ["x", None, None, None]
+
+
+def test_coercions(spark):
+    cases = {
+        '{"a":["x"," ",null,1,1.50,true,{"k":1,"b":2},[1],"y"]}': ["x", "1", "1.5", "true", '{"b":2,"k":1}', "[1]", "y"],
+        '{"a":"x, ,y"}': ["x", "y"], '{"a":5}': [], '{"a":null}': [], '{"a":{}}': [], "{}": [], '{"a":[]}': [],
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "c string").select("c", F.parse_json("c").alias("v"))
+    rows = df.select("c", coerce.string_array(F.col("v"), "$.a").alias("a"))
+    assert "transform(try_variant_get" not in plan(rows)
+    assert {r["c"]: r["a"] for r in rows.collect()} == cases
+
+
+def test_levels(spark):
+    cases = {
+        '{"data":{"levels":[{"code":"a","isActive":false},{"code":" ","title":"t","isActive":true},{"code":"b","isActive":true}]}}': "t",
+        '{"data":{"levels":[{"isActive":true},{"code":"b","isActive":true}]}}': "",
+        '{"data":{"levels":[null,5,{"code":"c","isActive":"yes"}]}}': "c", '{"data":{"levels":[]}}': "", '{"data":{"levels":"x"}}': "", "{}": "", "[]": "",
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "c string").select("c", F.parse_json("c").alias("v"))
+    rows = df.select("c", flatten.active_level(F.col("v")).alias("l"))
+    assert plan(rows).count("filter(") == 1
+    assert {r["c"]: r["l"] for r in rows.collect()} == cases
