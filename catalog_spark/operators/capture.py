@@ -36,14 +36,14 @@ def resolve_course_id(queries: DataFrame, page: str = "url") -> DataFrame:
 def find_payloads(queries: DataFrame, page: str = "url", course_id: str = "course_id") -> DataFrame:
     """(page, course_id, one column for each kind): the first cached query of each kind. The id must end where the
     needle ends, so that 12 does not match 123."""
-    key = F.col("query_key")
-    matches = {k: F.rlike(key, F.concat(*[F.lit(p) if p != "{id}" else F.col(course_id).cast("string") for p in _parts(n)], F.lit(r"(\D|$)"))) for k, n in NEEDLES.items()}
+    mine = F.col(course_id).cast("string")
+    matches = {k: F.array_contains(F.regexp_extract_all("query_key", F.lit(_with_id(n)), F.lit(1)), mine) for k, n in NEEDLES.items()}
     return first_match(queries, [page, course_id], "payload_json", "pos", matches)
 
 
-def _parts(needle: str) -> list[str]:
-    before, after = needle.split("{id}")
-    return [p for p in (before, "{id}", after) if p]
+def _with_id(needle: str) -> str:
+    """One pattern for all rows, as a pattern with a row's id would be compiled for each row."""
+    return needle.replace("{id}", r"(-?\d+)") + r"(?=\D|$)"
 
 
 def merge_payloads(pages: DataFrame, api: DataFrame, keys: list[str]) -> DataFrame:
